@@ -26,13 +26,15 @@ def half_up_div(value: Column, divisor: Column) -> Column:
 
 
 def to_units(value: Column, scale: int) -> Column:
-    """A FLOAT, DOUBLE or DECIMAL measure as BIGINT minor units."""
-    exact = value.cast("double").cast(f"decimal(18,{scale})")
-    return (exact * F.lit(10**scale)).cast("bigint")
+    """A FLOAT or DOUBLE measure as BIGINT minor units.
+
+    The product with a power of ten up to 10**9 is exact for every FLOAT.
+    """
+    return F.rint(value.cast("double") * F.lit(float(10**scale))).cast("bigint")
 
 
 def decimal_units(value: Column, scale: int) -> Column:
-    """As ``to_units`` for a column that is already DECIMAL."""
+    """As ``to_units`` for a DECIMAL column, without passing through binary."""
     return (F.round(value, scale) * F.lit(10**scale)).cast("bigint")
 
 
@@ -72,5 +74,5 @@ def ratio6(numerator: Column, denominator: Column) -> Column:
 
 
 def rounded(value: Column, places: int) -> Column:
-    """A binary float rounded on its decimal text, as DOUBLE."""
-    return F.round(value.cast("double"), places)
+    """A FLOAT rounded to ``places`` decimals, as DOUBLE; exact ties go to even."""
+    return F.bround(value.cast("double"), places)

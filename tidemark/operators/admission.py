@@ -14,10 +14,11 @@ from pyspark.sql import types as T
 from tidemark.operators.chunks import (
     CHUNK,
     ROWS_PER_CHUNK,
+    Chunked,
     assign_chunks,
     carried_max,
     chunk_window,
-    join_on,
+    join_pinned,
     max_before,
 )
 from tidemark.schema import STALE_AFTER_SECONDS, STATUSES, SeriesSpec
@@ -44,12 +45,11 @@ def drop_stale(df: DataFrame, spec: SeriesSpec, as_of: Column | int) -> DataFram
 
 
 def late_only(
-    df: DataFrame, spec: SeriesSpec, rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame, spec: SeriesSpec, rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Keeps rows not older than any earlier row of their key."""
     cut = assign_chunks(df, spec.key, spec.order, rows_per_chunk)
-    work = df if cut is None else cut
-    seen = max_before(work, spec.key, spec.order, F.col(spec.ts), "_seen")
+    seen = max_before(df, spec.key, spec.order, F.col(spec.ts), "_seen", cut)
     kept = seen.where(F.col("_seen").isNull() | (F.col(spec.ts) >= F.col("_seen")))
     return kept.select(*df.columns)
 
@@ -59,7 +59,7 @@ def admit(
     spec: SeriesSpec,
     as_of: Column | int | None = None,
     mode: str = "fold",
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    rows_per_chunk: int | None = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Every row with its ``status``: accepted, stale, duplicate_batch or late.
 
@@ -73,7 +73,7 @@ def admit(
     marked = df.withColumn("_stale", is_stale(F.col(spec.ts), as_of))
     cut = assign_chunks(marked, spec.key, spec.order, rows_per_chunk)
     if mode == "monotone":
-        coded = _monotone_codes(marked if cut is None else cut, spec)
+        coded = _monotone_codes(marked, spec, cut)
     elif cut is None:
         coded = _fold_codes(marked, spec, [spec.key])
     else:
@@ -88,7 +88,7 @@ def accepted_only(
     spec: SeriesSpec,
     as_of: Column | int | None = None,
     mode: str = "fold",
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    rows_per_chunk: int | None = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """The accepted rows; stale ones are dropped before the shuffle."""
     fresh = df if as_of is None else drop_stale(df, spec, as_of)
@@ -109,16 +109,16 @@ def _fold_codes(
     return ordered.mapInArrow(fold, schema)
 
 
-def _chunked_codes(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """The fold of hot keys, chunk by chunk.
+def _chunked_codes(cut: Chunked, spec: SeriesSpec) -> DataFrame:
+    """The fold with hot keys taken chunk by chunk.
 
     A first pass finds the state each chunk ends in; nearly always an event
     inside the chunk fixes it regardless of what came before. Consecutive
     chunks for which none does are folded in a row, from the known state before
     them. The last pass folds every chunk from its entry state.
     """
-    entries = pin(_entry_states(df, spec))
-    joined = join_on(df, entries, [spec.key, CHUNK], "left")
+    entries = pin(_entry_states(cut.hot, spec))
+    joined = join_pinned(cut.rows, entries, [spec.key, CHUNK], "left")
     started = joined.withColumns(
         {
             "_in_ts": F.coalesce("_in_ts", F.lit(START[0]).cast("bigint")),
@@ -128,31 +128,25 @@ def _chunked_codes(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return _fold_codes(started, spec, [spec.key, CHUNK], ("_in_ts", "_in_batch"))
 
 
-def _entry_states(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+def _entry_states(hot: DataFrame, spec: SeriesSpec) -> DataFrame:
     """(key, chunk, _in_ts, _in_batch) for every chunk of a hot key."""
     key = spec.key
     by_chunk = chunk_window(key)
-    narrow = df.select(key, CHUNK, spec.order, spec.ts, spec.batch, "_stale")
+    narrow = hot.select(key, CHUNK, spec.order, spec.ts, spec.batch, "_stale")
     fresh_ts = F.when(~F.col("_stale"), F.col(spec.ts))
     floor = F.lit(START[0]).cast("bigint")
-    chunks = carried_max(narrow, key, fresh_ts, "_top").select(
-        key,
-        CHUNK,
-        F.greatest("_top", floor).alias("_peak"),
-        F.row_number().over(by_chunk).alias("_nth"),
-        F.count(F.lit(1)).over(Window.partitionBy(key)).alias("_chunks"),
-    )
-    first = F.col("_nth") == 1
+    first = F.row_number().over(by_chunk) == 1
     plan = pin(
-        chunks.where(F.col("_chunks") > 1).select(
+        carried_max(narrow, key, fresh_ts, "_top").select(
             key,
             CHUNK,
-            "_peak",
-            F.when(first, F.lit(START[0]).cast("bigint")).alias("_in_ts"),
+            F.greatest("_top", floor).alias("_peak"),
+            F.when(first, floor).alias("_in_ts"),
             F.when(first, F.lit(START[1]).cast("bigint")).alias("_in_batch"),
         )
     )
-    exits = pin(_exits(join_on(narrow, plan, [key, CHUNK], "inner"), spec, [CHUNK]))
+    planned = join_pinned(narrow, plan, [key, CHUNK], "inner")
+    exits = pin(_exits(planned, spec, [CHUNK]))
 
     if not exits.where(~F.col("_known")).isEmpty():
         # A stretch is a resolved chunk and the unresolved ones after it.
@@ -167,7 +161,7 @@ def _entry_states(df: DataFrame, spec: SeriesSpec) -> DataFrame:
         todo = placed.select(
             key, CHUNK, "_stretch", "_in_ts", "_in_batch", floor.alias("_peak")
         )
-        rows = join_on(narrow, todo, [key, CHUNK], "inner")
+        rows = join_pinned(narrow, pin(todo), [key, CHUNK], "inner")
         solved = _exits(rows, spec, ["_stretch"])
         exits = exits.where("_known").unionByName(solved)
 
@@ -197,10 +191,12 @@ def _exits(rows: DataFrame, spec: SeriesSpec, unit: list[str]) -> DataFrame:
     return ordered.mapInArrow(fold, schema)
 
 
-def _monotone_codes(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+def _monotone_codes(
+    df: DataFrame, spec: SeriesSpec, cut: Chunked | None
+) -> DataFrame:
     """Batch grows with time: accepted means a batch above all fresh ones before."""
     fresh_batch = F.when(~F.col("_stale"), F.col(spec.batch))
-    seen = max_before(df, spec.key, spec.order, fresh_batch, "_seen")
+    seen = max_before(df, spec.key, spec.order, fresh_batch, "_seen", cut)
     last = F.greatest(F.col("_seen"), F.lit(START[1]).cast("bigint"))
     code = (
         F.when(F.col("_stale"), 1)
@@ -212,7 +208,7 @@ def _monotone_codes(df: DataFrame, spec: SeriesSpec) -> DataFrame:
 
 
 def _first_of_batches(
-    df: DataFrame, spec: SeriesSpec, rows_per_chunk: int
+    df: DataFrame, spec: SeriesSpec, rows_per_chunk: int | None
 ) -> DataFrame:
     """Accepted rows under the monotone rule, without windowing raw rows.
 
@@ -228,7 +224,6 @@ def _first_of_batches(
     cut = None
     if hot_rows is not None:
         cut = assign_chunks(firsts, spec.key, spec.order, rows_per_chunk)
-    work = firsts if cut is None else cut
-    seen = max_before(work, spec.key, spec.order, F.col(spec.batch), "_seen")
+    seen = max_before(firsts, spec.key, spec.order, F.col(spec.batch), "_seen", cut)
     last = F.greatest(F.col("_seen"), F.lit(START[1]).cast("bigint"))
     return seen.where(F.col(spec.batch) > last).select(*df.columns)

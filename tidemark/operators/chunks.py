@@ -9,6 +9,8 @@ chunks.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,8 +21,9 @@ ROWS_PER_CHUNK = 2_000_000
 # Most pieces one group is cut into per level, and levels that still fit BIGINT.
 FAN_OUT = 4096
 MAX_LEVELS = 5
-# A table of hot groups up to this size is broadcast; a larger one is shuffled.
-BROADCAST_GROUPS = 50_000
+# A pinned side table up to this many rows (a few MB) is broadcast; a larger one
+# is joined by shuffle.
+BROADCAST_ROWS = 100_000
 
 
 def same(left: Column, right: Column) -> Column:
@@ -37,29 +40,54 @@ def join_on(left: DataFrame, right: DataFrame, names: list[str], how: str) -> Da
         test = same(F.col(n), F.col(f"_r_{n}"))
         condition = test if condition is None else condition & test
     joined = left.join(renamed, condition, how)
+    if how == "left_semi":
+        return joined
     return joined.drop(*[f"_r_{n}" for n in names])
 
 
-def assign_chunks(
-    df: DataFrame, key: str, order: str, rows_per_chunk: int = ROWS_PER_CHUNK
-) -> DataFrame | None:
-    """``df`` with a chunk column, or None when no key is hot.
+@dataclass(frozen=True)
+class Chunked:
+    """Rows with a chunk column: all of them, and those of hot keys alone."""
+
+    rows: DataFrame
+    hot: DataFrame
+
 
-    Runs one narrow, map-side combined count. Only keys above the limit are
-    cut; cuts that are still too full (an uneven order) are cut again.
+def join_pinned(
+    left: DataFrame, pinned: DataFrame, names: list[str], how: str
+) -> DataFrame:
+    """Joins a materialised side table, broadcast only if its count is small."""
+    fits = pinned.count() <= BROADCAST_ROWS
+    return join_on(left, F.broadcast(pinned) if fits else pinned, names, how)
+
+
+def assign_chunks(
+    df: DataFrame,
+    key: str,
+    order: str,
+    rows_per_chunk: int | None = ROWS_PER_CHUNK,
+) -> Chunked | None:
+    """Cuts the hot keys of ``df``; None when there are none.
+
+    Runs one narrow, map-side combined count; ``rows_per_chunk=None`` skips it
+    where keys are known to be small. Only keys above the limit are cut; cuts
+    that are still too full (an uneven order) are cut again.
     """
+    if rows_per_chunk is None:
+        return None
     group = [key]
-    current, suspects = df, df
+    rows = hot = df
     for _ in range(MAX_LEVELS):
-        hot = pin(_hot_groups(suspects, group, order, rows_per_chunk))
-        n_hot = hot.count()
-        if n_hot == 0:
+        groups = _hot_groups(hot, group, order, rows_per_chunk).persist()
+        if groups.count() == 0:
+            groups.unpersist()
             break
-        small = F.broadcast(hot) if n_hot <= BROADCAST_GROUPS else hot
-        current = _cut(current, small, group, order, "left")
-        suspects = _cut(suspects, small, group, order, "inner")
+        pinned = pin(groups)
+        groups.unpersist()
+        hot = _cut(hot, pinned, group, order, "inner" if group == [key] else "left")
+        rows = _cut(rows, pinned, group, order, "left")
         group = [key, CHUNK]
-    return current if CHUNK in group else None
+    return Chunked(rows, hot) if CHUNK in group else None
 
 
 def _cut(
@@ -72,7 +100,7 @@ def _cut(
         F.floor(share * F.col("_pieces")).cast("bigint"), F.col("_pieces") - 1
     )
     cut = before * F.lit(FAN_OUT) + F.coalesce(piece, F.lit(0).cast("bigint"))
-    joined = join_on(df, groups, names, how).withColumn(CHUNK, cut)
+    joined = join_pinned(df, groups, names, how).withColumn(CHUNK, cut)
     return joined.drop("_lo", "_hi", "_pieces")
 
 
@@ -101,32 +129,37 @@ def chunk_window(key: str):
 
 
 def max_before(
-    df: DataFrame, key: str, order: str, value: Column, name: str
+    df: DataFrame,
+    key: str,
+    order: str,
+    value: Column,
+    name: str,
+    chunked: Chunked | None,
 ) -> DataFrame:
     """Adds the largest ``value`` among earlier rows of the key.
 
-    With a chunk column the rows are windowed per chunk and the maxima of the
-    earlier chunks are joined in.
+    Chunked rows are windowed per chunk, and the maxima of the earlier chunks
+    are joined in.
     """
-    if CHUNK not in df.columns:
+    if chunked is None:
         whole = Window.partitionBy(key).orderBy(order)
         earlier = whole.rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(name, F.max(value).over(earlier))
-    carry = carried_max(df, key, value, "_carry")
+    carry = pin(carried_max(chunked.hot, key, value, "_carry"))
     local = Window.partitionBy(key, CHUNK).orderBy(order)
     local = local.rowsBetween(Window.unboundedPreceding, -1)
     return (
-        join_on(df, carry, [key, CHUNK], "left")
+        join_pinned(chunked.rows, carry, [key, CHUNK], "left")
         .withColumn(name, F.greatest(F.max(value).over(local), F.col("_carry")))
         .drop("_carry")
     )
 
 
-def carried_max(df: DataFrame, key: str, value: Column, name: str) -> DataFrame:
+def carried_max(hot: DataFrame, key: str, value: Column, name: str) -> DataFrame:
     """One row per (key, chunk): the largest ``value`` in the chunks before it."""
     before = chunk_window(key).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        df.groupBy(key, CHUNK)
+        hot.groupBy(key, CHUNK)
         .agg(F.max(value).alias("_top"))
         .select(key, CHUNK, F.max("_top").over(before).alias(name))
     )

@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.clock import day_number
-from tidemark.functions.numeric import floor_div, half_up_div, to_units
+from tidemark.functions.numeric import (
+    decimal_units,
+    floor_div,
+    half_up_div,
+    to_units,
+)
 from tidemark.schema import SeriesSpec
 
 
@@ -25,21 +30,29 @@ def measure_kinds(df: DataFrame, names: list[str]) -> tuple[list[str], list[str]
 def in_units(df: DataFrame, names: list[str], scale: int) -> DataFrame:
     """Fractional measures as BIGINT minor units, counts as BIGINT."""
     fractional, integral = measure_kinds(df, names)
-    columns = {n: to_units(F.col(n), scale) for n in fractional}
+    columns = {n: _units(df, n, scale) for n in fractional}
     columns |= {n: F.col(n).cast("bigint") for n in integral}
     return df.withColumns(columns)
 
 
+def _units(df: DataFrame, name: str, scale: int) -> Column:
+    exact = isinstance(df.schema[name].dataType, T.DecimalType)
+    convert = decimal_units if exact else to_units
+    return convert(F.col(name), scale)
+
+
 def daily_endpoints(
     accepted: DataFrame, spec: SeriesSpec, day: Column | None = None
 ) -> DataFrame:
     """First and last accepted value of every measure per (key, day).
 
     Both are needed: a gap runs from the last value of one day to the *first*
-    value of the next observed day.
+    value of the next observed day. ``last_order`` is the newest arrival of the
+    day. All aggregates are primitive, so this is a hash aggregation with
+    map-side combining, whatever the skew of the keys.
     """
     slot = day_number(F.col(spec.ts)) if day is None else day
-    ends = []
+    ends = [F.max(spec.order).alias("last_order")]
     for name in spec.measures:
         ends.append(F.min_by(name, spec.order).alias(f"first_{name}"))
         ends.append(F.max_by(name, spec.order).alias(f"last_{name}"))
@@ -51,7 +64,8 @@ def fill_daily(endpoints: DataFrame, spec: SeriesSpec) -> DataFrame:
 
     ``age`` counts days back from the key's last accepted day (0 is newest).
     Days before the first observed one repeat its first value; days in a gap
-    are interpolated; ``is_observed`` tells which days were seen.
+    are interpolated; ``is_observed`` tells which days were seen and
+    ``last_order`` is the arrival of the key's last accepted event.
     """
     by_day = Window.partitionBy(spec.key).orderBy("day")
     whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -64,6 +78,7 @@ def fill_daily(endpoints: DataFrame, spec: SeriesSpec) -> DataFrame:
         *[F.lead(f"first_{n}").over(by_day).alias(f"_next_{n}") for n in spec.measures],
         (F.row_number().over(by_day) == 1).alias("_is_first"),
         F.last("day").over(whole).alias("_last_day"),
+        F.last("last_order").over(whole).alias("last_order"),
     )
 
     oldest = F.col("_last_day") - F.lit(spec.days - 1)
@@ -82,6 +97,7 @@ def fill_daily(endpoints: DataFrame, spec: SeriesSpec) -> DataFrame:
         F.col("_slot").alias("day"),
         (F.col("_last_day") - F.col("_slot")).alias("age"),
         (F.col("_slot") == F.col("day")).alias("is_observed"),
+        "last_order",
         *[_slot_value(n, _fraction_step(n, spec.scale)).alias(n) for n in spec.fractional],
         *[_slot_value(n, _count_step(n)).alias(n) for n in spec.integral],
     )

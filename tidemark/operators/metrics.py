@@ -14,7 +14,8 @@ LAGS = (2, 3, 4, 5, 6, 7)
 
 
 def trailing_metrics(daily: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """One row per key with the 16 metrics as of its last accepted day."""
+    """One row per key with the 16 metrics as of its last accepted day, and the
+    arrival of its last accepted event (``last_order``)."""
     _need_thirty(spec)
     age, level, price = F.col("age"), F.col(spec.level), F.col(spec.price)
     product = product_units(level, price, spec.scale)
@@ -32,8 +33,9 @@ def trailing_metrics(daily: DataFrame, spec: SeriesSpec) -> DataFrame:
         *[at(level, k - 1).alias(f"_lag_{k}") for k in (1, *LAGS)],
         at(counter, 0).alias("_counter_0"),
         at(counter, 29).alias("_counter_29"),
+        F.max("last_order").alias("last_order"),
     )
-    return sums.select(spec.key, *_metric_columns(spec, lambda name: F.col(name)))
+    return sums.select(spec.key, "last_order", *_metric_columns(spec, lambda name: F.col(name)))
 
 
 def metric_history(daily: DataFrame, spec: SeriesSpec) -> DataFrame:

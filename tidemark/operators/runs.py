@@ -15,7 +15,9 @@ from tidemark.operators.chunks import (
     assign_chunks,
     chunk_window,
     join_on,
+    join_pinned,
 )
+from tidemark.session import pin
 
 
 def with_literal_count(df: DataFrame, name: str = "count") -> DataFrame:
@@ -28,7 +30,7 @@ def running_count(
     date: str,
     order: str,
     count: str,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    rows_per_chunk: int | None = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Every event with the run count after it, as ``run_count``."""
     cut = assign_chunks(df, key, order, rows_per_chunk)
@@ -40,14 +42,12 @@ def running_count(
         total = _so_far(count, within)
         return runs.select(*df.columns, total.alias("run_count"))
 
-    by_chunk = Window.partitionBy(key, CHUNK)
-    ordered = by_chunk.orderBy(order)
-    flagged = cut.withColumn("_new", _is_change(date, ordered))
-    runs = flagged.withColumn("_run", _so_far("_new", ordered))
-    carried = _carried_runs(runs, key, date, order, count)
+    runs = _local_runs(cut.rows, key, date, order)
+    hot = _local_runs(cut.hot, key, date, order)
+    carried = pin(_carried_runs(hot, key, date, count))
     within = Window.partitionBy(key, CHUNK, "_run").orderBy(order)
     # Run 1 of a chunk goes on from the previous chunk if the date is the same.
-    joined = join_on(runs, carried, [key, CHUNK], "left")
+    joined = join_pinned(runs, carried, [key, CHUNK], "left")
     goes_on = (F.col("_run") == 1) & F.col(date).eqNullSafe(F.col("_prev_date"))
     extra = F.when(goes_on, F.coalesce("_prev_count", F.lit(0))).otherwise(F.lit(0))
     return joined.select(
@@ -55,6 +55,13 @@ def running_count(
     )
 
 
+def _local_runs(df: DataFrame, key: str, date: str, order: str) -> DataFrame:
+    """Numbers the runs within each chunk, from 1."""
+    ordered = Window.partitionBy(key, CHUNK).orderBy(order)
+    flagged = df.withColumn("_new", _is_change(date, ordered))
+    return flagged.withColumn("_run", _so_far("_new", ordered))
+
+
 def _is_change(date: str, ordered) -> Column:
     before = F.lag(date).over(ordered)
     return F.when(F.col(date).eqNullSafe(before), 0).otherwise(1)
@@ -64,9 +71,7 @@ def _so_far(name: str, ordered) -> Column:
     return F.sum(name).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
 
 
-def _carried_runs(
-    runs: DataFrame, key: str, date: str, order: str, count: str
-) -> DataFrame:
+def _carried_runs(runs: DataFrame, key: str, date: str, count: str) -> DataFrame:
     """(key, chunk, _prev_date, _prev_count): the run open before each chunk."""
     per_run = runs.groupBy(key, CHUNK, "_run").agg(
         F.sum(count).alias("_size"), F.first(date).alias("_date")

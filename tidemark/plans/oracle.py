@@ -211,6 +211,7 @@ _ADMITTED = "SELECT pid, event_id, ts, batch FROM acc"
 _GENERAL = with_(*GENERAL, then=_ADMITTED)
 _MONOTONE = with_(*MONO, then=_ADMITTED)
 _FLAGSHIP = with_(*MONO, *SERIES, METRICS, then="SELECT * FROM metrics")
+_GENERAL_METRICS = with_(*GENERAL, *SERIES, METRICS, then="SELECT * FROM metrics")
 _RUNNING = with_(
     obs(), _islands("pid"), then="SELECT pid, event_id, obs_date, run_count FROM counted"
 )
@@ -262,6 +263,12 @@ ORACLE = {
         + ", ".join(f"arg_max({c}, {SEQ}) AS {c}" for c in RECORD)
         + " FROM acc GROUP BY pid",
     ),
+    "latest_record_monotone": with_(
+        *MONO,
+        then="SELECT pid, "
+        + ", ".join(f"arg_max({c}, {SEQ}) AS {c}" for c in RECORD)
+        + " FROM acc GROUP BY pid",
+    ),
     "daily_endpoints": with_(
         *MONO,
         ENDS,
@@ -281,9 +288,8 @@ ORACLE = {
     ),
     "product_metrics": _FLAGSHIP,
     "product_metrics_arrays": _FLAGSHIP,
-    "product_metrics_general": with_(
-        *GENERAL, *SERIES, METRICS, then="SELECT * FROM metrics"
-    ),
+    "product_metrics_general": _GENERAL_METRICS,
+    "product_metrics_chunked": _GENERAL_METRICS,
     "daily_metric_history": with_(*REPLAY, *SERIES, then=_history()),
     "product_result_typed": with_(*_RESULT, then=_result("e.valid")),
     "product_result_keep_last": with_(*_RESULT, then=_result("TRUE")),

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clock import clock_text, epoch_seconds
 from tidemark.functions.numeric import rounded
-from tidemark.operators.admission import accepted_only, admit, drop_stale
-from tidemark.operators.chunks import ROWS_PER_CHUNK, join_on
+from tidemark.operators.admission import accepted_only, drop_stale
+from tidemark.operators.chunks import ROWS_PER_CHUNK, join_on, same
 from tidemark.operators.daily import daily_endpoints, fill_daily, in_units
-from tidemark.operators.latest import latest_record
 from tidemark.operators.metrics import trailing_metrics
 from tidemark.schema import METRIC_NAMES, OBSERVATION_SCHEMA, SeriesSpec
 
-# Columns a prepared observation table adds to the declared ones.
+# Columns a prepared observation table adds to the declared ones. Nine decimals
+# keep the binary value of a FLOAT, so rounding falls where its own digits say.
 SERIES = {"sold": "sold_units", "price": "price_units", "review_number": "reviews"}
 OBSERVATION_SPEC = SeriesSpec(
     key="pid",
@@ -24,11 +24,11 @@ OBSERVATION_SPEC = SeriesSpec(
     level=SERIES["sold"],
     price=SERIES["price"],
     counter=SERIES["review_number"],
-    scale=6,
+    scale=9,
 )
 
 
-def prepare(observations: DataFrame, scale: int = 6) -> DataFrame:
+def prepare(observations: DataFrame, scale: int = OBSERVATION_SPEC.scale) -> DataFrame:
     """Adds the batch id and exact measure columns to decoded observations."""
     measures = observations.select(
         "*",
@@ -47,12 +47,13 @@ def product_metrics(
     spec: SeriesSpec,
     as_of: Column | int | None = None,
     mode: str = "fold",
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    rows_per_chunk: int | None = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """The 16 metrics per key. Reads only the columns the series needs."""
-    narrow = [spec.key, spec.ts, spec.batch, spec.order, *spec.measures]
-    fresh = events if as_of is None else drop_stale(events, spec, as_of)
-    accepted = accepted_only(fresh.select(*narrow), spec, None, mode, rows_per_chunk)
+    """The 16 metrics per key, and the arrival of its last accepted event.
+
+    Reads only the columns the series needs.
+    """
+    accepted = _narrow_accepted(events, spec, as_of, mode, rows_per_chunk)
     return trailing_metrics(daily_series(accepted, spec), spec)
 
 
@@ -62,42 +63,75 @@ def product_result(
     as_of: Column | int | None = None,
     mode: str = "fold",
     on_reject: str = "null",
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    rows_per_chunk: int | None = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Per key: ``valid``, the metrics and the latest accepted record.
 
     With ``on_reject="null"`` a key whose last event was rejected has NULL
     metrics and record, as a live result would; ``"keep_last"`` keeps the
     state of the last accepted event.
+
+    Only narrow columns go through admission. A key's last event was accepted
+    when no later arrival exists, and its record is fetched by (key, arrival),
+    a join whose key is unique and therefore not skewed.
     """
     if on_reject not in ("null", "keep_last"):
         raise ValueError("on_reject must be 'null' or 'keep_last'")
-    judged = admit(events, spec, as_of, mode, rows_per_chunk)
-    accepted = judged.where(F.col("status") == "accepted").drop("status")
-    narrow = accepted.select(
-        spec.key, spec.ts, spec.batch, spec.order, *spec.measures
+    metrics = product_metrics(events, spec, as_of, mode, rows_per_chunk)
+    newest = events.groupBy(spec.key).agg(F.max(spec.order).alias("_newest"))
+    standing = join_on(newest, metrics, [spec.key], "left").withColumn(
+        "valid", F.col("last_order").eqNullSafe(F.col("_newest"))
     )
-    metrics = trailing_metrics(daily_series(narrow, spec), spec)
-
-    # Newest accepted row and newest row of any status in one aggregation.
-    others = [c for c in events.columns if c != spec.key]
-    is_accepted = F.col("status") == "accepted"
-    ends = judged.groupBy(spec.key).agg(
-        F.max_by(is_accepted, spec.order).alias("valid"),
-        F.max_by(
-            F.struct(*others), F.when(is_accepted, F.col(spec.order))
-        ).alias("latest"),
-    )
-    joined = join_on(ends, metrics, [spec.key], "left")
-    shown = F.col("valid") if on_reject == "null" else F.lit(True)
+    shown = F.col("last_order").isNotNull()
+    if on_reject == "null":
+        shown = F.col("valid")
     values = F.struct(*[F.col(n) for n in METRIC_NAMES])
-    has_any = F.col("latest").isNotNull()
-    return joined.select(
+    # A NULL order finds no record, so hidden results are not fetched at all.
+    wanted = standing.select(
         spec.key,
-        F.col("valid"),
-        F.when(shown & has_any, values).alias("metrics"),
-        F.when(shown & has_any, F.col("latest")).alias("latest"),
+        F.when(shown, F.col("last_order")).alias(spec.order),
+        "valid",
+        F.when(shown, values).alias("metrics"),
+    )
+    others = [c for c in events.columns if c != spec.key]
+    records = events.select(
+        F.col(spec.key).alias("_key"),
+        F.col(spec.order).alias("_order"),
+        F.struct(*others).alias("latest"),
     )
+    found = same(F.col(spec.key), F.col("_key")) & (
+        F.col(spec.order) == F.col("_order")
+    )
+    return wanted.join(records, found, "left").select(
+        spec.key, "valid", "metrics", "latest"
+    )
+
+
+def latest_accepted(
+    events: DataFrame,
+    spec: SeriesSpec,
+    as_of: Column | int | None = None,
+    mode: str = "fold",
+    rows_per_chunk: int | None = ROWS_PER_CHUNK,
+) -> DataFrame:
+    """The last accepted row of every key, whole; admission sees narrow rows."""
+    accepted = _narrow_accepted(events, spec, as_of, mode, rows_per_chunk, ())
+    last = accepted.groupBy(spec.key).agg(F.max(spec.order).alias(spec.order))
+    return join_on(events, last, [spec.key, spec.order], "left_semi")
+
+
+def _narrow_accepted(
+    events: DataFrame,
+    spec: SeriesSpec,
+    as_of: Column | int | None,
+    mode: str,
+    rows_per_chunk: int | None,
+    measures: list[str] | tuple[str, ...] | None = None,
+) -> DataFrame:
+    carried = spec.measures if measures is None else measures
+    fresh = events if as_of is None else drop_stale(events, spec, as_of)
+    narrow = fresh.select(spec.key, spec.ts, spec.batch, spec.order, *carried)
+    return accepted_only(narrow, spec, None, mode, rows_per_chunk)
 
 
 def flat_result(result: DataFrame, latest_names: list[str]) -> DataFrame:
@@ -127,15 +161,3 @@ def result_document(metrics: Column, latest: Column) -> Column:
         members.append(value.alias(field.name))
     return F.when(metrics.isNotNull(), F.struct(*members))
 
-
-def latest_accepted(
-    events: DataFrame,
-    spec: SeriesSpec,
-    as_of: Column | int | None = None,
-    mode: str = "fold",
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-) -> DataFrame:
-    return latest_record(
-        accepted_only(events, spec, as_of, mode, rows_per_chunk), spec
-    )
-

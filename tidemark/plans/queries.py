@@ -26,6 +26,7 @@ from tidemark.plans import tables
 from tidemark.plans.product import (
     daily_series,
     flat_result,
+    latest_accepted,
     product_metrics,
     product_result,
 )
@@ -39,6 +40,7 @@ from tidemark.sources.results import encode_run, write_updates
 from tidemark.streaming.updates import newest_updates, product_updates, run_updates
 
 RECORD = ["event_id", "ts", "batch", "sold_c", "price_c", "review_number", "obs_date"]
+_NARROW = ["pid", "ts", "batch", "arrival", *EVENT_SPEC.measures]
 # Small chunks, so that the split path of the hot-key operators runs on test data.
 TINY_CHUNK = 16
 
@@ -53,11 +55,9 @@ def _fresh(spark: SparkSession, sf_dir: str, batch: str = "general") -> DataFram
 
 def _accepted(spark: SparkSession, sf_dir: str, batch: str, **how) -> DataFrame:
     """Accepted events of the snapshot, with the columns the series needs."""
-    spec = EVENT_SPEC
-    narrow = [spec.key, spec.ts, spec.batch, spec.order, *spec.measures, "event_id"]
     mode = "monotone" if batch == "monotone" else "fold"
-    fresh = _fresh(spark, sf_dir, batch).select(*narrow)
-    return accepted_only(fresh, spec, SNAPSHOT, mode, **how)
+    fresh = _fresh(spark, sf_dir, batch).select(*_NARROW, "event_id")
+    return accepted_only(fresh, EVENT_SPEC, SNAPSHOT, mode, **how)
 
 
 def _replay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,12 +147,18 @@ def validity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_record_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _fresh(spark, sf_dir).select("pid", "arrival", *RECORD)
-    accepted = accepted_only(rows, EVENT_SPEC, SNAPSHOT)
+    return latest_accepted(rows, EVENT_SPEC, SNAPSHOT).drop("arrival")
+
+
+def latest_record_monotone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _fresh(spark, sf_dir, "monotone").select("pid", "arrival", *RECORD)
+    accepted = accepted_only(rows, EVENT_SPEC, SNAPSHOT, "monotone")
     return latest_record(accepted, EVENT_SPEC).drop("arrival")
 
 
 def daily_endpoints_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_endpoints(_accepted(spark, sf_dir, "monotone"), EVENT_SPEC)
+    ends = daily_endpoints(_accepted(spark, sf_dir, "monotone"), EVENT_SPEC)
+    return ends.drop("last_order")
 
 
 def daily_series_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,13 +172,20 @@ def daily_series_integer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return product_metrics(
-        _fresh(spark, sf_dir, "monotone"), EVENT_SPEC, SNAPSHOT, "monotone"
-    )
+    rows = _fresh(spark, sf_dir, "monotone")
+    metrics = product_metrics(rows, EVENT_SPEC, SNAPSHOT, "monotone")
+    return metrics.drop("last_order")
 
 
 def product_metrics_general(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return product_metrics(_fresh(spark, sf_dir), EVENT_SPEC, SNAPSHOT)
+    metrics = product_metrics(_fresh(spark, sf_dir), EVENT_SPEC, SNAPSHOT)
+    return metrics.drop("last_order")
+
+
+def product_metrics_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _fresh(spark, sf_dir)
+    metrics = product_metrics(rows, EVENT_SPEC, SNAPSHOT, rows_per_chunk=TINY_CHUNK)
+    return metrics.drop("last_order")
 
 
 def product_metrics_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +198,7 @@ def product_metrics_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _replay(spark, sf_dir)
-    accepted = accepted_only(rows, EVENT_SPEC, _arrived())
+    accepted = accepted_only(rows.select(*_NARROW, "arrival_time"), EVENT_SPEC, _arrived())
     return metric_history(daily_series(accepted, EVENT_SPEC), EVENT_SPEC)
 
 
@@ -197,7 +210,8 @@ def _result(spark: SparkSession, sf_dir: str, on_reject: str) -> DataFrame:
 
 def lineitem_daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = tables.part_history(spark, sf_dir)
-    return trailing_metrics(daily_series(history, PART_SPEC), PART_SPEC)
+    metrics = trailing_metrics(daily_series(history, PART_SPEC), PART_SPEC)
+    return metrics.drop("last_order")
 
 
 # -- runs ----------------------------------------------------------------------
@@ -513,11 +527,13 @@ QUERIES = {
     "admission_status_counts": admission_status_counts,
     "validity": validity_query,
     "latest_record": latest_record_query,
+    "latest_record_monotone": latest_record_monotone,
     "daily_endpoints": daily_endpoints_query,
     "daily_series_fractional": daily_series_fractional,
     "daily_series_integer": daily_series_integer,
     "product_metrics": product_metrics_query,
     "product_metrics_general": product_metrics_general,
+    "product_metrics_chunked": product_metrics_chunked,
     "product_metrics_arrays": product_metrics_arrays,
     "daily_metric_history": daily_metric_history,
     "product_result_typed": product_result_typed,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.clock import epoch_seconds, iso_date, pack_order
-from tidemark.functions.numeric import floor_div, int_div
+from tidemark.functions.numeric import floor_div, int_div, to_units
 from tidemark.schema import STALE_AFTER_SECONDS, SeriesSpec
 
 # 2024-01-31T00:00:00Z, one day after the newest event.
@@ -74,7 +74,7 @@ def observations(events: DataFrame, batch: str = "general") -> DataFrame:
     """``events`` as observations. ``batch`` is 'general' (ids return) or
     'monotone' (one batch per six hours)."""
     ts = epoch_seconds(F.col("ts"))
-    cents = F.round(F.col("value") * 100).cast("bigint")
+    cents = to_units(F.col("value"), 2)
     ids = {
         "general": F.pmod(F.col("event_id") * 31, F.lit(5)) + 1,
         "monotone": floor_div(ts, F.lit(21600)),
@@ -102,8 +102,8 @@ def part_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     measures, so the ends of a day are well defined.
     """
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    quantity = F.round(F.col("l_quantity") * 100).cast("bigint")
-    price = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    quantity = to_units(F.col("l_quantity"), 2)
+    price = to_units(F.col("l_extendedprice"), 2)
     return lines.select(
         "l_partkey",
         epoch_seconds(F.col("l_shipdate")).alias("ts"),

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 # Workers need no installed copy of this module: its code travels by value.
@@ -19,6 +21,29 @@ ACCEPTED, STALE, DUPLICATE, LATE = range(4)
 START = (0, 0)
 
 
+def values(rows: pa.RecordBatch, name: str) -> list:
+    """A column without NULLs as a list of Python values."""
+    return rows.column(name).to_numpy(zero_copy_only=False).tolist()
+
+
+def cell(rows: pa.RecordBatch, names, i: int) -> tuple:
+    return tuple(rows.column(name)[i].as_py() for name in names)
+
+
+def stretches(rows: pa.RecordBatch, names: list[str]):
+    """(start, end) of consecutive rows that agree in ``names``."""
+    count = rows.num_rows
+    differs = np.zeros(max(count - 1, 0), dtype=bool)
+    for name in names:
+        column = rows.column(name)
+        before, after = column.slice(0, count - 1), column.slice(1)
+        unequal = pc.fill_null(pc.not_equal(before, after), False)
+        one_null = pc.xor(pc.is_null(before), pc.is_null(after))
+        differs |= pc.or_(unequal, one_null).to_numpy(zero_copy_only=False)
+    starts = [0, *(np.flatnonzero(differs) + 1).tolist()]
+    return zip(starts, [*starts[1:], count])
+
+
 def status_fold(group: list[str], ts: str, batch: str, stale: str, entry=None):
     """Appends the admission code of every row.
 
@@ -30,26 +55,25 @@ def status_fold(group: list[str], ts: str, batch: str, stale: str, entry=None):
         current = None
         last_ts, last_batch = START
         for rows in batches:
-            ids = list(zip(*[rows.column(name).to_pylist() for name in group]))
-            times = rows.column(ts).to_pylist()
-            lots = rows.column(batch).to_pylist()
-            olds = rows.column(stale).to_pylist()
-            codes = bytearray(len(ids))
-            for i, this in enumerate(ids):
+            if rows.num_rows == 0:
+                continue
+            times, lots = values(rows, ts), values(rows, batch)
+            olds = values(rows, stale)
+            codes = bytearray(rows.num_rows)
+            for start, end in stretches(rows, group):
+                this = cell(rows, group, start)
                 if this != current:
                     current = this
-                    last_ts, last_batch = START
-                    if entry:
-                        last_ts = rows.column(entry[0])[i].as_py()
-                        last_batch = rows.column(entry[1])[i].as_py()
-                if olds[i]:
-                    codes[i] = STALE
-                elif lots[i] == last_batch:
-                    codes[i] = DUPLICATE
-                elif times[i] < last_ts:
-                    codes[i] = LATE
-                else:
-                    last_ts, last_batch = times[i], lots[i]
+                    last_ts, last_batch = cell(rows, entry, start) if entry else START
+                for i in range(start, end):
+                    if olds[i]:
+                        codes[i] = STALE
+                    elif lots[i] == last_batch:
+                        codes[i] = DUPLICATE
+                    elif times[i] < last_ts:
+                        codes[i] = LATE
+                    else:
+                        last_ts, last_batch = times[i], lots[i]
             column = pa.Array.from_buffers(
                 pa.int8(), len(codes), [None, pa.py_buffer(bytes(codes))]
             )
@@ -94,40 +118,40 @@ def exit_fold(
             return pa.RecordBatch.from_arrays(columns, names=names)
 
         for rows in batches:
+            if rows.num_rows == 0:
+                continue
             if kinds is None:
                 kinds = [rows.schema.field(n).type for n in row]
                 kinds += [pa.bool_(), pa.int64(), pa.int64()]
-            units = list(zip(*[rows.column(n).to_pylist() for n in unit]))
-            ids = list(zip(*[rows.column(n).to_pylist() for n in row]))
-            times = rows.column(ts).to_pylist()
-            lots = rows.column(batch).to_pylist()
-            olds = rows.column(stale).to_pylist()
-            for i, this in enumerate(ids):
+            times, lots = values(rows, ts), values(rows, batch)
+            olds = values(rows, stale)
+            for start, end in stretches(rows, row):
+                this = cell(rows, row, start)
                 if this != current_row:
                     if current_row is not None:
                         close()
                     current_row = this
-                    if units[i] != current_unit:
-                        current_unit = units[i]
-                        last_ts = rows.column(entry[0])[i].as_py()
-                        last_batch = rows.column(entry[1])[i].as_py()
+                    whole = cell(rows, unit, start)
+                    if whole != current_unit:
+                        current_unit = whole
+                        last_ts, last_batch, top = cell(rows, (*entry, peak), start)
                         known = last_ts is not None
-                        top = rows.column(peak)[i].as_py()
                         possible = None
-                if olds[i]:
-                    continue
-                time, lot = times[i], lots[i]
-                if known:
-                    if lot != last_batch and time >= last_ts:
-                        last_ts, last_batch = time, lot
-                elif time >= top:
-                    top = time
-                    if possible is not None and lot not in possible:
-                        known, last_ts, last_batch = True, time, lot
-                    else:
-                        possible = {lot}
-                elif possible is not None:
-                    possible.add(lot)
+                for i in range(start, end):
+                    if olds[i]:
+                        continue
+                    time, lot = times[i], lots[i]
+                    if known:
+                        if lot != last_batch and time >= last_ts:
+                            last_ts, last_batch = time, lot
+                    elif time >= top:
+                        top = time
+                        if possible is not None and lot not in possible:
+                            known, last_ts, last_batch = True, time, lot
+                        else:
+                            possible = {lot}
+                    elif possible is not None:
+                        possible.add(lot)
             if len(done) >= 10_000:
                 yield flush()
         if current_row is not None:
