@@ -42,11 +42,14 @@ def epoch_seconds(clock: Column) -> Column:
 
 
 def iso_date(clock: Column) -> Column:
-    return F.date_format(F.to_date(clock), "yyyy-MM-dd")
+    """Date of a zone-less timestamp as written, yyyy-MM-dd."""
+    return clock.cast("timestamp_ntz").cast("date").cast("string")
 
 
 def clock_text(clock: Column) -> Column:
-    return F.date_format(clock, CLOCK_FORMAT)
+    """A zone-less timestamp as yyyy-MM-dd HH:mm:ss; ``date_format`` would go
+    through the session zone."""
+    return F.substring(clock.cast("timestamp_ntz").cast("string"), 1, 19)
 
 
 def now_epoch() -> Column:

@@ -62,14 +62,18 @@ def ratio6(numerator: Column, denominator: Column) -> Column:
     """numerator / denominator to six decimals, 0.0 where the divisor is 0.
 
     Both sides are integers in the same unit, so the tie at the seventh
-    decimal is decided exactly.
+    decimal is decided exactly. A ratio too large for a DOUBLE to hold six
+    decimals is divided as is.
     """
+    plain = numerator.cast("double") / F.nullif(denominator, F.lit(0)).cast("double")
     top = numerator.cast("decimal(31,0)") * F.lit(10**6)
     bottom = F.nullif(F.abs(denominator), F.lit(0)).cast("decimal(31,0)")
     millionths = half_up_div(top, bottom)
     signed = F.when(denominator < 0, -millionths).otherwise(millionths)
-    return F.when(denominator == 0, F.lit(0.0)).otherwise(
-        signed.cast("double") / F.lit(1e6)
+    return (
+        F.when(denominator == 0, F.lit(0.0))
+        .when(F.abs(plain) > F.lit(float(2**53 // 10**6)), plain)
+        .otherwise(signed.cast("double") / F.lit(1e6))
     )
 
 

@@ -93,11 +93,10 @@ def product_result(
         "valid",
         F.when(shown, values).alias("metrics"),
     )
-    others = [c for c in events.columns if c != spec.key]
     records = events.select(
         F.col(spec.key).alias("_key"),
         F.col(spec.order).alias("_order"),
-        F.struct(*others).alias("latest"),
+        F.struct(*events.columns).alias("latest"),
     )
     found = same(F.col(spec.key), F.col("_key")) & (
         F.col(spec.order) == F.col("_order")

@@ -32,7 +32,7 @@ from tidemark.plans.product import (
 )
 from tidemark.plans.tables import EVENT_SPEC, PART_SPEC, SNAPSHOT, observations
 from tidemark.schema import METRIC_NAMES
-from tidemark.session import shared_dir, use_rocksdb_state
+from tidemark.session import shared_dir
 from tidemark.sources.decode import decode_json
 from tidemark.sources.observations import lookup, register_tables
 from tidemark.sources.quality import with_reason
@@ -385,7 +385,7 @@ def clock_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         epoch.alias("epoch"),
         clock.day_number(epoch).alias("day_number"),
-        F.date_format(clock.local_date(epoch), "yyyy-MM-dd").alias("local_date"),
+        clock.local_date(epoch).cast("string").alias("local_date"),
         clock.iso_date(F.col("ts")).alias("iso_date"),
         clock.clock_text(F.col("ts")).alias("clock_text"),
         clock.days_between(start, clock.local_date(epoch)).alias("days"),
@@ -463,7 +463,6 @@ def _drain(
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_rocksdb_state(spark)
     return (
         spark.readStream.schema(tables.EVENT_SCHEMA)
         .option("pathGlobFilter", "events.parquet")

@@ -7,6 +7,8 @@ data. ``lineitem`` plays a long history per part.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,9 +52,10 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fresh_events(spark: SparkSession, sf_dir: str, as_of: int = SNAPSHOT) -> DataFrame:
     """Only events that are not stale at ``as_of``, tested on the stored column
     so that the bound reaches the Parquet scan."""
-    bound = F.timestamp_seconds(F.lit(as_of - STALE_AFTER_SECONDS))
+    bound = datetime.fromtimestamp(as_of - STALE_AFTER_SECONDS, timezone.utc)
+    text = bound.strftime("%Y-%m-%d %H:%M:%S")
     return read_events(spark, sf_dir).where(
-        F.col("ts") >= F.to_timestamp_ntz(F.date_format(bound, "yyyy-MM-dd HH:mm:ss"))
+        F.col("ts") >= F.lit(text).cast("timestamp_ntz")
     )
 
 

@@ -12,7 +12,7 @@ from tidemark.functions.clock import now_epoch
 from tidemark.plans.product import OBSERVATION_SPEC, prepare, result_document
 from tidemark.plans.shop import RUN_KEY, run_input
 from tidemark.schema import OBSERVATION_SCHEMA
-from tidemark.session import shared_dir, use_rocksdb_state
+from tidemark.session import shared_dir
 from tidemark.sources.observations import read_observations
 from tidemark.sources.quality import RUN_TIMES, split_valid
 from tidemark.sources.results import encode_product, encode_run, write_updates
@@ -89,7 +89,6 @@ def reject_rows(observations: DataFrame) -> DataFrame:
 
 def start_job(spark: SparkSession, config: JobConfig) -> list[StreamingQuery]:
     """Starts the result streams, each with its own checkpoint."""
-    use_rocksdb_state(spark)
     if config.parallelism:
         spark.conf.set("spark.sql.shuffle.partitions", str(config.parallelism))
     observations = read_observations(

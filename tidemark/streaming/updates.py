@@ -16,6 +16,7 @@ from tidemark.functions.documents import from_document, to_document
 from tidemark.operators.admission import is_stale
 from tidemark.operators.metrics import array_metrics
 from tidemark.schema import SeriesSpec
+from tidemark.session import use_rocksdb_state
 from tidemark.streaming.processors import (
     ProductProcessor,
     RunProcessor,
@@ -106,6 +107,11 @@ def newest_updates(updates: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def _with_state(rows, processor, output, ttl_seconds) -> DataFrame:
+    spark = rows.sparkSession
+    use_rocksdb_state(spark)
+    # A batch replay needs the state coordinator too; asking for the session's
+    # streams starts it.
+    assert spark.streams is not None
     # State variables that expire need a clock; without one there are no timers.
     time_mode = "ProcessingTime" if ttl_seconds else "None"
     return rows.groupBy("key").transformWithState(
