@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.functions.documents import to_document
 
+EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
 
 def encode_product(document: Column) -> Column:
     """``infos``: the result document as text, NULL where there is none."""
@@ -60,9 +64,27 @@ def write_updates(
     else:
         writer = writer.trigger(processingTime=interval)
     if fmt == "kafka":
-        kafka = writer.format("kafka").options(**(options or {}))
-        return kafka.option("topic", target).start()
-    return writer.foreachBatch(batch_writer(fmt, target)).start()
+        writer = writer.format("kafka").options(**(options or {}))
+        writer = writer.option("topic", target)
+    else:
+        writer = writer.foreachBatch(batch_writer(fmt, target))
+    if interval is not None:
+        return writer.start()
+    with _without_empty_batches(updates.sparkSession):
+        return writer.start()
+
+
+@contextmanager
+def _without_empty_batches(spark: SparkSession):
+    """For a query that drains its source: expiring state asks for one more
+    empty batch for ever, so such a query would never end. A query copies the
+    session's settings when it starts."""
+    before = spark.conf.get(EMPTY_BATCHES)
+    spark.conf.set(EMPTY_BATCHES, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(EMPTY_BATCHES, before)
 
 
 def batch_writer(fmt: str, target: str):
