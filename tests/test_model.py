@@ -19,6 +19,9 @@ SCHEMA = (
 )
 
 
+STYLES = ["drift", "reverse", "noise", "replay", "stuck", "weave"]
+
+
 def history(seed, style, rows=400):
     """One hot key (0) with most rows and a few small ones."""
     rng = random.Random(seed)
@@ -30,8 +33,14 @@ def history(seed, style, rows=400):
             "reverse": 10**8 - i * 4000,
             "noise": rng.randint(1, 60) * 86400,
             "replay": 10**6 + (i % 100) * 4000,
+            "stuck": 10**6 + i * 4000,
+            "weave": 10**6 + (i + (i % 2) * -3) * 4000,
         }[style]
-        batch = 1 if style == "replay" and rng.random() < 0.9 else rng.randint(1, 3)
+        batch = {
+            "replay": 1 if rng.random() < 0.9 else rng.randint(1, 3),
+            "stuck": 1 if rng.random() < 0.99 else 2,
+            "weave": i // 2 % 2 + 1,
+        }.get(style, rng.randint(1, 3))
         out.append(
             (
                 key,
@@ -55,7 +64,7 @@ def by_key(rows):
     return groups
 
 
-@pytest.mark.parametrize("style", ["drift", "reverse", "noise", "replay"])
+@pytest.mark.parametrize("style", STYLES)
 @pytest.mark.parametrize("limit", [None, 40, 3])
 def test_admission(spark, style, limit):
     rows = history(style + str(limit), style)
@@ -70,6 +79,50 @@ def test_admission(spark, style, limit):
     assert got == expected
 
 
+def test_possible_events_are_never_missed():
+    """Thinning keeps every event that any entry state makes acceptable."""
+    from tidemark.workers import advance, certain
+
+    rng = random.Random(9)
+    for _ in range(300):
+        events = [(rng.randint(1, 12), rng.randint(1, 4)) for _ in range(12)]
+        low, high = 2, 8
+        states, kept, settled = {None: (low, high)}, [], []
+        for time, lot in events:
+            kept.append(advance(states, time, lot))
+            settled.append(certain(states))
+        for last_ts in range(low, high + 1):
+            for last_batch in range(1, 6):
+                state = (last_ts, last_batch)
+                for (time, lot), possible, known in zip(events, kept, settled):
+                    if lot != state[1] and time >= state[0]:
+                        assert possible
+                        state = (time, lot)
+                    assert known is None or known == state
+
+
+def test_stuck_batch_leaves_few_events_to_walk(spark, monkeypatch):
+    """A hot key repeating one batch is not walked row by row in one task."""
+    from tidemark.operators import admission
+
+    walked = []
+    real = admission._exits
+
+    def counting(rows, spec, unit):
+        if unit == ["_stretch"]:
+            walked.append(rows.count())
+        return real(rows, spec, unit)
+
+    monkeypatch.setattr(admission, "_exits", counting)
+    rows = [(0, i, 1000 + i, 7) for i in range(3000)]
+    rows += [(0, 3000 + i, 500 + i % 300, i % 5) for i in range(3000)]
+    df = spark.createDataFrame(rows, "pid long, arrival long, ts long, batch long")
+    judged = admit(df, SPEC, rows_per_chunk=100)
+    statuses = [r["status"] for r in judged.orderBy("arrival").collect()]
+    assert statuses == model.admit([(r[2], r[3], False) for r in rows])
+    assert walked and walked[0] < 200
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_series(spark, seed):
     rows = history(seed, "drift")

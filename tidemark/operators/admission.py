@@ -18,12 +18,13 @@ from tidemark.operators.chunks import (
     assign_chunks,
     carried_max,
     chunk_window,
+    join_on,
     join_pinned,
     max_before,
 )
 from tidemark.schema import STALE_AFTER_SECONDS, STATUSES, SeriesSpec
 from tidemark.session import pin
-from tidemark.workers import START, exit_fold, status_fold
+from tidemark.workers import START, exit_fold, possible_fold, status_fold
 
 MODES = ("fold", "monotone")
 
@@ -112,10 +113,10 @@ def _fold_codes(
 def _chunked_codes(cut: Chunked, spec: SeriesSpec) -> DataFrame:
     """The fold with hot keys taken chunk by chunk.
 
-    A first pass finds the state each chunk ends in; nearly always an event
-    inside the chunk fixes it regardless of what came before. Consecutive
-    chunks for which none does are folded in a row, from the known state before
-    them. The last pass folds every chunk from its entry state.
+    A first pass finds the state each chunk ends in; nearly always its own
+    events settle that regardless of what came before. Chunks left open are
+    thinned and folded from the settled one before them. The last pass folds
+    every chunk from its entry state.
     """
     entries = pin(_entry_states(cut.hot, spec))
     joined = join_pinned(cut.rows, entries, [spec.key, CHUNK], "left")
@@ -149,30 +150,60 @@ def _entry_states(hot: DataFrame, spec: SeriesSpec) -> DataFrame:
     exits = pin(_exits(planned, spec, [CHUNK]))
 
     if not exits.where(~F.col("_known")).isEmpty():
-        # A stretch is a resolved chunk and the unresolved ones after it.
-        before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
-        stretch = F.sum(F.col("_known").cast("int")).over(by_chunk)
-        placed = exits.select(
-            "*",
-            stretch.alias("_stretch"),
-            F.last("_exit_ts", ignorenulls=True).over(before).alias("_in_ts"),
-            F.last("_exit_batch", ignorenulls=True).over(before).alias("_in_batch"),
-        ).where(~F.col("_known"))
-        todo = placed.select(
-            key, CHUNK, "_stretch", "_in_ts", "_in_batch", floor.alias("_peak")
+        solved = _solve_open_chunks(narrow, plan, exits, spec)
+        exits = (
+            exits.unionByName(solved)
+            .groupBy(key, CHUNK)
+            .agg(
+                F.max("_exit_ts").alias("_exit_ts"),
+                F.max("_exit_batch").alias("_exit_batch"),
+            )
         )
-        rows = join_pinned(narrow, pin(todo), [key, CHUNK], "inner")
-        solved = _exits(rows, spec, ["_stretch"])
-        exits = exits.where("_known").unionByName(solved)
 
+    # A chunk without an exit of its own leaves the state as it was.
+    before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
     return exits.select(
         key,
         CHUNK,
-        F.lag("_exit_ts").over(by_chunk).alias("_in_ts"),
-        F.lag("_exit_batch").over(by_chunk).alias("_in_batch"),
+        F.last("_exit_ts", ignorenulls=True).over(before).alias("_in_ts"),
+        F.last("_exit_batch", ignorenulls=True).over(before).alias("_in_batch"),
     )
 
 
+def _solve_open_chunks(
+    narrow: DataFrame, plan: DataFrame, exits: DataFrame, spec: SeriesSpec
+) -> DataFrame:
+    """Exit states of chunks that no event inside them settles.
+
+    A stretch is a settled chunk and the open ones after it. Its chunks are
+    first thinned in parallel: the time of the state never falls below that at
+    the start of the stretch, and of what is left only events that some
+    possible state would accept can matter (of a long run of duplicates or of
+    late replays, next to none). The rest is folded along the stretch.
+    """
+    key = spec.key
+    by_chunk = chunk_window(key)
+    before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
+    stretch = F.sum(F.col("_known").cast("int")).over(by_chunk)
+    open_chunks = exits.select(
+        key,
+        CHUNK,
+        "_known",
+        stretch.alias("_stretch"),
+        F.last("_exit_ts", ignorenulls=True).over(before).alias("_in_ts"),
+        F.last("_exit_batch", ignorenulls=True).over(before).alias("_in_batch"),
+    ).where(~F.col("_known"))
+    peaks = plan.select(key, CHUNK, "_peak")
+    todo = pin(join_on(open_chunks.drop("_known"), peaks, [key, CHUNK], "inner"))
+    rows = join_pinned(narrow, todo, [key, CHUNK], "inner").where(
+        ~F.col("_stale") & (F.col(spec.ts) >= F.col("_in_ts"))
+    )
+    group = [key, CHUNK]
+    ordered = rows.repartition(*group).sortWithinPartitions(*group, spec.order)
+    thin = possible_fold(group, spec.ts, spec.batch, "_in_ts", "_peak")
+    return _exits(ordered.mapInArrow(thin, rows.schema), spec, ["_stretch"])
+
+
 def _exits(rows: DataFrame, spec: SeriesSpec, unit: list[str]) -> DataFrame:
     row = [spec.key, CHUNK]
     unit = [spec.key, *unit]

@@ -18,9 +18,10 @@ from tidemark.sources.quality import RUN_TIMES, split_valid
 from tidemark.sources.results import encode_product, encode_run, write_updates
 from tidemark.streaming.updates import product_updates, run_updates
 
-# What one trigger may read, which bounds the rows of a key held in a task.
+# What one trigger reads unless the source options say otherwise. It bounds the
+# rows of a key that a task sorts, so a job always has a limit.
 LIMITS = {
-    "kafka": {"maxOffsetsPerTrigger": "5000000"},
+    "kafka": {"maxOffsetsPerTrigger": "1000000"},
     "json": {"maxFilesPerTrigger": "200"},
     "parquet": {"maxFilesPerTrigger": "200"},
 }
@@ -96,7 +97,7 @@ def start_job(spark: SparkSession, config: JobConfig) -> list[StreamingQuery]:
         config.source,
         config.source_format,
         streaming=True,
-        options=LIMITS[config.source_format] | config.source_options,
+        options=_limited(config),
         keyed=config.keyed_messages,
     )
     root = config.checkpoint_root or f"{shared_dir(spark)}/{config.name}"
@@ -135,6 +136,12 @@ def run_job(spark: SparkSession, config: JobConfig) -> None:
             query.stop()
 
 
+def _limited(config: JobConfig) -> dict[str, str]:
+    if any(name.endswith("PerTrigger") for name in config.source_options):
+        return config.source_options
+    return LIMITS[config.source_format] | config.source_options
+
+
 def _clock(config: JobConfig) -> Column:
     if config.clock == "processing":
         return now_epoch()

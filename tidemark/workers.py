@@ -82,6 +82,71 @@ def status_fold(group: list[str], ts: str, batch: str, stale: str, entry=None):
     return fold
 
 
+def advance(states: dict, time: int, lot: int) -> bool:
+    """Moves every possible state over one event; could it be accepted at all?
+
+    ``states`` maps a batch to the range of times it may have been accepted at;
+    None stands for any batch. Ranges may be wider than the truth, never
+    narrower, so False is certain.
+    """
+    accepted = False
+    for other in [x for x in states if x != lot]:
+        low, high = states[other]
+        if low > time:
+            continue
+        accepted = True
+        if high <= time:
+            del states[other]
+        else:
+            states[other] = (time + 1, high)
+        if other is None:
+            # The state may also be of this very batch, and then it stays.
+            widen(states, lot, low, min(high, time))
+    if accepted:
+        widen(states, lot, time, time)
+    return accepted
+
+
+def widen(states: dict, lot: int, low: int, high: int) -> None:
+    if lot in states:
+        low, high = min(low, states[lot][0]), max(high, states[lot][1])
+    states[lot] = (low, high)
+
+
+def certain(states: dict):
+    """(time, batch) when only one state is possible, else None."""
+    if len(states) != 1:
+        return None
+    [(lot, (low, high))] = states.items()
+    return (low, lot) if lot is not None and low == high else None
+
+
+def possible_fold(group: list[str], ts: str, batch: str, low: str, high: str):
+    """Keeps the fresh events of a group that some state before it would accept.
+
+    That state's time lies between the columns ``low`` and ``high``.
+    """
+
+    def fold(batches):
+        current = None
+        states = {}
+        for rows in batches:
+            if rows.num_rows == 0:
+                continue
+            times, lots = values(rows, ts), values(rows, batch)
+            keep = np.zeros(rows.num_rows, dtype=bool)
+            for start, end in stretches(rows, group):
+                this = cell(rows, group, start)
+                if this != current:
+                    current = this
+                    states = {None: cell(rows, (low, high), start)}
+                for i in range(start, end):
+                    keep[i] = advance(states, times[i], lots[i])
+            yield rows.filter(pa.array(keep))
+
+    return fold
+
+
 def exit_fold(
     unit: list[str],
     row: list[str],
@@ -94,22 +159,20 @@ def exit_fold(
     """One row per ``row`` group: the state after its last event, where certain.
 
     State is carried along a ``unit`` (one or several consecutive chunks). With
-    a known entry state the fold is exact. Without one it looks for an event
-    that is accepted whatever came before: not older than anything earlier, and
-    of a batch that cannot be the current one. ``peak`` is the largest time in
-    earlier chunks. Without such an event the group comes out unresolved.
+    a known entry state the fold is exact. Without one it starts from every
+    state there could be, with times up to ``peak`` (the largest of earlier
+    chunks); usually few events leave a single state possible. Otherwise the
+    group comes out unresolved.
     """
 
     def fold(batches):
         kinds = None
         done = []
         current_unit = current_row = None
-        known = False
-        last_ts = last_batch = top = possible = None
+        state, states = None, {}
 
         def close():
-            state = (last_ts, last_batch) if known else (None, None)
-            done.append((*current_row, known, *state))
+            done.append((*current_row, state is not None, *(state or (None, None))))
 
         def flush():
             columns = [pa.array(c, k) for c, k in zip(zip(*done), kinds)]
@@ -134,24 +197,19 @@ def exit_fold(
                     whole = cell(rows, unit, start)
                     if whole != current_unit:
                         current_unit = whole
-                        last_ts, last_batch, top = cell(rows, (*entry, peak), start)
-                        known = last_ts is not None
-                        possible = None
+                        state = cell(rows, entry, start)
+                        if state[0] is None:
+                            state = None
+                            states = {None: (START[0], cell(rows, [peak], start)[0])}
                 for i in range(start, end):
                     if olds[i]:
                         continue
                     time, lot = times[i], lots[i]
-                    if known:
-                        if lot != last_batch and time >= last_ts:
-                            last_ts, last_batch = time, lot
-                    elif time >= top:
-                        top = time
-                        if possible is not None and lot not in possible:
-                            known, last_ts, last_batch = True, time, lot
-                        else:
-                            possible = {lot}
-                    elif possible is not None:
-                        possible.add(lot)
+                    if state is None:
+                        advance(states, time, lot)
+                        state = certain(states)
+                    elif lot != state[1] and time >= state[0]:
+                        state = (time, lot)
             if len(done) >= 10_000:
                 yield flush()
         if current_row is not None:
