@@ -35,31 +35,41 @@ def running_count(
     """Every event with the run count after it, as ``run_count``."""
     cut = assign_chunks(df, key, order, rows_per_chunk)
     if cut is None:
-        by_key = Window.partitionBy(key)
-        flagged = df.withColumn("_new", _is_change(date, by_key.orderBy(order)))
-        runs = flagged.withColumn("_run", _so_far("_new", by_key.orderBy(order)))
-        within = Window.partitionBy(key, "_run").orderBy(order)
-        total = _so_far(count, within)
-        return runs.select(*df.columns, total.alias("run_count"))
-
-    runs = _local_runs(cut.rows, key, date, order)
-    hot = _local_runs(cut.hot, key, date, order)
-    carried = pin(_carried_runs(hot, key, date, count))
-    within = Window.partitionBy(key, CHUNK, "_run").orderBy(order)
+        runs = _numbered_runs(df, [key], date, order, count)
+        return runs.select(*df.columns, "run_count")
+
+    group = [key, CHUNK]
+    runs = _numbered_runs(cut.rows, group, date, order, count)
+    hot = _numbered_runs(cut.hot, group, date, order, count)
+    carried = pin(_carried_runs(hot, key, date, order))
     # Run 1 of a chunk goes on from the previous chunk if the date is the same.
-    joined = join_pinned(runs, carried, [key, CHUNK], "left")
+    joined = join_pinned(runs, carried, group, "left")
     goes_on = (F.col("_run") == 1) & F.col(date).eqNullSafe(F.col("_prev_date"))
     extra = F.when(goes_on, F.coalesce("_prev_count", F.lit(0))).otherwise(F.lit(0))
-    return joined.select(
-        *df.columns, (_so_far(count, within) + extra).alias("run_count")
-    )
+    return joined.select(*df.columns, (F.col("run_count") + extra).alias("run_count"))
 
 
-def _local_runs(df: DataFrame, key: str, date: str, order: str) -> DataFrame:
-    """Numbers the runs within each chunk, from 1."""
-    ordered = Window.partitionBy(key, CHUNK).orderBy(order)
-    flagged = df.withColumn("_new", _is_change(date, ordered))
-    return flagged.withColumn("_run", _so_far("_new", ordered))
+def _numbered_runs(
+    df: DataFrame, group: list[str], date: str, order: str, count: str
+) -> DataFrame:
+    """Numbers the runs of each group from 1 (``_run``) and counts along them.
+
+    The count is the group's running total less the total before the run, so
+    every window has the same partitioning and order: one shuffle, one sort.
+    """
+    ordered = Window.partitionBy(*group).orderBy(order)
+    flagged = df.withColumns(
+        {"_new": _is_change(date, ordered), "_total": _so_far(count, ordered)}
+    )
+    before_run = F.when(F.col("_new") == 1, F.col("_total") - F.col(count))
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    return flagged.withColumns(
+        {
+            "_run": _so_far("_new", ordered),
+            "run_count": F.col("_total")
+            - F.last(before_run, ignorenulls=True).over(so_far),
+        }
+    )
 
 
 def _is_change(date: str, ordered) -> Column:
@@ -71,15 +81,12 @@ def _so_far(name: str, ordered) -> Column:
     return F.sum(name).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
 
 
-def _carried_runs(runs: DataFrame, key: str, date: str, count: str) -> DataFrame:
+def _carried_runs(runs: DataFrame, key: str, date: str, order: str) -> DataFrame:
     """(key, chunk, _prev_date, _prev_count): the run open before each chunk."""
-    per_run = runs.groupBy(key, CHUNK, "_run").agg(
-        F.sum(count).alias("_size"), F.first(date).alias("_date")
-    )
-    per_chunk = per_run.groupBy(key, CHUNK).agg(
-        F.min_by("_date", "_run").alias("_first_date"),
-        F.max_by("_date", "_run").alias("_last_date"),
-        F.max_by("_size", "_run").alias("_tail"),
+    per_chunk = runs.groupBy(key, CHUNK).agg(
+        F.min_by(date, order).alias("_first_date"),
+        F.max_by(date, order).alias("_last_date"),
+        F.max_by("run_count", order).alias("_tail"),
         F.max("_run").alias("_runs"),
     )
     by_chunk = chunk_window(key)
