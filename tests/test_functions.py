@@ -42,6 +42,7 @@ def test_clock_ignores_the_session_zone(spark, zone):
 def test_now(spark):
     now = datetime.datetime.now().timestamp()
     assert abs(one(spark, clock.now_epoch()) - now) < 600
+    assert abs(clock.wall_clock() - now) < 600
 
 
 def test_pack_order(spark):

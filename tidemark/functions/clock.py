@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,10 +55,16 @@ def clock_text(clock: Column) -> Column:
 
 
 def now_epoch() -> Column:
-    """Wall clock in epoch seconds; per micro-batch in a stream."""
+    """Wall clock in epoch seconds, fixed per micro-batch; for streams."""
     return F.unix_timestamp(F.current_timestamp())
 
 
+def wall_clock() -> int:
+    """Epoch seconds now, read once: the clock for a batch query, whose passes
+    must all judge staleness alike."""
+    return int(time.time())
+
+
 def days_between(start: Column, end: Column) -> Column:
     return F.datediff(end, start)
 

@@ -66,7 +66,9 @@ def admit(
 
     ``mode="monotone"`` is only for batches that never decrease with ``ts``;
     there the fold has a closed form. Time and batch must not be NULL
-    (see ``sources.quality``). Select the columns you need first: the general
+    (see ``sources.quality``). ``as_of`` is a stored clock column, or one number
+    for all rows; a batch reads the wall clock once (``clock.wall_clock``),
+    because splitting hot keys takes several passes. Select the columns you need first: the general
     fold passes all of them through Arrow.
     """
     if mode not in MODES:
