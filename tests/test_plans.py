@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from tidemark.operators.admission import admit
 from tidemark.operators.chunks import assign_chunks
 from tidemark.plans import tables
 from tidemark.plans.product import product_metrics, product_result
@@ -36,14 +37,14 @@ def test_flagship_plan(spark):
     assert columns == {"event_id", "ts", "user_id", "value"}
     # One shuffle of pre-aggregated (key, batch) rows, one by key for the rest.
     assert len(shuffles(plan)) == 2
-    assert "Python" not in plan and "MapInArrow" not in plan
+    assert "Python" not in plan and "Arrow" not in plan
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
 
 
 def test_general_plan(spark):
     events = tables.observations(tables.fresh_events(spark, SF_DIR))
     plan = plan_of(product_metrics(events, EVENT_SPEC, SNAPSHOT))
-    assert plan.count("MapInArrow") == 1
+    assert plan.count("ArrowEvalPython") == 1
     assert "SortAggregate" not in plan
     # Admission by key, then (key, day) pre-aggregated, then by key.
     assert len(shuffles(plan)) == 3
@@ -53,11 +54,26 @@ def test_general_plan(spark):
 def test_result_folds_narrow_rows_once(spark):
     events = tables.observations(tables.read_events(spark, SF_DIR))
     plan = plan_of(product_result(events, EVENT_SPEC, F.col("arrival_time")))
-    assert plan.count("MapInArrow") == 1
-    fold = next(line for line in plan.splitlines() if "MapInArrow" in line)
+    assert plan.count("ArrowEvalPython") == 1
+    fold = next(line for line in plan.splitlines() if "ArrowEvalPython" in line)
     assert "obs_date" not in fold and "event_type" not in fold
 
 
+def test_fold_keeps_its_order_under_aggregation(spark):
+    """Neither the sort nor the rows below the fold are optimized away."""
+    rows = tables.observations(tables.read_events(spark, SF_DIR))
+    judged = admit(rows, EVENT_SPEC, SNAPSHOT)
+    plan = plan_of(judged.where("event_id > 5000").groupBy("status").count())
+    fold = plan.index("ArrowEvalPython")
+    assert "Sort [pid" in plan[fold:]
+    assert "event_id" not in " ".join(re.findall(r"PushedFilters: \[[^]]*\]", plan))
+    whole = {r["event_id"]: r["status"] for r in judged.collect()}
+    part = judged.where("event_id > 5000").collect()
+    assert {r["event_id"]: r["status"] for r in part} == {
+        k: v for k, v in whole.items() if k > 5000
+    }
+
+
 def test_run_count_reduces_before_the_shuffle(spark):
     plan = plan_of(contract.queries()["run_count_by_type"](spark, SF_DIR))
     assert "partial_max(arrival" in plan

@@ -68,8 +68,7 @@ def admit(
     there the fold has a closed form. Time and batch must not be NULL
     (see ``sources.quality``). ``as_of`` is a stored clock column, or one number
     for all rows; a batch reads the wall clock once (``clock.wall_clock``),
-    because splitting hot keys takes several passes. Select the columns you need first: the general
-    fold passes all of them through Arrow.
+    because splitting hot keys takes several passes.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -105,11 +104,11 @@ def _fold_codes(
     df: DataFrame, spec: SeriesSpec, group: list[str], entry=None
 ) -> DataFrame:
     ordered = df.repartition(*group).sortWithinPartitions(*group, spec.order)
-    schema = T.StructType(
-        df.schema.fields + [T.StructField("_code", T.ByteType())]
-    )
-    fold = status_fold(group, spec.ts, spec.batch, "_stale", entry)
-    return ordered.mapInArrow(fold, schema)
+    # Marked nondeterministic, as the code of a row depends on the rows before
+    # it: the optimizer then neither drops the sort nor filters rows beneath.
+    fold = F.arrow_udf(status_fold(group, entry is not None), "tinyint")
+    columns = [*group, spec.ts, spec.batch, "_stale", *(entry or ())]
+    return ordered.withColumn("_code", fold.asNondeterministic()(*columns))
 
 
 def _chunked_codes(cut: Chunked, spec: SeriesSpec) -> DataFrame:

@@ -8,6 +8,7 @@ a group never has to fit in memory.
 from __future__ import annotations
 
 import sys
+from typing import Iterator, Tuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,27 +45,30 @@ def stretches(rows: pa.RecordBatch, names: list[str]):
     return zip(starts, [*starts[1:], count])
 
 
-def status_fold(group: list[str], ts: str, batch: str, stale: str, entry=None):
-    """Appends the admission code of every row.
+def status_fold(group: list[str], entry: bool):
+    """The admission code of every row.
 
-    ``entry`` names the columns holding the state a group starts from; without
-    it every group starts fresh.
+    The columns come as the group, time, batch, staleness and, with ``entry``,
+    the time and batch of the state a group starts from; without it every group
+    starts fresh. Other columns of the rows never leave the JVM.
     """
+    names = [*group, "ts", "batch", "stale", *(["in_ts", "in_batch"] if entry else [])]
 
-    def fold(batches):
+    def fold(columns: Iterator[Tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         current = None
         last_ts, last_batch = START
-        for rows in batches:
-            if rows.num_rows == 0:
-                continue
-            times, lots = values(rows, ts), values(rows, batch)
-            olds = values(rows, stale)
+        for arrays in columns:
+            rows = pa.RecordBatch.from_arrays(list(arrays), names=names)
+            times, lots = values(rows, "ts"), values(rows, "batch")
+            olds = values(rows, "stale")
             codes = bytearray(rows.num_rows)
-            for start, end in stretches(rows, group):
+            for start, end in stretches(rows, group) if codes else ():
                 this = cell(rows, group, start)
                 if this != current:
                     current = this
-                    last_ts, last_batch = cell(rows, entry, start) if entry else START
+                    last_ts, last_batch = START
+                    if entry:
+                        last_ts, last_batch = cell(rows, ("in_ts", "in_batch"), start)
                 for i in range(start, end):
                     if olds[i]:
                         codes[i] = STALE
@@ -74,10 +78,9 @@ def status_fold(group: list[str], ts: str, batch: str, stale: str, entry=None):
                         codes[i] = LATE
                     else:
                         last_ts, last_batch = times[i], lots[i]
-            column = pa.Array.from_buffers(
+            yield pa.Array.from_buffers(
                 pa.int8(), len(codes), [None, pa.py_buffer(bytes(codes))]
             )
-            yield rows.append_column(pa.field("_code", pa.int8()), column)
 
     return fold
 
