@@ -51,6 +51,13 @@ def test_general_plan(spark):
     assert "event_type" not in read_schema(plan)
 
 
+def test_stale_rows_skip_the_shuffle(spark):
+    rows = tables.observations(tables.read_events(spark, SF_DIR))
+    plan = plan_of(admit(rows, EVENT_SPEC, SNAPSHOT))
+    fresh, stale = plan.split("ArrowEvalPython", 1)[1].split("FileScan", 1)
+    assert "Exchange" in fresh and "Exchange" not in stale
+
+
 def test_result_folds_narrow_rows_once(spark):
     events = tables.observations(tables.read_events(spark, SF_DIR))
     plan = plan_of(product_result(events, EVENT_SPEC, F.col("arrival_time")))
@@ -62,7 +69,7 @@ def test_result_folds_narrow_rows_once(spark):
 def test_fold_keeps_its_order_under_aggregation(spark):
     """Neither the sort nor the rows below the fold are optimized away."""
     rows = tables.observations(tables.read_events(spark, SF_DIR))
-    judged = admit(rows, EVENT_SPEC, SNAPSHOT)
+    judged = admit(rows, EVENT_SPEC, F.lit(SNAPSHOT))
     plan = plan_of(judged.where("event_id > 5000").groupBy("status").count())
     fold = plan.index("ArrowEvalPython")
     assert "Sort [pid" in plan[fold:]

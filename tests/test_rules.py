@@ -1,6 +1,7 @@
 """Hand-written sequences for one key, through batch and streaming plans."""
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.operators.admission import accepted_only, admit, late_only
@@ -131,6 +132,16 @@ def test_initial_batch_zero_is_a_duplicate(spark):
         assert got == {0: "duplicate_batch", 1: "accepted"}
 
 
+@pytest.mark.parametrize("mode", ["fold", "monotone"])
+def test_null_time_or_batch_is_an_error(spark, mode):
+    schema = "pid string, arrival long, ts long, batch long"
+    for row in (("p", 0, None, 1), ("p", 0, 500, None)):
+        df = spark.createDataFrame([row], schema)
+        for as_of in (None, 600):
+            with pytest.raises(PySparkException):
+                admit(df, SPEC, as_of, mode).collect()
+
+
 def test_growth_from_zero(spark):
     events = frame(spark, [(1, 1, 0.0), (2, 2, 8.0)])
     daily = fill_daily(daily_endpoints(events, SPEC), SPEC)

@@ -15,6 +15,7 @@ from tidemark.operators.chunks import (
     CHUNK,
     ROWS_PER_CHUNK,
     Chunked,
+    any_hot,
     assign_chunks,
     carried_max,
     chunk_window,
@@ -72,6 +73,13 @@ def admit(
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    if isinstance(as_of, int):
+        # Stale rows never meet the others, so they skip the shuffle.
+        fresh = F.col(spec.ts).isNull() | ~is_stale(F.col(spec.ts), as_of)
+        judged = admit(df.where(fresh), spec, None, mode, rows_per_chunk)
+        stale = df.where(is_stale(F.col(spec.ts), as_of))
+        return judged.unionByName(stale.withColumn("status", F.lit(STATUSES[1])))
+
     marked = df.withColumn("_stale", is_stale(F.col(spec.ts), as_of))
     cut = assign_chunks(marked, spec.key, spec.order, rows_per_chunk)
     if mode == "monotone":
@@ -230,8 +238,10 @@ def _monotone_codes(
     fresh_batch = F.when(~F.col("_stale"), F.col(spec.batch))
     seen = max_before(df, spec.key, spec.order, fresh_batch, "_seen", cut)
     last = F.greatest(F.col("_seen"), F.lit(START[1]).cast("bigint"))
+    unknown = F.col(spec.ts).isNull() | F.col(spec.batch).isNull()
     code = (
-        F.when(F.col("_stale"), 1)
+        F.when(unknown, F.raise_error(F.lit("NULL time or batch")).cast("int"))
+        .when(F.col("_stale"), 1)
         .when(F.col(spec.batch) == last, 2)
         .when(F.col(spec.batch) < last, 3)
         .otherwise(0)
@@ -252,9 +262,8 @@ def _first_of_batches(
         F.min(spec.order).alias(spec.order),
         *[F.min_by(c, spec.order).alias(c) for c in carried],
     )
-    hot_rows = assign_chunks(df, spec.key, spec.order, rows_per_chunk)
     cut = None
-    if hot_rows is not None:
+    if any_hot(df, spec.key, spec.order, rows_per_chunk):
         cut = assign_chunks(firsts, spec.key, spec.order, rows_per_chunk)
     seen = max_before(firsts, spec.key, spec.order, F.col(spec.batch), "_seen", cut)
     last = F.greatest(F.col("_seen"), F.lit(START[1]).cast("bigint"))

@@ -90,6 +90,14 @@ def assign_chunks(
     return Chunked(rows, hot) if CHUNK in group else None
 
 
+def any_hot(
+    df: DataFrame, key: str, order: str, rows_per_chunk: int | None
+) -> bool:
+    if rows_per_chunk is None:
+        return False
+    return not _hot_groups(df, [key], order, rows_per_chunk).isEmpty()
+
+
 def _cut(
     df: DataFrame, groups: DataFrame, names: list[str], order: str, how: str
 ) -> DataFrame:

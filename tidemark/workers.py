@@ -23,7 +23,9 @@ START = (0, 0)
 
 
 def values(rows: pa.RecordBatch, name: str) -> list:
-    """A column without NULLs as a list of Python values."""
+    """A column as a list of Python values; a NULL in it is an error."""
+    if rows.column(name).null_count:
+        raise ValueError(f"NULL in {name}: set such rows aside before admission")
     return rows.column(name).to_numpy(zero_copy_only=False).tolist()
 
 
