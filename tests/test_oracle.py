@@ -4,10 +4,10 @@ import pytest
 from compare import connect, oracle_rows, spark_rows
 
 import __spark_entry__ as contract
+from tidemark.plans.oracle import ORACLE
+from tidemark.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,8 @@ def db():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
