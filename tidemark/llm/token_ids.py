@@ -3,20 +3,34 @@
 The word tokenizer drops white space and never joins characters across it, so
 the ids of a text are those of its space-separated pieces in order. Each worker
 keeps the ids of pieces it has met as little-endian 32-bit bytes; a text is then
-one join of byte strings, and only new pieces reach the library, in batches.
+one join of byte strings, and only new pieces reach the library. Of a new piece
+that is a Latin word with closing punctuation, word and punctuation are known
+apart: the word's lower case is given to the library's model alone, which costs
+half of the way through its normaliser and splitter and gives the same ids.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterable
 
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
 
-#: Pieces a worker remembers (about 200 bytes each) before it starts afresh.
-REMEMBERED = 1_000_000
+#: Pieces, and words, a worker remembers (about 200 bytes each) before it starts afresh.
+REMEMBERED = 400_000
+
+#: Latin-1 letters, composed, then ASCII marks that split off as one run.
+WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
+#: The parts of a tokenizer file for which pieces are independent.
+NORMALISERS = ["NFC", "Replace", "Lowercase"]
+SPLITTERS = ["Split", "ByteLevel"]
+
+#: The byte alphabet's places of bytes that are not printable characters.
+_MOVED = {b: 256 + 33 + b - 0x7F for b in range(0x7F, 0xA1)} | {0xAD: 256 + 33 + 34}
 
 _encoders: dict[str, TextEncoder] = {}
 
@@ -35,7 +49,15 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        parts = json.loads(self.tokenizer.to_str())
+        kinds = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
+        splits = [n["type"] for n in (parts["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        if kinds != NORMALISERS or splits != SPLITTERS:
+            raise ValueError("the tokenizer's pieces are not independent of each other")
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
     @staticmethod
     def of(path: str) -> TextEncoder:
@@ -44,20 +66,45 @@ class TextEncoder:
             _encoders[path] = TextEncoder(path)
         return _encoders[path]
 
+    def _whole(self, pieces: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _word(self, word: str) -> bytes:
+        # The model's alphabet writes each UTF-8 byte as one character; those of
+        # Latin letters are printable or, from 0x80 to 0xA0 and 0xAD, moved up.
+        written = word if word.isascii() else word.encode().decode("latin-1").translate(_MOVED)
+        ids = [token.id for token in self.model.tokenize(written)]
+        return b"".join([i.to_bytes(4, "little") for i in ids])
+
     def learn(self, pieces: Iterable[str]) -> None:
-        new = [p for p in pieces if p not in self.known]
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        for piece, encoding in zip(new, found, strict=True):
-            self.known[piece] = np.array(encoding.ids, dtype="<u4").tobytes()
+        others = []
+        for piece in pieces:
+            match = WORD.fullmatch(piece)
+            if match is None:
+                others.append(piece)
+                continue
+            word, marks = match[1].lower(), match[2]
+            ids = self.words.get(word)
+            if ids is None:
+                ids = self.words[word] = self._word(word)
+            if marks not in self.marks:
+                self.marks[marks] = self._whole([marks])[0]
+            self.known[piece] = ids + self.marks[marks]
+        self.known.update(zip(others, self._whole(others), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit bytes."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > REMEMBERED:
             self.known = {"": b""}
+        if len(self.words) > REMEMBERED:
+            self.words = {}
+        if len(self.marks) > REMEMBERED // 100:
+            self.marks = {"": b""}
         new: set[str] = set()
         for pieces in split:
             new.update(pieces)
-        self.learn(new)
+        self.learn(new - self.known.keys())
         known = self.known.__getitem__
         return [b"".join(map(known, pieces)) for pieces in split]
