@@ -52,7 +52,9 @@ def pack_block(ids: np.ndarray) -> bytes:
     width = int(np.sort(values)[(len(values) * PERCENTILE - 1) // 100]).bit_length()
     high = values >> np.uint32(width) if width < 32 else np.zeros_like(values)
     at = np.flatnonzero(high).astype("<u2")
-    bits = ((values[:, None] >> np.arange(width, dtype=np.uint32)) & 1).astype(np.uint8)
+    kind = "<u2" if width <= 16 else "<u4"
+    octets = values.astype(kind).view(np.uint8).reshape(len(values), -1)
+    bits = np.unpackbits(octets, axis=1, count=width, bitorder="little")
     head = struct.pack("<HBBIHH", len(ids), width, 0, low, len(at), 0)
     packed = np.packbits(bits.ravel(), bitorder="little").tobytes()
     return head + packed + at.tobytes() + high[at].astype("<u4").tobytes()
@@ -63,10 +65,10 @@ def unpack_block(data: bytes, at: int) -> np.ndarray:
     at += 12
     size = (n * width + 7) // 8
     bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little")
-    bits = bits[: n * width].reshape(n, width)
-    values = np.zeros(n, np.uint32)
-    for i in range(width):
-        values |= bits[:, i].astype(np.uint32) << np.uint32(i)
+    kind = "<u2" if width <= 16 else "<u4"
+    wide = np.zeros((n, 8 * np.dtype(kind).itemsize), np.uint8)
+    wide[:, :width] = bits[: n * width].reshape(n, width)
+    values = np.packbits(wide, axis=1, bitorder="little").view(kind).ravel().astype(np.uint32)
     where = np.frombuffer(data, "<u2", odd, at + size)
     values[where] |= np.frombuffer(data, "<u4", odd, at + size + 2 * odd) << np.uint32(width)
     return values + np.uint32(low)

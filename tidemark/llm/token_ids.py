@@ -14,14 +14,14 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterable
+from collections.abc import Callable
 
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
 
-#: Pieces, and words, a worker remembers (about 200 bytes each) before it starts afresh.
-REMEMBERED = 400_000
+#: Entries (about 200 bytes each) of a worker's memory before the older half goes.
+REMEMBERED = 500_000
 
 #: Latin-1 letters, composed, then ASCII marks that split off as one run.
 WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
@@ -41,6 +41,24 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class Memory(dict):
+    """Remembers what ``find`` gives for a key; forgets what was not asked for lately."""
+
+    def __init__(self, find: Callable[[str], bytes], most: int):
+        self.find, self.half = find, most // 2
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.find(key)
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class TextEncoder:
     """Encodes texts with one tokenizer file, remembering pieces."""
 
@@ -55,9 +73,9 @@ class TextEncoder:
         if kinds != NORMALISERS or splits != SPLITTERS:
             raise ValueError("the tokenizer's pieces are not independent of each other")
         self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}
+        self.pieces = Memory(self._piece, REMEMBERED)
+        self.words = Memory(self._word, REMEMBERED)
+        self.marks = Memory(self._whole, REMEMBERED // 10)
 
     @staticmethod
     def of(path: str) -> TextEncoder:
@@ -66,9 +84,9 @@ class TextEncoder:
             _encoders[path] = TextEncoder(path)
         return _encoders[path]
 
-    def _whole(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+    def _whole(self, piece: str) -> bytes:
+        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
         # The model's alphabet writes each UTF-8 byte as one character; those of
@@ -77,34 +95,15 @@ class TextEncoder:
         ids = [token.id for token in self.model.tokenize(written)]
         return b"".join([i.to_bytes(4, "little") for i in ids])
 
-    def learn(self, pieces: Iterable[str]) -> None:
-        others = []
-        for piece in pieces:
-            match = WORD.fullmatch(piece)
-            if match is None:
-                others.append(piece)
-                continue
-            word, marks = match[1].lower(), match[2]
-            ids = self.words.get(word)
-            if ids is None:
-                ids = self.words[word] = self._word(word)
-            if marks not in self.marks:
-                self.marks[marks] = self._whole([marks])[0]
-            self.known[piece] = ids + self.marks[marks]
-        self.known.update(zip(others, self._whole(others), strict=True))
+    def _piece(self, piece: str) -> bytes:
+        match = WORD.fullmatch(piece)
+        if match is None:
+            return self._whole(piece)
+        word, marks = match.groups()
+        ids = self.words[word.lower()]
+        return ids + self.marks[marks] if marks else ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit bytes."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        if len(self.words) > REMEMBERED:
-            self.words = {}
-        if len(self.marks) > REMEMBERED // 100:
-            self.marks = {"": b""}
-        new: set[str] = set()
-        for pieces in split:
-            new.update(pieces)
-        self.learn(new - self.known.keys())
-        known = self.known.__getitem__
-        return [b"".join(map(known, pieces)) for pieces in split]
+        ids_of = self.pieces.__getitem__
+        return [b"".join(map(ids_of, t.replace("\n", " ").split(" "))) for t in texts]
