@@ -64,7 +64,8 @@ def test_further_centres_give_the_same(edited, monkeypatch):
     import tidemark.llm.near_dedup as module
 
     expected = {tuple(r) for r in near_groups(edited).collect()}
-    monkeypatch.setattr(module, "PAIRS_PER_ENTRY", -100_000)
+    monkeypatch.setattr(module, "PAIRS_PER_ENTRY", 0)
+    monkeypatch.setattr(module, "FEW_PAIRS", 0)
     assert {tuple(r) for r in near_groups(edited).collect()} == expected
 
 

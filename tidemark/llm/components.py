@@ -14,7 +14,7 @@ def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
     joined = both.join(least, "a").filter(F.col("b") > F.col("a"))
-    return joined.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    return joined.select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -30,19 +30,20 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of ``links(a, b)``; the least node names it.
 
     A round of a large and a small star at least halves the height of each
-    component's tree; rounds go on until the links no longer change. Minima are
+    component's tree; rounds go on until every link leads to a root. Minima are
     combined before they are shuffled, so a node with many links is no burden.
     """
-    links = keep(links.filter(F.col("a") != F.col("b")).select("a", "b").distinct())
-    before = None
+    links = keep(links.filter(F.col("a") != F.col("b")).select("a", "b"))
     while True:
         links = keep(_small_star(_large_star(links)))
-        mark = links.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.sum("b")
-        ).first()
-        if mark == before:
+        # All links lead down, so the roots are the ends that are no beginnings; the
+        # forest is flat when each node has one link and none leads to a node.
+        ends = links.groupBy("a").agg(F.count("*").alias("n"), F.lit(False).alias("root"))
+        roots = links.groupBy(F.col("b").alias("a")).agg(F.lit(0).alias("n"), F.lit(True).alias("root"))
+        both = ends.unionByName(roots).groupBy("a")
+        both = both.agg(F.max("n").alias("n"), F.max("root").alias("root"))
+        if both.filter((F.col("n") > 1) | ((F.col("n") == 1) & F.col("root"))).isEmpty():
             break
-        before = mark
     nodes = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return nodes.unionByName(roots)
+    return keep(nodes.unionByName(roots))

@@ -15,11 +15,12 @@ Candidates are confirmed exactly, without listing a bucket's pairs:
   the threshold with any partner; it leaves (|x & y| <= |x| - unique(x)).
 * each bucket's centre, the member with the smallest share of unique shingles,
   is compared with all members: one pair a member. Links join components.
-* what is left are members outside the component of their bucket's centre.
-  They are compared with the bucket's members of other components, after the
-  same exact bound on the pair. While that would be many pairs, further centres
-  are taken from them first. The rounds end when no pair is left, so every pair
-  that shares a bucket is confirmed, excluded by the bound, or already joined.
+* buckets of one centre are then merged, which only adds candidates. What is left
+  are members outside their centre's component. They are compared with members
+  of other components around that centre, after the same exact bound on the
+  pair. While that would be many pairs, further centres are taken from them
+  first. The rounds end when no pair is left, so every pair that shares a bucket
+  is confirmed, excluded by the bound, or already joined.
 
 A document without words links with nothing. Rows with a NULL id take part as
 copies, but do not name a component.
@@ -45,8 +46,10 @@ SIDE = 8
 PERCENT = 85
 #: Words a worker remembers the hash of.
 REMEMBERED = 1_000_000
-#: Pairs of the last comparison for each bucket entry; above it, more centres go first.
-PAIRS_PER_ENTRY = 8
+#: Pairs that the last comparison may weigh by size alone (some nanoseconds each)
+#: for each entry, and in all; above both, more centres are taken first.
+PAIRS_PER_ENTRY = 2_000
+FEW_PAIRS = 20_000_000
 
 _MULTIPLIERS = np.random.default_rng(20).integers(1, 1 << 63, 2 * SIDE * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -176,8 +179,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     ).select("a", "b")
 
 
-def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Confirmed links (a, b) that join all classes that belong together."""
+def _around_centres(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(centre, cid, sizes) for all classes that share a bucket, and their sets."""
     entries = classes.select("cid", F.explode(_tables()).alias("key"))
     counts = entries.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     shared = keep(counts.select(F.col("key").alias("shared_key")))
@@ -194,66 +197,72 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     facts = facts.select("cid", "n", F.coalesce("alone", F.lit(0)).alias("alone"))
     facts = keep(facts.filter((F.col("n") - F.col("alone")) * 100 >= F.col("n") * PERCENT))
     members = members.join(small_side(facts), "cid")
-    members = keep(members.select("key", "cid", "n", "alone"))
 
     order = F.struct((F.col("alone") / F.col("n")).alias("share"), "cid", "n", "alone")
-    centres = keep(members.groupBy("key").agg(F.min(order).alias("c"), F.count("*").alias("size")))
-    centres = centres.filter("size > 1").select(
-        "key",
-        "size",
+    centres = members.groupBy("key").agg(F.min(order).alias("c"))
+    centres = centres.select(
+        F.col("key").alias("bucket"),
         F.col("c.cid").alias("centre"),
         F.col("c.n").alias("centre_n"),
         F.col("c.alone").alias("centre_alone"),
     )
-    around = members.join(centres, "key").filter(F.col("cid") != F.col("centre"))
-    possible = _may_link(
-        F.col("n"), F.col("alone"), F.col("centre_n"), F.col("centre_alone")
-    )
-    pairs = around.filter(possible).select(F.col("cid").alias("a"), F.col("centre").alias("b"))
-    links = keep(_confirmed(pairs.distinct(), sets))
-
-    rest = members.join(centres.select("key", "centre", "size"), "key")
-    rest = rest.filter(F.col("cid") != F.col("centre"))
+    around = members.join(centres, F.col("key") == F.col("bucket"))
+    around = around.filter(F.col("cid") != F.col("centre"))
+    return keep(around.drop("key", "bucket").distinct()), sets
+
+
+def _joined(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, component) of all classes that have a link."""
+    rest, sets = _around_centres(docs, classes)
+    possible = _may_link(F.col("n"), F.col("alone"), F.col("centre_n"), F.col("centre_alone"))
+    pairs = rest.filter(possible).select(F.col("cid").alias("a"), F.col("centre").alias("b"))
+    found = components(_confirmed(pairs, sets))
+    rest = rest.drop("centre_n", "centre_alone")
     taken = 1
     while True:
-        found = keep(components(links))
-        named = rest.join(found.select(F.col("node").alias("cid"), "component"), "cid", "left")
+        named = rest.join(found.withColumnRenamed("node", "cid"), "cid", "left")
         named = named.withColumn("component", F.coalesce("component", "cid"))
         homes = found.select(F.col("node").alias("centre"), F.col("component").alias("home"))
         named = named.join(homes, "centre", "left")
         named = keep(named.withColumn("home", F.coalesce("home", "centre")))
-        outside = named.filter(F.col("component") != F.col("home"))
-        work = outside.agg(F.sum("size"), F.count("*")).first()
-        if not work[1]:
-            return links
-        other = named.select("key", *[F.col(c).alias(f"o_{c}") for c in ("cid", "n", "alone", "component")])
-        possible = _may_link(F.col("n"), F.col("alone"), F.col("o_n"), F.col("o_alone"))
-        apart = (F.col("component") != F.col("o_component")) & possible
-        last = work[0] <= PAIRS_PER_ENTRY * named.count() + 100_000
+        apart = F.col("component") != F.col("home")
+        sizes = named.groupBy("centre").agg(
+            F.count("*").alias("size"), F.count_if(apart).alias("outside")
+        )
+        work, outsiders, entries = sizes.agg(
+            F.sum(F.col("size") * F.col("outside")), F.sum("outside"), F.sum("size")
+        ).first()
+        if not outsiders:
+            return found
+        outside = named.filter(apart)
+        last = work <= max(PAIRS_PER_ENTRY * entries, FEW_PAIRS)
         if not last:
-            # Take some of the outsiders of each bucket as further centres.
+            # Some of the outsiders of each centre are centres of this round; four
+            # times as many of them in the next.
             by_share = F.struct(F.col("alone") / F.col("n"), "cid")
-            chosen = outside.groupBy("key").agg(F.min_by("cid", by_share).alias("next"))
+            chosen = outside.groupBy("centre").agg(F.min_by("cid", by_share).alias("cid"))
+            place = F.pmod(F.xxhash64(F.lit(taken), "centre", "cid"), F.lit(max(2, 128 // taken)))
+            chosen = chosen.select("centre", "cid")
             if taken > 1:
-                place = F.xxhash64(F.lit(taken), "key", "cid")
-                spread = outside.withColumn("place", F.pmod(place, F.lit(max(2, 64 // taken))))
-                chosen = chosen.unionByName(
-                    spread.filter("place = 0").select("key", F.col("cid").alias("next"))
-                ).distinct()
-            outside = outside.join(
-                chosen.withColumnRenamed("next", "cid"), ["key", "cid"], "left_semi"
-            )
-            tested = keep(outside.select("key", "cid"))
-        pairs = outside.join(other, "key").filter(apart)
-        # Of a pair met from both sides one is kept.
-        pairs = pairs.select(
-            F.greatest("cid", "o_cid").alias("a"), F.least("cid", "o_cid").alias("b")
+                chosen = chosen.unionByName(outside.filter(place == 0).select("centre", "cid"))
+            tested = keep(chosen.distinct())
+            outside = outside.join(tested, ["centre", "cid"], "left_semi")
+        other = named.select(
+            "centre", *[F.col(c).alias(f"o_{c}") for c in ("cid", "n", "alone", "component")]
+        )
+        near = _may_link(F.col("n"), F.col("alone"), F.col("o_n"), F.col("o_alone"))
+        pairs = outside.join(other, "centre").filter(
+            (F.col("component") != F.col("o_component")) & near
         )
-        links = keep(links.unionByName(_confirmed(pairs.distinct(), sets)).distinct())
+        # Of a pair met from both sides one is kept.
+        pairs = pairs.select(F.greatest("cid", "o_cid").alias("a"), F.least("cid", "o_cid").alias("b"))
+        more = _confirmed(pairs.distinct(), sets)
+        stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = components(stars.unionByName(more))
         if last:
-            return links
-        rest = keep(rest.join(tested, ["key", "cid"], "left_anti"))
-        taken *= 2
+            return found
+        rest = keep(rest.join(tested, ["centre", "cid"], "left_anti"))
+        taken *= 4
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -267,7 +276,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("rid"), F.first("marks").alias("marks")
     )
     classes = keep(grouped.withColumn("cid", F.monotonically_increasing_id()))
-    joined = components(_links(docs, classes.filter("rid IS NOT NULL")))
+    joined = _joined(docs, classes.filter("rid IS NOT NULL"))
     named = classes.select("cid", "rid", "d1", "d2").join(
         joined.withColumnRenamed("node", "cid"), "cid", "left"
     )
