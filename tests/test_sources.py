@@ -48,8 +48,8 @@ def test_sample_decodes_to_declared_types(spark, tmp_path):
     assert row["timestamp"] == SAMPLE["timestamp"]
     assert (row["is_pb"], row["is_hwc"], row["is_verified"]) == (False, False, True)
     assert row["category_l3_ids"] == []
-    assert row["price"] == pytest.approx(2.9, abs=1e-6)
-    assert row["update_time"] == datetime.datetime(2020, 7, 2, 0, 2, 12)
+    assert row["price"] == pytest.approx(4.0, abs=1e-6)
+    assert row["update_time"] == datetime.datetime(2021, 1, 5, 8, 10, 0)
     assert row["_malformed"] is None
 
 
@@ -214,3 +214,23 @@ def test_write_batch_nests_documents_as_text(spark, tmp_path):
     outer = json.loads(line)
     assert list(outer) == ["infos"]
     assert json.loads(outer["infos"])["sold_last_30"] == SAMPLE_METRICS["sold_last_30"]
+
+
+def test_every_fault_has_a_reason(spark):
+    schema = "arrival long, arrival_time long, timestamp long, price double"
+    rows = [
+        (1, 1, 100, 1.0),
+        (None, 1, 100, 1.0),
+        (1, None, 100, 1.0),
+        (1, 1, None, 1.0),
+        (1, 1, 10**18, 1.0),
+        (1, 1, 100, None),
+        (1, 1, 100, float("nan")),
+        (1, 1, 100, 1e10),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    judged = with_reason(df, ("timestamp",), ("price",))
+    assert [r.reason for r in judged.collect()] == [
+        None, "null_order", "null_clock", "null_time", "bad_time", "null_measure",
+        "bad_measure", "bad_measure",
+    ]

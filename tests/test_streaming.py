@@ -148,7 +148,7 @@ def test_sample_through_the_job(spark, tmp_path):
     assert json.loads(row["infos"]) == SAMPLE_DOCUMENT
     [(_, run)] = updates_in(spark, tmp_path / "run")
     assert run["shop_name"] == SAMPLE["shop_name"]
-    assert json.loads(run["shop_agg"]) == {"date": "2020-07-02", "count": 1}
+    assert json.loads(run["shop_agg"]) == {"date": "2021-01-05", "count": 1}
 
 
 def test_sample_is_stale_by_the_wall_clock(spark, tmp_path):

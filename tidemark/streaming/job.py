@@ -12,7 +12,6 @@ from tidemark.functions.clock import now_epoch
 from tidemark.plans.product import OBSERVATION_SPEC, prepare, result_document
 from tidemark.plans.shop import RUN_KEY, run_input
 from tidemark.schema import OBSERVATION_SCHEMA
-from tidemark.session import shared_dir
 from tidemark.sources.observations import read_observations
 from tidemark.sources.quality import RUN_TIMES, split_valid
 from tidemark.sources.results import encode_product, encode_run, write_updates
@@ -88,6 +87,16 @@ def reject_rows(observations: DataFrame) -> DataFrame:
     return split_valid(observations)[1]
 
 
+def _named_folder(spark: SparkSession) -> str:
+    """The shared folder; a job must find its state again after a restart."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
+        "spark.checkpoint.dir", None
+    )
+    if not named:
+        raise ValueError("a streaming job needs checkpoint_root or spark.checkpoint.dir")
+    return named
+
+
 def start_job(spark: SparkSession, config: JobConfig) -> list[StreamingQuery]:
     """Starts the result streams, each with its own checkpoint."""
     if config.parallelism:
@@ -100,7 +109,7 @@ def start_job(spark: SparkSession, config: JobConfig) -> list[StreamingQuery]:
         options=_limited(config),
         keyed=config.keyed_messages,
     )
-    root = config.checkpoint_root or f"{shared_dir(spark)}/{config.name}"
+    root = config.checkpoint_root or f"{_named_folder(spark)}/{config.name}"
     streams = {
         "product": (product_rows(observations, config), config.product_target),
         "run": (run_rows(observations, config), config.run_target),
