@@ -80,7 +80,7 @@ def ranked(distinct: DataFrame, keys: list[str], name: str) -> DataFrame:
     return keep(ordered.withColumn(name, F.monotonically_increasing_id()))
 
 
-def batches(frames: Iterator, size: int = 4_000_000) -> Iterator:
+def batches(frames: Iterator, size: int = 1_000_000) -> Iterator:
     """Slices of Arrow-sized pandas frames of about ``size`` characters."""
     for frame in frames:
         start = total = 0

@@ -27,14 +27,14 @@ from tidemark.llm.common import crc_of_id, table
 
 WORD_SLOTS = 1 << 15
 RANK = 8
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 6_000
 EPOCHS = 6
 BATCH = 128
 STEP = 0.08
 PENALTY = 1e-4
 THRESHOLD = 0.3
 #: Words a worker remembers the slot of.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 SYMBOLS = "!?$#%*&|<>=+@~^_/\\"
 STATISTICS = (
@@ -185,16 +185,20 @@ def learn_quality(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Factor
                     "doc_id": frame["doc_id"],
                     "quality": frame["quality"],
                     "slots": [s.astype(np.int32) for s, _ in found],
-                    "values": [v for _, v in found],
+                    "stats": [v[-len(STATISTICS) :] for _, v in found],
                 }
             )
 
     labelled = labelled.select("doc_id", "text", "n_chars", "quality")
-    shape = "doc_id long, quality int, slots array<int>, values array<double>"
+    shape = "doc_id long, quality int, slots array<int>, stats array<double>"
     seen = labelled.mapInPandas(extract, shape).toPandas()
     seen = seen.sort_values(["doc_id", "quality"], kind="stable").head(2 * sample_rows)
-    rows = zip(seen["quality"], seen["slots"], seen["values"], strict=True)
-    return fit([(int(y), np.asarray(s, np.int64), np.asarray(v)) for y, s, v in rows])
+    rows = []
+    for label, slots, stats in zip(seen["quality"], seen["slots"], seen["stats"], strict=True):
+        words = len(slots) - len(STATISTICS)
+        values = np.concatenate([np.full(words, 1 / np.sqrt(max(words, 1))), stats])
+        rows.append((int(label), np.asarray(slots, np.int64), values))
+    return fit(rows)
 
 
 def training_rows(
