@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +35,22 @@ def keep(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_memory: dict[Hashable, Any] = {}
+
+
+def worker_memory(owner: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``owner`` remembers in this worker, made once.
+
+    Workers outlive a stage. Only one owner's memory is held at a time, so the
+    operators of a pipeline do not add up in a worker.
+    """
+    if owner not in _memory:
+        _memory.clear()
+        gc.collect()
+        _memory[owner] = make()
+    return _memory[owner]
+
+
 def whole_text(column: str | Column = "text") -> Column:
     """The text, a NULL counting as empty."""
     column = F.col(column) if isinstance(column, str) else column

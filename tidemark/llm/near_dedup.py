@@ -37,7 +37,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import batches, keep, small_side, table, whole_text, without_keys
+from tidemark.llm.common import (
+    batches,
+    keep,
+    small_side,
+    table,
+    whole_text,
+    without_keys,
+    worker_memory,
+)
 from tidemark.llm.components import components
 
 WORDS = 5
@@ -60,17 +68,15 @@ class _WordHashes(dict):
         return found
 
 
-_words = _WordHashes()
-
-
 def shingles(text: str | None) -> np.ndarray:
     """The sorted distinct shingle hashes of a text."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_words) > REMEMBERED:
-        _words.clear()
-    hashes = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    known = worker_memory("word hashes", _WordHashes)
+    if len(known) > REMEMBERED:
+        known.clear()
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     width = min(WORDS, len(words))
     n = len(words) - width + 1
     mixed = np.full(n, width, np.uint64)

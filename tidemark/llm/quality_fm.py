@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_of_id, table
+from tidemark.llm.common import crc_of_id, table, worker_memory
 
 WORD_SLOTS = 1 << 15
 RANK = 8
@@ -44,16 +44,13 @@ STATISTICS = (
     + [f"symbol {s}" for s in SYMBOLS]
 )
 
-_slots: dict[str, int] = {}
 
-
-def _slot(word: str) -> int:
-    slot = _slots.get(word)
-    if slot is None:
-        if len(_slots) > REMEMBERED:
-            _slots.clear()
-        slot = _slots[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) % WORD_SLOTS
-    return slot
+class _WordSlots(dict):
+    def __missing__(self, word: str) -> int:
+        if len(self) > REMEMBERED:
+            self.clear()
+        slot = self[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) % WORD_SLOTS
+        return slot
 
 
 def statistics(text: str, n_chars: float | None) -> list[float]:
@@ -98,7 +95,8 @@ def statistics(text: str, n_chars: float | None) -> list[float]:
 def features(text: str | None, n_chars: float | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Slots and values of a text's features; words first, then statistics."""
     text = text or ""
-    slots = np.array(sorted({_slot(w) for w in set(text.lower().split())}), dtype=np.int64)
+    slot_of = worker_memory("word slots", _WordSlots).__getitem__
+    slots = np.array(sorted(set(map(slot_of, set(text.lower().split())))), dtype=np.int64)
     values = np.full(len(slots), 1 / np.sqrt(max(len(slots), 1)))
     own = np.arange(WORD_SLOTS, WORD_SLOTS + len(STATISTICS))
     return np.concatenate([slots, own]), np.concatenate([values, statistics(text, n_chars)])

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, table, whole_text
+from tidemark.llm.common import batches, table, whole_text, worker_memory
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -32,7 +32,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
 #: Stretches a worker remembers before it starts afresh.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -234,14 +234,11 @@ class PieceTokenizer:
 
 
 _STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-_tokenizers: dict[str, PieceTokenizer] = {}
 
 
 def tokenizer_of(path: str) -> PieceTokenizer:
     """The worker's tokenizer of a model file, made once."""
-    if path not in _tokenizers:
-        _tokenizers[path] = PieceTokenizer(path)
-    return _tokenizers[path]
+    return worker_memory(("pieces", path), lambda: PieceTokenizer(path))
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:

@@ -18,6 +18,8 @@ from collections.abc import Callable
 
 import numpy as np
 
+from tidemark.llm.common import worker_memory
+
 TOKENIZER = "word_bpe_49k.json"
 
 #: Entries (about 200 bytes each) of a worker's memory before the older half goes.
@@ -32,7 +34,6 @@ SPLITTERS = ["Split", "ByteLevel"]
 #: The byte alphabet's places of bytes that are not printable characters.
 _MOVED = {b: 256 + 33 + b - 0x7F for b in range(0x7F, 0xA1)} | {0xAD: 256 + 33 + 34}
 
-_encoders: dict[str, TextEncoder] = {}
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -80,9 +81,7 @@ class TextEncoder:
     @staticmethod
     def of(path: str) -> TextEncoder:
         """The worker's encoder of a file, made once."""
-        if path not in _encoders:
-            _encoders[path] = TextEncoder(path)
-        return _encoders[path]
+        return worker_memory(("token ids", path), lambda: TextEncoder(path))
 
     def _whole(self, piece: str) -> bytes:
         ids = self.tokenizer.encode(piece, add_special_tokens=False).ids

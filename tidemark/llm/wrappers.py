@@ -335,7 +335,9 @@ def main_token(pages: list[Page]) -> str | None:
     holding: Counter = Counter()
     total = 0
     depth_of: dict[str, int] = {}
+    repeated: set[str] = set()
     for page in pages:
+        repeated.update(t for t, n in Counter(page.tokens).items() if n > 1)
         stack: list[str] = []
         aside = 0
         for token, text in zip(page.tokens, page.texts, strict=True):
@@ -356,7 +358,7 @@ def main_token(pages: list[Page]) -> str | None:
     if named:
         # The largest; of nested ones with the same text the outermost.
         return max(named, key=lambda t: (named[t], -depth_of[t], t))
-    full = [t for t, size in holding.items() if size * 10 >= total * 9]
+    full = [t for t, size in holding.items() if size * 10 >= total * 9 and t not in repeated]
     return max(full, key=lambda t: (depth_of[t], t), default=None)
 
 
