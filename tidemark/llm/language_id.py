@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, crc_of_id, table, whole_text
+from tidemark.llm.common import batches, crc_of_id, table, whole_text, worker_memory
 
 SIZES = (3, 4)
 HASHES = 3
@@ -186,6 +186,7 @@ def predictor(spark: SparkSession, model: LanguageModel):
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        worker_memory("languages", object)  # releases what other operators remember
         for part in parts:
             langs, scores = [], []
             for frame in batches([pd.DataFrame({"text": part.fillna("")})]):
