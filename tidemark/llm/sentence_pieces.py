@@ -6,7 +6,8 @@ unigram scores or the merges that the scores of a BPE model imply, and byte
 fallback. Texts are cut where no piece of the vocabulary can cross (before a run
 of markers); a worker remembers the ids of the stretches it has met, encodes new
 ones in multithreaded batches, and compares each with the sentencepiece library.
-A text is in parity if all its stretches are.
+A text is in parity if all its stretches are. Lists of ids are decoded likewise: cut
+before pieces that begin with a marker, which no run of byte pieces crosses.
 """
 
 from __future__ import annotations
@@ -163,14 +164,15 @@ class PieceTokenizer:
                 decoders.Replace(MARK, " "),
                 decoders.ByteFallback(),
                 decoders.Fuse(),
-                *([decoders.Strip(" ", 1, 0)] if model.leading_mark else []),
             ]
         )
+        self.begins = np.array([p.startswith(MARK) for p, _, _ in model.pieces])
         inner = re.compile(f"[^{MARK}]{MARK}")
         self.separable = not any(inner.search(p) for p, _, k in model.pieces if k == NORMAL)
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.unequal: set[str] = set()
+        self.spelled: dict[bytes, str] = {}
 
     def normalise(self, text: str) -> str:
         """The text as the model sees it: mapped, marked."""
@@ -193,11 +195,11 @@ class PieceTokenizer:
         asked = [s[lead:].replace(MARK, " ") if s[:lead] == MARK[:lead] else None for s in new]
         plain = self.reference.encode([a or "" for a in asked], num_threads=1)
         for stretch, encoding, question, own in zip(new, found, asked, plain, strict=True):
+            ids = encoding.ids
             if question == "":
-                own = [self.reference.piece_to_id(stretch)] if len(encoding.ids) == 1 else own
-            same = question is None or encoding.ids == own
-            self.known[stretch] = np.array(encoding.ids, "<u4").tobytes()
-            if not same:
+                own = [self.reference.piece_to_id(stretch)] if len(ids) == 1 else own
+            self.known[stretch] = struct.pack(f"<{len(ids)}I", *ids)
+            if question is not None and ids != own:
                 self.unequal.add(stretch)
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
@@ -218,7 +220,7 @@ class PieceTokenizer:
             (words if easy else others).update(parts)
         fresh = words - self.words.keys()
         new = (others | {MARK + w for w in fresh}) - self.known.keys()
-        self.learn(sorted(new))
+        self.learn(list(new))
         self.words.update((w, self.known[MARK + w]) for w in fresh)
         out = []
         for parts, easy in zip(cut, simple, strict=True):
@@ -229,8 +231,20 @@ class PieceTokenizer:
         return out
 
     def decode(self, ids: list[bytes]) -> list[str]:
-        lists = [np.frombuffer(i, "<u4").tolist() for i in ids]
-        return self.tokenizer.decode_batch(lists, skip_special_tokens=False)
+        """The text of each list of ids, given as u32 bytes."""
+        if len(self.spelled) > REMEMBERED:
+            self.spelled = {}
+        cut = []
+        for data in ids:
+            starts = (np.flatnonzero(self.begins[np.frombuffer(data, "<u4")]) * 4).tolist()
+            starts = starts if starts[:1] == [0] else [0, *starts]
+            cut.append([data[a:b] for a, b in zip(starts, [*starts[1:], len(data)], strict=True)])
+        new = list(set().union(*cut) - self.spelled.keys())
+        lists = [np.frombuffer(part, "<u4").tolist() for part in new]
+        found = self.tokenizer.decode_batch(lists, skip_special_tokens=False)
+        self.spelled.update(zip(new, found, strict=True))
+        texts = ["".join(map(self.spelled.__getitem__, parts)) for parts in cut]
+        return [t.removeprefix(" ") for t in texts] if self.model.leading_mark else texts
 
 
 _STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
