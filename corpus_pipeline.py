@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import table
+from tidemark.llm.common import bound_batches, table
 from tidemark.llm.exact_dedup import drop_copies
 from tidemark.llm.language_id import keep_identified, learn_languages
 from tidemark.llm.language_id import training_rows as language_rows
@@ -26,12 +26,14 @@ from tidemark.session import shared_dir
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts of no determined language."""
+    bound_batches(spark)
     model = learn_languages(language_rows(table(spark, sf_dir, "documents")))
     return keep_identified(docs, model)
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts scored below the threshold."""
+    bound_batches(spark)
     known = quality_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return keep_good(docs, learn_quality(known))
 
@@ -43,11 +45,13 @@ def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the least id of each component of near copies."""
+    bound_batches(spark)
     return drop_near_copies(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
+    bound_batches(spark)
     return pack_documents(docs, tokenizer_path())
 
 

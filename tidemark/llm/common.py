@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Hashable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,15 @@ def keep(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Gives what this worker has freed back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 _memory: dict[Hashable, Any] = {}
 
 
@@ -46,11 +57,22 @@ def worker_memory(owner: Hashable, make: Callable[[], Any]) -> Any:
     """
     if owner not in _memory:
         _memory.clear()
-        gc.collect()
+        release_memory()
         _memory[owner] = make()
     return _memory[owner]
 
 
+def bound_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Sends workers at most ``rows`` texts at a time, a few MB, from now on.
+
+    A worker holds one batch while it reads the next; the default of 10,000 whole
+    texts each is more than a small executor has beside its heap.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def whole_text(column: str | Column = "text") -> Column:
     """The text, a NULL counting as empty."""
     column = F.col(column) if isinstance(column, str) else column

@@ -53,7 +53,7 @@ DEPTH = 3
 SIDE = 8
 PERCENT = 85
 #: Words a worker remembers the hash of.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Pairs that the last comparison may weigh by size alone (some nanoseconds each)
 #: for each entry, and in all; above both, more centres are taken first.
 PAIRS_PER_ENTRY = 2_000
