@@ -71,7 +71,7 @@ def test_factorisation_identity_and_odd_rows(spark, odd_docs, no_docs):
 def test_next_byte_probabilities_sum_to_one(sample):
     tree = learn_tree(sample)
     for context in (b"\n\n\n\n\n", b"the o", b"zqxjk"):
-        data = np.frombuffer(b"".join(context + bytes([b]) for b in range(256)), np.uint8)
+        data = np.frombuffer(b"".join(context.rjust(DEPTH, END) + bytes([b]) for b in range(256)), np.uint8)
         found = grams(data)[:: DEPTH + 1]
         assert (10 ** tree.log10(found)).sum() == pytest.approx(1, abs=1e-4)
 
