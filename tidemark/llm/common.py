@@ -62,6 +62,12 @@ def worker_memory(owner: Hashable, make: Callable[[], Any]) -> Any:
     return _memory[owner]
 
 
+def forget() -> None:
+    """Ends what this worker remembers and gives the memory back, at a task's end."""
+    _memory.clear()
+    release_memory()
+
+
 def bound_batches(spark: SparkSession, rows: int = 1_000) -> None:
     """Sends workers at most ``rows`` texts at a time, a few MB, from now on.
 

@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import (
     batches,
+    forget,
     keep,
     small_side,
     table,
@@ -124,6 +125,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "d1", "d2", "marks"])
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
+        forget()
 
     shape = "doc_id long, n_shingles long, d1 long, d2 long, marks array<long>"
     return docs.select("doc_id", whole_text().alias("text")).mapInPandas(sign, shape)
@@ -155,6 +157,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     "shingles": [f.view(np.int64) for f in found],
                 }
             )
+        forget()
 
     texts = docs.select("doc_id", whole_text().alias("text"))
     joined = texts.join(small_side(wanted), F.col("doc_id") == F.col("rid"))
