@@ -80,6 +80,35 @@ def test_odd_rows(odd_docs, no_docs):
     assert drop_near_copies(no_docs).collect() == []
 
 
+def test_null_and_repeated_ids_lose_only_their_copies(spark):
+    words = lambda start: [f"w{start + i}" for i in range(200)]
+    near = lambda start: " ".join([*words(start)[:-1], "other"])
+    text = lambda start: " ".join(words(start))
+    rows = [
+        (1, text(0), "stays"),
+        (None, near(0), "near copy without an id"),
+        (None, text(1000), "stays: unique, without an id"),
+        (None, text(2000), "one of two without an id"),
+        (None, near(2000), "one of two without an id"),
+        (7, text(3000), "stays: unique, its id occurs twice"),
+        (7, near(0), "near copy of 1"),
+        (9, text(4000), "one of two equal rows"),
+        (9, text(4000), "one of two equal rows"),
+        (None, None, "stays: no words"),
+        (None, None, "stays: no words"),
+        (2**60 + 1, text(5000), "stays"),
+        (2**60 + 2, near(5000), "near copy"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, note string").repartition(1)
+    kept = sorted(r.note for r in drop_near_copies(docs).collect())
+    once = ["one of two equal rows", "one of two without an id"]
+    stays = ["stays", "stays", *["stays: no words"] * 2]
+    stays += ["stays: unique, its id occurs twice", "stays: unique, without an id"]
+    assert kept == once + stays
+    groups = near_groups(docs).collect()
+    assert len(groups) == len(rows) and sum(r.kept for r in groups) == len(kept)
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 101), (103, 101), (200, 200)]
     got = {tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

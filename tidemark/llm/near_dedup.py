@@ -23,7 +23,9 @@ Candidates are confirmed exactly, without listing a bucket's pairs:
   is confirmed, excluded by the bound, or already joined.
 
 A document without words links with nothing. Rows with a NULL id take part as
-copies, but do not name a component.
+copies, but name a component only as NULL, if no row of it has an id. Of a
+component one row stays, of its least id; rows are told apart by id and text, as
+ids may be NULL or repeated, and rows equal in both by their number.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ from pyspark.sql import types as T
 from tidemark.llm.common import (
     batches,
     forget,
+    hash_pair,
     keep,
     small_side,
     table,
@@ -110,25 +113,33 @@ def _digest(found: np.ndarray) -> tuple[int, int]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, marks) of every row; no marks without words."""
+    """(doc_id, t1, t2, row, n_shingles, d1, d2, marks) of every row; no marks without words.
+
+    t1 and t2 are a hash of the text; ``row`` is unique once the result is written.
+    """
+    named = ["doc_id", "nameless", "t1", "t2", "row"]
 
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches(frames):
             rows = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
+            for *name, text in zip(*[frame[c] for c in named], frame["text"], strict=True):
                 found = shingles(text)
                 if len(found):
                     marks = min_hashes(found).view(np.int64)
-                    rows.append((doc_id, len(found), *_digest(found), marks))
+                    rows.append((*name, len(found), *_digest(found), marks))
                 else:
-                    rows.append((doc_id, 0, 0, 0, None))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "d1", "d2", "marks"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+                    rows.append((*name, 0, 0, 0, None))
+            yield pd.DataFrame(rows, columns=[*named, "n_shingles", "d1", "d2", "marks"])
         forget()
 
-    shape = "doc_id long, n_shingles long, d1 long, d2 long, marks array<long>"
-    return docs.select("doc_id", whole_text().alias("text")).mapInPandas(sign, shape)
+    t1, t2 = hash_pair(whole_text())
+    row = F.monotonically_increasing_id().alias("row")
+    # A NULL would turn a batch's ids into floats.
+    name = [F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("nameless")]
+    texts = docs.select(*name, t1.alias("t1"), t2.alias("t2"), row, whole_text().alias("text"))
+    shape = "doc_id long, nameless boolean, t1 long, t2 long, row long, n_shingles long, d1 long, d2 long"
+    signed = texts.mapInPandas(sign, f"{shape}, marks array<long>")
+    return signed.withColumn("doc_id", F.when(~F.col("nameless"), F.col("doc_id"))).drop("nameless")
 
 
 def _tables() -> Column:
@@ -143,7 +154,10 @@ def _tables() -> Column:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cid, n, shingles) of the classes ``wanted(cid, rid, d1, d2)``."""
+    """(cid, n, shingles) of the classes ``wanted(cid, place, d1, d2)``.
+
+    ``place`` is an id that has the set or, of rows without one, a text's hash.
+    """
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches(frames):
@@ -159,8 +173,9 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             )
         forget()
 
-    texts = docs.select("doc_id", whole_text().alias("text"))
-    joined = texts.join(small_side(wanted), F.col("doc_id") == F.col("rid"))
+    own = F.coalesce(F.col("doc_id").cast("long"), hash_pair(whole_text())[0])
+    texts = docs.select(own.alias("own"), whole_text().alias("text"))
+    joined = texts.join(small_side(wanted), F.col("own") == F.col("place"))
     shape = "cid long, n long, same boolean, shingles array<long>"
     read_back = joined.select("cid", "d1", "d2", "text").mapInPandas(read, shape)
     return keep(read_back.filter("same").select("cid", "n", "shingles").dropDuplicates(["cid"]))
@@ -196,7 +211,7 @@ def _around_centres(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, Dat
     members = entries.join(small_side(shared), F.col("key") == F.col("shared_key"))
     members = keep(members.select("key", "cid"))
     wanted = members.select("cid").distinct()
-    wanted = keep(classes.select("cid", "rid", "d1", "d2").join(wanted, "cid"))
+    wanted = keep(classes.select("cid", "place", "d1", "d2").join(wanted, "cid"))
     sets = _sets(docs, wanted)
 
     seen = sets.select("cid", F.explode("shingles").alias("h"))
@@ -274,37 +289,65 @@ def _joined(docs: DataFrame, classes: DataFrame) -> DataFrame:
         taken *= 4
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """Every row with its set's size, its component and whether it stays.
+def _marked(docs: DataFrame) -> DataFrame:
+    """Every row with its component, whether it stays and whether it is as the one that does.
 
-    Returns doc_id, n_shingles, component_id, kept.
+    Returns doc_id, t1, t2, n_shingles, component_id, kept, twin; a twin is not
+    kept and equals the row that stays in id and text.
     """
     docs = docs.select("doc_id", "text")
     rows = keep(signatures(docs))
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "t1", "t2", "row")
     grouped = rows.filter("n_shingles > 0").groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("rid"), F.first("marks").alias("marks")
+        F.min(order).alias("best"), F.first("marks").alias("marks")
     )
+    place = F.coalesce("best.doc_id", "best.t1")
+    grouped = grouped.select("d1", "d2", "best", "marks", place.alias("place"))
     classes = keep(grouped.withColumn("cid", F.monotonically_increasing_id()))
-    joined = _joined(docs, classes.filter("rid IS NOT NULL"))
-    named = classes.select("cid", "rid", "d1", "d2").join(
+    joined = _joined(docs, classes.select("cid", "place", "d1", "d2", "marks"))
+    named = classes.select("cid", "best", "d1", "d2").join(
         joined.withColumnRenamed("node", "cid"), "cid", "left"
     )
     named = keep(named.withColumn("component", F.coalesce("component", "cid")))
-    least = named.groupBy("component").agg(F.min("rid").alias("component_id"))
-    named = keep(named.join(least, "component").select("d1", "d2", "component_id"))
-    named = named.select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), "component_id")
+    least = named.groupBy("component").agg(F.min("best").alias("stays"))
+    named = named.join(least, "component").select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), "stays")
+    named = keep(named)
     on = (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("n_shingles") > 0)
-    out = rows.join(named, on, "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
-    alone = (F.col("n_shingles") == 0) | F.col("component_id").isNull()
-    return out.withColumn("kept", alone | F.col("doc_id").eqNullSafe(F.col("component_id")))
+    out = rows.drop("marks").join(named, on, "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("stays.doc_id")).otherwise(F.col("doc_id"))
+    kept = (F.col("n_shingles") == 0) | (F.col("row") == F.col("stays.row"))
+    same = F.col("doc_id").eqNullSafe(F.col("stays.doc_id"))
+    for name in ("t1", "t2"):
+        same &= F.col(name) == F.col(f"stays.{name}")
+    out = out.withColumns({"component_id": component, "kept": kept})
+    out = out.withColumn("twin", ~F.col("kept") & same)
+    return out.select("doc_id", "t1", "t2", "n_shingles", "component_id", "kept", "twin")
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """Every row with its set's size, its component and whether it stays.
+
+    Returns doc_id, n_shingles, component_id, kept.
+    """
+    return _marked(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with the least id of each component, all columns unchanged."""
-    dropped = keep(near_groups(docs).filter(~F.col("kept")).select("doc_id").distinct())
-    return without_keys(docs, dropped, {"doc_id": F.col("_row.doc_id").cast(T.LongType())})
+    """``docs`` with one row of the least id of each component, all columns unchanged."""
+    dropped = keep(_marked(docs).filter(~F.col("kept")).select("doc_id", "t1", "t2", "twin").distinct())
+    t1, t2 = hash_pair(whole_text(F.col("_row.text")))
+    names = {"doc_id": F.col("_row.doc_id").cast(T.LongType()), "t1": t1, "t2": t2}
+    twins = dropped.filter("twin")
+    rest = without_keys(docs, dropped, names)
+    if twins.isEmpty():
+        return rest
+    # Rows equal in id and text to the one that stays: one of them.
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
+    rows = rows.select("_row", *[e.alias(f"_l_{n}") for n, e in names.items()])
+    on = [F.col(f"_l_{n}").eqNullSafe(F.col(n)) for n in names]
+    equal = rows.join(small_side(twins.select(*names)), on, "left_semi")
+    one = equal.groupBy(*[f"_l_{n}" for n in names]).agg(F.first("_row").alias("_row"))
+    return rest.unionByName(one.select("_row.*"))
 
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
