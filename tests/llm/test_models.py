@@ -111,3 +111,17 @@ def test_scorer_memory_changes_nothing(sample):
     first, again = one.texts(words), one.texts(words)
     assert np.allclose(first, again, rtol=1e-5)
     assert np.allclose(first, [Scorer(tree).texts([w])[0] for w in words], rtol=1e-5)
+
+
+def test_chances_of_large_counts_stay_apart(spark, monkeypatch):
+    """A byte always seen the same way 2^25 times, and then another one."""
+    import tidemark.llm.context_tree as module
+
+    counted = module.gram_counts
+    many = lambda docs: counted(docs).withColumn("n", F.shiftleft("n", 25))
+    monkeypatch.setattr(module, "gram_counts", many)
+    docs = spark.createDataFrame([("aaaa aaaa aaaa",), ("aaaa",)], "text string")
+    words = [words_of(t) for t in ("aaaa", "\u00e9\u00e9\u00e9", "aaaa")]
+    first, rare, last = Scorer(learn_tree(docs)).texts(words)
+    assert np.isfinite(rare) and rare < -7 * 6
+    assert first == pytest.approx(last) and -5 < last < 0
