@@ -19,6 +19,7 @@ from tidemark.plans.shop import run_input, shop_runs
 from tidemark.sources.observations import read_observations
 from tidemark.sources.quality import split_valid
 from tidemark.sources.results import encode_product, write_updates
+from tidemark.plans.queries import QUERIES
 from tidemark.streaming.job import JobConfig, run_job, start_job
 from tidemark.streaming.updates import product_updates, run_updates
 
@@ -276,3 +277,23 @@ def test_documents_decode_again(spark, tmp_path):
     opened = df.select(from_document(F.col("infos"), schema).alias("d")).collect()[0]
     assert opened["d"]["pid"] == SAMPLE["pid"]
     assert opened["d"]["tags"] == SAMPLE["tags"]
+
+
+STREAM_QUERIES = ["stream_run_count", "stream_run_updates", "stream_product_metrics", "stream_update_counts"]
+
+
+@pytest.mark.parametrize("name", STREAM_QUERIES)
+def test_stream_queries_read_a_folder_of_part_files(spark, tmp_path, name):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "parts/events.parquet"))
+    events.limit(0).write.parquet(str(tmp_path / "none/events.parquet"))
+    query = QUERIES[name]
+    expected = sorted(map(repr, query(spark, "/root/testdata/sf0.001").collect()))
+    assert expected
+    assert sorted(map(repr, query(spark, str(tmp_path / "parts")).collect())) == expected
+    assert query(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_a_stream_without_files_has_no_rows(spark, tmp_path):
+    (tmp_path / "events.parquet").mkdir()
+    assert QUERIES["stream_run_updates"](spark, str(tmp_path)).collect() == []

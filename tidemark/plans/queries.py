@@ -459,16 +459,28 @@ def _drain(
         updates, "parquet", f"{root}/out", f"{root}/checkpoint", interval=None
     )
     query.awaitTermination()
+    if not _status(spark, f"{root}/out"):
+        return spark.createDataFrame([], updates.schema)
     return spark.read.schema(updates.schema).parquet(f"{root}/out/batch_id=*")
 
 
+def _status(spark: SparkSession, path: str):
+    """Spark's status of a file or folder, None if there is none."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = found.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getFileStatus(found) if system.exists(found) else None
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        spark.readStream.schema(tables.EVENT_SCHEMA)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", "200")
-        .parquet(sf_dir)
-    )
+    """The events table as a stream; a stream reads folders, so one file is
+    picked from its parent."""
+    stream = spark.readStream.schema(tables.EVENT_SCHEMA)
+    stream = stream.option("maxFilesPerTrigger", "200")
+    path = f"{sf_dir}/events.parquet"
+    status = _status(spark, path)
+    if status is not None and status.isDirectory():
+        return stream.parquet(path)
+    return stream.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def stream_run_count(spark: SparkSession, sf_dir: str) -> DataFrame:
