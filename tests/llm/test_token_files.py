@@ -56,3 +56,19 @@ def test_files_hold_every_id(request, spark, tmp_path, which):
 def test_null_ids_are_refused(odd_docs, tmp_path):
     with pytest.raises(Exception, match="doc_id is NULL"):
         write_token_files(odd_docs, tokenizer_path(), str(tmp_path / "t"))
+
+
+def test_null_ids_have_a_place(spark, odd_docs, tmp_path):
+    import tidemark.llm.token_files as module
+
+    more = [(None, "another one"), (None, None), (None, None), (2**60 + 1, "large id"), (2**60 + 3, "large id")]
+    docs = odd_docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = module.op9_token_files(spark, str(tmp_path)).collect()
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    start, expected = 0, []
+    for r in sorted(docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text or "")):
+        ids = np.array([*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1], "<u4")
+        expected.append((r.doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == expected

@@ -5,7 +5,8 @@ A shard file holds the ids of consecutive documents in ascending doc_id order::
     magic "PFOR1\\0\\0\\0"
     blocks of up to 4096 ids, one after another
     index  u64 byte position of each block
-    docs   i64 doc_id, u64 number of ids, of each document
+    docs   i64 doc_id, u64 number of ids, of each document; of one with a NULL id
+           0, and the number's top bit is set
     footer u64 number of blocks, u64 number of documents, u64 number of ids, magic
 
 A block stores ``id - minimum`` in as many bits as the ``PERCENTILE`` of its
@@ -44,6 +45,7 @@ PERCENTILE = 95
 END_ID = 1
 #: Ids after which a task starts its next file (bounds a reader's memory).
 SHARD_IDS = 4_000_000
+NAMELESS = 1 << 63
 
 
 def pack_block(ids: np.ndarray) -> bytes:
@@ -74,7 +76,7 @@ def unpack_block(data: bytes, at: int) -> np.ndarray:
     return values + np.uint32(low)
 
 
-def shard_bytes(docs: list[tuple[int, bytes]]) -> bytes:
+def shard_bytes(docs: list[tuple[int | None, bytes]]) -> bytes:
     """The file of documents given as (doc_id, ids as u32 bytes)."""
     ids = np.frombuffer(b"".join(d for _, d in docs), dtype="<u4")
     out, index = [MAGIC], []
@@ -84,12 +86,13 @@ def shard_bytes(docs: list[tuple[int, bytes]]) -> bytes:
         index.append(at)
         at += len(block)
         out.append(block)
-    table_of_docs = b"".join(struct.pack("<qQ", i, len(d) // 4) for i, d in docs)
+    rows = ((0, NAMELESS | len(d) // 4) if i is None else (i, len(d) // 4) for i, d in docs)
+    table_of_docs = b"".join(struct.pack("<qQ", *r) for r in rows)
     footer = struct.pack("<QQQ", len(index), len(docs), len(ids)) + MAGIC
     return b"".join([*out, np.array(index, dtype="<u8").tobytes(), table_of_docs, footer])
 
 
-def read_shard(data: bytes) -> Iterator[tuple[int, np.ndarray]]:
+def read_shard(data: bytes) -> Iterator[tuple[int | None, np.ndarray]]:
     """(doc_id, ids) of every document of a file, in order."""
     blocks, docs, _ = struct.unpack_from("<QQQ", data, len(data) - 32)
     if data[-8:] != MAGIC or data[:8] != MAGIC:
@@ -99,6 +102,8 @@ def read_shard(data: bytes) -> Iterator[tuple[int, np.ndarray]]:
     rows = struct.iter_unpack("<qQ", data[docs_at : docs_at + 16 * docs])
     pending, ahead, block = [], 0, 0
     for doc_id, n in rows:
+        if n & NAMELESS:
+            doc_id, n = None, n ^ NAMELESS
         while ahead < n:
             pending.append(unpack_block(data, int(index[block])))
             ahead += len(pending[-1])
@@ -123,14 +128,19 @@ def _write(folder: str, name: str, data: bytes) -> None:
 
 
 def write_token_files(
-    docs: DataFrame, path: str, folder: str, end_id: int = END_ID, shard_ids: int = SHARD_IDS
+    docs: DataFrame,
+    path: str,
+    folder: str,
+    end_id: int = END_ID,
+    shard_ids: int = SHARD_IDS,
+    null_ids: bool = False,
 ) -> DataFrame:
     """Write ``docs(doc_id, text)`` in ascending doc_id order; returns a row per file.
 
     Rows are dealt by ranges of doc_id and sorted, so files follow each other in
-    order of (task, number). A NULL text is empty; rows with a NULL id are
-    refused, as a file has no place for them. Rows of one id follow the order of
-    their texts.
+    order of (task, number). A NULL text is empty. Rows of one id follow the order
+    of their texts. Rows with a NULL id come first with ``null_ids``, dealt by
+    ranges of their texts too; without it they are refused.
     """
     end = end_id.to_bytes(4, "little")
 
@@ -148,10 +158,12 @@ def write_token_files(
         task = TaskContext.get().partitionId()
         held, total, number = [], 0, 0
         for frame in batches(frames):
-            if frame["doc_id"].isna().any():
+            nameless = frame["nameless"].to_numpy()
+            if nameless.any() and not null_ids:
                 raise ValueError("doc_id is NULL: a token file needs one for every document")
-            for doc_id, ids in zip(frame["doc_id"], encoder.encode(frame["text"].tolist()), strict=True):
-                held.append((int(doc_id), ids + end))
+            names = [None if n else int(i) for i, n in zip(frame["doc_id"], nameless, strict=True)]
+            for doc_id, ids in zip(names, encoder.encode(frame["text"].tolist()), strict=True):
+                held.append((doc_id, ids + end))
                 total += len(ids) // 4 + 1
                 if total >= shard_ids:
                     yield write(task, held, number)
@@ -160,7 +172,11 @@ def write_token_files(
             yield write(task, held, number)
 
     ordered = docs.select("doc_id", whole_text().alias("text"))
-    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    nameless = F.col("doc_id").isNull()
+    ordered = ordered.repartitionByRange("doc_id", F.when(nameless, F.col("text")))
+    ordered = ordered.sortWithinPartitions("doc_id", "text")
+    # A NULL would turn a batch's ids into floats.
+    ordered = ordered.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "text", nameless.alias("nameless"))
     return keep(ordered.mapInPandas(run, "file string, ids long, docs long, bytes long"))
 
 
@@ -180,7 +196,8 @@ def read_token_files(spark: SparkSession, folder: str, written: DataFrame) -> Da
                 for doc_id, ids in read_shard(content):
                     rows.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
                     start += len(ids)
-                yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
+                out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"], dtype=object)
+                yield out.astype({c: "Int64" if c == "doc_id" else "int64" for c in out.columns})
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pfor").load(folder)
     named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
@@ -194,7 +211,7 @@ def read_token_files(spark: SparkSession, folder: str, written: DataFrame) -> Da
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
-    written = write_token_files(docs, tokenizer_path(), folder)
+    written = write_token_files(docs, tokenizer_path(), folder, null_ids=True)
     if written.isEmpty():
         return docs.select(
             F.col("doc_id").cast("long"),
