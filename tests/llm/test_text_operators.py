@@ -31,6 +31,30 @@ def test_pages_without_an_article_element():
     assert all("m" != g.split("\n\n")[0] for g in got)
 
 
+def test_all_equal_main_elements_of_a_matching_page():
+    part = "<article><h2>{0}</h2><p>{1}</p></article>"
+    for parts in (2, 3):
+        pages = [
+            "<body><nav>n</nav>" + "".join(part.format(f"H{i}{k}", f"text {i} {k}") for k in range(parts)) + "</body>"
+            for i in range(4)
+        ]
+        assert main_texts(pages) == [
+            "\n\n".join(f"H{i}{k}\n\ntext {i} {k}" for k in range(parts)) for i in range(4)
+        ]
+    apart = "<body>{0}<div><p>between {1}</p></div>{0}</body>"
+    pages = [apart.format(part.format("H", f"text {i}"), i) for i in range(3)]
+    assert main_texts(pages) == [f"H\n\ntext {i}\n\nH\n\ntext {i}" for i in range(3)]
+
+
+def test_text_of_every_page_is_template():
+    page = "<body><article><div><p>Read our terms.</p></div><p>own text of page {0}</p><p>more {0}</p></article></body>"
+    assert main_texts([page.format(i) for i in range(6)]) == [f"own text of page {i}\n\nmore {i}" for i in range(6)]
+    few = main_texts([page.format(i) for i in range(2)] * 4)
+    assert few == [f"Read our terms.\n\nown text of page {i}\n\nmore {i}" for i in (0, 1)] * 4
+    copies = "<body><article><p>" + "one text " * 9 + "</p><p>{}</p></article></body>"
+    assert all(t.startswith("one text") for t in main_texts([copies.format(i) for i in range(6)]))
+
+
 def test_odd_pages(spark):
     rows = [(1, "http://a.b/x", None, 1), (2, None, "", 1), (None, "http://a.b/y", "plain < text", 1)]
     rows += [(3, "http://a.b/z", "<article><p>cut &amp; of", 1), (3, "http://a.b/z", "<article><p>cut &amp; of", 1)]

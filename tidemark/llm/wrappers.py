@@ -1,12 +1,18 @@
 """Main text of web pages by union-free wrapper inference.
 
 The pages of a host are token streams of structural tags and text. A first
-page's stream is the wrapper; every further page is aligned with it. A mismatch
-is resolved, in this order, into a text slot (texts differ), a repeated group
-(the same run of tokens follows itself) or an optional group (one side has
-tokens the other lacks). The result is a regular expression without unions over
-tags, slots, ``( )?`` and ``( )+``. It is compiled and matched against each page;
-a named group in it is the main region, and the texts it covers are the article.
+page's stream is the wrapper; every further page is aligned with it. A text
+matches any text (a slot). A mismatch is resolved into a repeated group (the same
+run of tokens follows itself) or an optional group (one side has tokens the other
+lacks). The result is a regular expression without unions over tags, slots,
+``( )?`` and ``( )+``. It is compiled and matched against each page. Of a page it
+matches, every element of the group's main opening token is a main region, and the
+texts they cover are the article.
+
+Texts are compared by value over the whole group: one that stands on every page,
+whatever surrounds it, is template and no part of an article. That needs
+``LEAST_PAGES`` different pages, and is not done where pages are copies: if such
+texts are more than half of a page's text, no text is template.
 
 The main region is the element that names itself the article (``article``,
 ``main`` or a telling class), else the innermost element that holds most of the
@@ -34,6 +40,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import BROADCAST_KEYS, keep, table
 
 GROUP_BYTES = 1 << 20
+LEAST_PAGES = 5
 
 #: Fixed values of HTML: elements whose content is no text, that are empty, or
 #: that stand within a line; and elements that a following one closes.
@@ -271,27 +278,28 @@ def _ahead(nodes: list, start: int, wanted) -> int | None:
     return None
 
 
-def _expression(nodes, symbols: dict[str, str], main: str | None) -> str:
-    parts, depth, inside = [], 0, False
+def _expression(nodes, symbols: dict[str, str]) -> str:
+    parts = []
     for node in nodes:
         if isinstance(node, tuple):
-            mark = node[0]
-            parts.append(f"(?:{_expression(node[1], symbols, None if inside else main)}){mark}+")
-            continue
-        if node == main and not inside:
-            parts.append("(")
-            inside = True
-        parts.append(re.escape(symbols[node]))
-        if inside and node != TEXT:
-            depth += 1 if node[0] == "<" else -1
-            if depth == 0:
-                parts.append(")")
-                inside, main = False, None
-    if inside:
-        raise ValueError("the main element is not closed where it was opened")
+            parts.append(f"(?:{_expression(node[1], symbols)}){node[0]}+")
+        else:
+            parts.append(re.escape(symbols[node]))
     return "".join(parts)
 
 
+def template_texts(pages: list[Page]) -> set[str]:
+    """The texts that stand on every page of a group of different pages."""
+    distinct = {tuple(p.texts): p for p in pages if any(p.texts)}
+    if len(distinct) < LEAST_PAGES:
+        return set()
+    found = set.intersection(*[set(texts) for texts in distinct]) - {""}
+    for texts in distinct if found else ():
+        if 2 * sum(len(t) for t in texts if t in found) > sum(map(len, texts)):
+            return set()
+    return found
+
+
 class Wrapper:
     """The inferred expression of a group of pages."""
 
@@ -314,19 +322,16 @@ class Wrapper:
         self.pattern = None
         if self.nodes and self.main and len(self.symbols) < 6000:
             try:
-                self.pattern = re.compile(_expression(self.nodes, self.symbols, self.main))
-            except (ValueError, re.error, RecursionError):
+                self.pattern = re.compile(_expression(self.nodes, self.symbols))
+            except (re.error, RecursionError):
                 self.pattern = None
 
-    def region(self, page: Page) -> tuple[int, int] | None:
-        """The main region's tokens in a page that the expression matches."""
+    def regions(self, page: Page) -> list[tuple[int, int]]:
+        """The main regions' tokens in a page that the expression matches."""
         if self.pattern is None:
-            return None
+            return []
         match = self.pattern.fullmatch("".join(map(self.symbols.__getitem__, page.tokens)))
-        if match is None:
-            return None
-        spans = [match.span(g) for g in range(1, self.pattern.groups + 1) if match.span(g)[0] >= 0]
-        return spans[0] if len(spans) == 1 else None
+        return [] if match is None else elements(page, self.main)
 
 
 def main_token(pages: list[Page]) -> str | None:
@@ -364,7 +369,11 @@ def main_token(pages: list[Page]) -> str | None:
 
 def regions_without_wrapper(page: Page) -> list[tuple[int, int]]:
     """The main regions by the page's own names, else the whole page."""
-    main = main_token([page])
+    return elements(page, main_token([page])) or [(0, len(page.tokens))]
+
+
+def elements(page: Page, main: str | None) -> list[tuple[int, int]]:
+    """The outermost elements that ``main`` opens."""
     spans, depth, start = [], 0, -1
     for at, token in enumerate(page.tokens):
         if token == TEXT:
@@ -376,16 +385,16 @@ def regions_without_wrapper(page: Page) -> list[tuple[int, int]]:
             if depth == 0:
                 spans.append((start, at + 1))
                 start = -1
-    return spans or [(0, len(page.tokens))]
+    return spans
 
 
-def blocks(page: Page, span: tuple[int, int]) -> list[str]:
-    """The texts of a region, without those of elements that stand aside."""
+def blocks(page: Page, span: tuple[int, int], template: set[str] = frozenset()) -> list[str]:
+    """The texts of a region, without ``template`` and those of elements that stand aside."""
     out, aside = [], 0
     in_article = span[0] < len(page.tokens) and _is_main(page.tokens[span[0]])
     for token, text in zip(page.tokens[span[0] : span[1]], page.texts[span[0] : span[1]], strict=True):
         if token == TEXT:
-            if not aside:
+            if not aside and text not in template:
                 out.append(text)
         elif _is_aside(token, in_article):
             aside += 1 if token[0] == "<" else -1
@@ -395,12 +404,11 @@ def blocks(page: Page, span: tuple[int, int]) -> list[str]:
 def main_texts(sources: list[str | None]) -> list[str]:
     """The main text of each page of one group."""
     pages = [read_page(s) for s in sources]
-    wrapper = Wrapper(pages)
+    wrapper, template = Wrapper(pages), template_texts(pages)
     out = []
     for page in pages:
-        span = wrapper.region(page)
-        spans = [span] if span else regions_without_wrapper(page)
-        out.append("\n\n".join(b for s in spans for b in blocks(page, s)))
+        spans = wrapper.regions(page) or regions_without_wrapper(page)
+        out.append("\n\n".join(b for s in spans for b in blocks(page, s, template)))
     return out
 
 
