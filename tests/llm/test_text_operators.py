@@ -1,8 +1,13 @@
 import numpy as np
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
+from test_near_dedup import brute
+from tokenizers import Tokenizer
 
 import corpus_pipeline
+from tidemark.llm.quality_fm import THRESHOLD, features
 from tidemark.llm.sentence_pieces import encode_documents, model_path, tokenizer_of
+from tidemark.llm.token_ids import tokenizer_path
 from tidemark.llm.wrappers import extract_main_text, main_texts
 
 PAGE = (
@@ -77,3 +82,35 @@ def test_sentencepiece_parity(spark, sample, odd_docs, no_docs):
 def test_pipeline_runs_on_whole_tables(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert rows and max(r.offset + r.length for r in rows) <= 2048
+
+
+def test_pipeline_matches_plain_stages(spark, tmp_path, monkeypatch):
+    """Every stage against plain Python, with short clean texts among the documents."""
+    source = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{source}/documents.parquet")
+    short = ["a", "of it", "the end", "12 34 !", "", None]
+    more = spark.createDataFrame([(10**6 + i, t, len(t or "")) for i, t in enumerate(short)], "doc_id long, text string, n_chars long")
+    more = more.withColumn("lang", F.lit(None).cast("string"))
+    docs = docs.unionByName(more, allowMissingColumns=True)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{source}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    models = []
+    learn = corpus_pipeline.learn_quality
+    monkeypatch.setattr(corpus_pipeline, "learn_quality", lambda known: models.append(learn(known)) or models[-1])
+
+    placed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    rows = [r for r in docs.select("doc_id", "text", "n_chars").collect() if any(map(str.isalpha, r.text or ""))]
+    assert {10**6, 10**6 + 1, 10**6 + 2} == {r.doc_id for r in rows if r.doc_id >= 10**6}
+    found = corpus_pipeline.identify_language(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in found.collect()) == sorted(r.doc_id for r in rows)
+    rows = [r for r in rows if models[0].score(*features(r.text, float(r.n_chars))) >= THRESHOLD]
+    last = {t: max(r.doc_id for r in rows if r.text == t) for t in {r.text for r in rows}}
+    rows = [r for r in rows if r.doc_id == last[r.text]]
+    kept = {i for i, _, _, stays in brute(rows) if stays}
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    expected = {r.doc_id: len(tokenizer.encode(r.text, add_special_tokens=False).ids) + 1 for r in rows if r.doc_id in kept}
+    lengths: dict = {}
+    for r in placed:
+        lengths[r.doc_id] = lengths.get(r.doc_id, 0) + r.length
+    assert lengths == expected

@@ -209,15 +209,16 @@ def training_rows(documents: DataFrame) -> DataFrame:
     return documents.filter(F.coalesce(crc_of_id(4) != 2, F.lit(False)))
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, least_score: float = 0.5) -> DataFrame:
-    """``docs`` without texts of no determined language or of a low score."""
+def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """``docs`` without texts of no determined language.
+
+    A score says how far a language leads, not whether a text is clean: it is low
+    for any short text and falls with the number of languages.
+    """
     predict = predictor(docs.sparkSession, model)
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
     marked = rows.withColumn("_language", predict(F.col("_row.text")))
-    kept = marked.filter(
-        (F.col("_language.lang_pred") != UNDETERMINED) & (F.col("_language.score") >= least_score)
-    )
-    return kept.select("_row.*")
+    return marked.filter(F.col("_language.lang_pred") != UNDETERMINED).select("_row.*")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
