@@ -9,7 +9,7 @@ from collections.abc import Callable, Hashable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import shared_dir
@@ -126,6 +126,18 @@ def ranked(distinct: DataFrame, keys: list[str], name: str) -> DataFrame:
     return keep(ordered.withColumn(name, F.monotonically_increasing_id()))
 
 
+def best_rows(rows: DataFrame, keys: list[str], order: list[Column], k: int, groups: int = 256) -> DataFrame:
+    """The first ``k`` rows of each key, with their ``place`` from 1.
+
+    ``rows`` has the ``task`` that made it; rows of a key are first thinned in
+    ``groups`` groups of tasks, so many tasks do not meet in one group.
+    """
+    for spread in ([F.col("task") % groups], []):
+        own = Window.partitionBy(*keys, *spread).orderBy(*order)
+        rows = rows.withColumn("place", F.row_number().over(own)).filter(F.col("place") <= k)
+    return rows
+
+
 def batches(frames: Iterator, size: int = 1_000_000) -> Iterator:
     """Slices of Arrow-sized pandas frames of about ``size`` characters."""
     for frame in frames:

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, merkle_manifest
+from tidemark.llm import exact_dedup, lexical_search, merkle_manifest
 from tidemark.llm.context_tree import op3_context_tree
 from tidemark.llm.exact_dedup import op10_exact_dedup
 from tidemark.llm.language_id import op2_language_id
+from tidemark.llm.lexical_search import op11_lexical_search
 from tidemark.llm.merkle_manifest import op13_merkle_manifest
 from tidemark.llm.near_dedup import op7_minhash_dedup
 from tidemark.llm.packing import op4_best_fit_packing
@@ -30,10 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_phrase_fingerprint": op8_phrase_fingerprint,
     "op9_token_files": op9_token_files,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_lexical_search": op11_lexical_search,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
     "op10_exact_dedup": exact_dedup.SQL,
+    "op11_lexical_search": lexical_search.SQL,
     "op13_merkle_manifest": merkle_manifest.SQL,
 }
