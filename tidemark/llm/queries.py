@@ -18,6 +18,7 @@ from tidemark.llm.phrase_fingerprint import op8_phrase_fingerprint
 from tidemark.llm.quality_fm import op6_quality_fm
 from tidemark.llm.sentence_pieces import op5_sentencepiece
 from tidemark.llm.token_files import op9_token_files
+from tidemark.llm.vector_graph import op12_vector_graph
 from tidemark.llm.wrappers import op1_main_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_lexical_search": op11_lexical_search,
+    "op12_vector_graph": op12_vector_graph,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
