@@ -4,8 +4,7 @@ import pytest
 from compare import connect, oracle_rows, spark_rows
 
 import __spark_entry__ as contract
-from tidemark.plans.oracle import ORACLE
-from tidemark.plans.queries import QUERIES
+from tidemark.plans.catalog import ORACLE, QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
 

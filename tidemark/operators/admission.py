@@ -22,12 +22,14 @@ from tidemark.operators.chunks import (
     join_on,
     join_pinned,
     max_before,
+    without_pinned,
 )
 from tidemark.schema import STALE_AFTER_SECONDS, STATUSES, SeriesSpec
 from tidemark.session import pin
 from tidemark.workers import START, exit_fold, possible_fold, status_fold
 
-MODES = ("fold", "monotone")
+MODES = ("fold", "monotone", "checked")
+UNKNOWN = "NULL time or batch"
 
 
 def is_stale(ts: Column, as_of: Column | int | None) -> Column:
@@ -46,14 +48,44 @@ def drop_stale(df: DataFrame, spec: SeriesSpec, as_of: Column | int) -> DataFram
     return df.where(F.col(spec.ts) >= as_of - F.lit(STALE_AFTER_SECONDS))
 
 
+def fresh_rows(df: DataFrame, spec: SeriesSpec, as_of: Column | int | None) -> DataFrame:
+    """``drop_stale`` before admission: a NULL time stays, to be refused there."""
+    if as_of is None:
+        return df
+    return df.where(F.col(spec.ts).isNull() | ~is_stale(F.col(spec.ts), as_of))
+
+
 def late_only(
     df: DataFrame, spec: SeriesSpec, rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
     """Keeps rows not older than any earlier row of their key."""
     cut = assign_chunks(df, spec.key, spec.order, rows_per_chunk)
     seen = max_before(df, spec.key, spec.order, F.col(spec.ts), "_seen", cut)
-    kept = seen.where(F.col("_seen").isNull() | (F.col(spec.ts) >= F.col("_seen")))
-    return kept.select(*df.columns)
+    on_time = F.col("_seen").isNull() | (F.col(spec.ts) >= F.col("_seen"))
+    return seen.where(_known(F.col(spec.ts).isNull(), on_time)).select(*df.columns)
+
+
+def unique_order(
+    df: DataFrame, spec: SeriesSpec, ties: str = "refuse", by: tuple[str, ...] = ()
+) -> DataFrame:
+    """``df`` with an order that no two rows of a key share, as admission needs.
+
+    ``ties="refuse"`` fails if two rows of a key have one order, and changes nothing
+    else. ``"rank"`` replaces the order by the row's rank by key, order and the
+    columns ``by``, which should tell rows apart (their place in the source does):
+    one sort by range, so a key or an order with many rows is many tasks.
+    """
+    if ties == "rank":
+        names = [spec.key, spec.order, *by]
+        ranked = df.repartitionByRange(*names).sortWithinPartitions(*names)
+        rank = F.monotonically_increasing_id()
+        return pin(ranked.withColumn(spec.order, rank)).select(*df.columns)
+    if ties != "refuse":
+        raise ValueError("ties are 'refuse'd or told apart by 'rank'")
+    repeated = df.groupBy(spec.key, spec.order).count().where("count > 1").take(1)
+    if repeated:
+        raise ValueError(f"two rows of a key share one {spec.order}: {repeated[0]}")
+    return df
 
 
 def admit(
@@ -66,8 +98,10 @@ def admit(
     """Every row with its ``status``: accepted, stale, duplicate_batch or late.
 
     ``mode="monotone"`` is only for batches that never decrease with ``ts``;
-    there the fold has a closed form. Time and batch must not be NULL
-    (see ``sources.quality``). ``as_of`` is a stored clock column, or one number
+    there the fold has a closed form. ``"checked"`` tests that for every key and
+    folds the keys it does not hold for, so it is right on any input. Time and batch
+    must not be NULL (see ``sources.quality``), which every mode refuses, and no two
+    rows of a key may share an order (``unique_order``). ``as_of`` is a stored clock column, or one number
     for all rows; a batch reads the wall clock once (``clock.wall_clock``),
     because splitting hot keys takes several passes.
     """
@@ -81,6 +115,13 @@ def admit(
         return judged.unionByName(stale.withColumn("status", F.lit(STATUSES[1])))
 
     marked = df.withColumn("_stale", is_stale(F.col(spec.ts), as_of))
+    if mode == "checked":
+        fresh = marked.where(F.coalesce(~F.col("_stale"), F.lit(True)))
+        keys = unordered_keys(fresh, spec, rows_per_chunk)
+        folded = join_pinned(df, keys, [spec.key], "left_semi")
+        closed = without_pinned(df, keys, [spec.key])
+        folded = admit(folded, spec, as_of, "fold", rows_per_chunk)
+        return folded.unionByName(admit(closed, spec, as_of, "monotone", rows_per_chunk))
     cut = assign_chunks(marked, spec.key, spec.order, rows_per_chunk)
     if mode == "monotone":
         coded = _monotone_codes(marked, spec, cut)
@@ -101,13 +142,49 @@ def accepted_only(
     rows_per_chunk: int | None = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """The accepted rows; stale ones are dropped before the shuffle."""
-    fresh = df if as_of is None else drop_stale(df, spec, as_of)
+    fresh = fresh_rows(df, spec, as_of)
+    if mode == "checked":
+        keys = unordered_keys(fresh, spec, rows_per_chunk)
+        folded = join_pinned(fresh, keys, [spec.key], "left_semi")
+        closed = without_pinned(fresh, keys, [spec.key])
+        folded = accepted_only(folded, spec, None, "fold", rows_per_chunk)
+        return folded.unionByName(_first_of_batches(closed, spec, rows_per_chunk))
     if mode == "monotone":
         return _first_of_batches(fresh, spec, rows_per_chunk)
     judged = admit(fresh, spec, None, mode, rows_per_chunk)
     return judged.where(F.col("status") == "accepted").drop("status")
 
 
+def unordered_keys(
+    fresh: DataFrame, spec: SeriesSpec, rows_per_chunk: int | None = ROWS_PER_CHUNK
+) -> DataFrame:
+    """The keys whose batches, in order of their ids, are not apart in time.
+
+    Where each batch of a key begins after all smaller ones have ended, and ids and
+    times are above the state a key starts from, the closed form equals the fold.
+    Rows are reduced to one range for each (key, batch) before they are compared.
+    """
+    ranges = fresh.groupBy(spec.key, spec.batch).agg(
+        F.min(spec.ts).alias("_low"),
+        F.max(spec.ts).alias("_high"),
+        F.max(F.col(spec.ts).isNull()).alias("_unknown"),
+    )
+    cut = None
+    if any_hot(fresh, spec.key, spec.order, rows_per_chunk):
+        cut = assign_chunks(ranges, spec.key, spec.batch, rows_per_chunk)
+    seen = max_before(ranges, spec.key, spec.batch, F.col("_high"), "_ended", cut)
+    apart = F.col("_ended").isNull() | (F.col("_ended") < F.col("_low"))
+    started = (F.col("_low") >= START[0]) & (F.col(spec.batch) > START[1])
+    holds = F.coalesce(apart & started & ~F.col("_unknown"), F.lit(False))
+    return pin(seen.where(~holds).select(spec.key).distinct())
+
+
+def _known(unknown: Column, test: Column) -> Column:
+    """``test``, failing on a row where it cannot be made."""
+    refused = F.raise_error(F.lit(UNKNOWN)).cast("boolean")
+    return F.when(unknown, refused).otherwise(test)
+
+
 def _fold_codes(
     df: DataFrame, spec: SeriesSpec, group: list[str], entry=None
 ) -> DataFrame:
@@ -240,7 +317,7 @@ def _monotone_codes(
     last = F.greatest(F.col("_seen"), F.lit(START[1]).cast("bigint"))
     unknown = F.col(spec.ts).isNull() | F.col(spec.batch).isNull()
     code = (
-        F.when(unknown, F.raise_error(F.lit("NULL time or batch")).cast("int"))
+        F.when(unknown, F.raise_error(F.lit(UNKNOWN)).cast("int"))
         .when(F.col("_stale"), 1)
         .when(F.col(spec.batch) == last, 2)
         .when(F.col(spec.batch) < last, 3)
@@ -260,6 +337,7 @@ def _first_of_batches(
     carried = [c for c in df.columns if c not in (spec.key, spec.batch, spec.order)]
     firsts = df.groupBy(spec.key, spec.batch).agg(
         F.min(spec.order).alias(spec.order),
+        F.max(F.col(spec.ts).isNull()).alias("_unknown"),
         *[F.min_by(c, spec.order).alias(c) for c in carried],
     )
     cut = None
@@ -267,4 +345,5 @@ def _first_of_batches(
         cut = assign_chunks(firsts, spec.key, spec.order, rows_per_chunk)
     seen = max_before(firsts, spec.key, spec.order, F.col(spec.batch), "_seen", cut)
     last = F.greatest(F.col("_seen"), F.lit(START[1]).cast("bigint"))
-    return seen.where(F.col(spec.batch) > last).select(*df.columns)
+    unknown = F.col(spec.batch).isNull() | F.col("_unknown")
+    return seen.where(_known(unknown, F.col(spec.batch) > last)).select(*df.columns)

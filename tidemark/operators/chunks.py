@@ -40,7 +40,7 @@ def join_on(left: DataFrame, right: DataFrame, names: list[str], how: str) -> Da
         test = same(F.col(n), F.col(f"_r_{n}"))
         condition = test if condition is None else condition & test
     joined = left.join(renamed, condition, how)
-    if how == "left_semi":
+    if how in ("left_semi", "left_anti"):
         return joined
     return joined.drop(*[f"_r_{n}" for n in names])
 
@@ -61,6 +61,12 @@ def join_pinned(
     return join_on(left, F.broadcast(pinned) if fits else pinned, names, how)
 
 
+def without_pinned(left: DataFrame, pinned: DataFrame, names: list[str]) -> DataFrame:
+    """The rows that match none of a materialised side table."""
+    fits = pinned.count() <= BROADCAST_ROWS
+    return join_on(left, F.broadcast(pinned) if fits else pinned, names, "left_anti")
+
+
 def assign_chunks(
     df: DataFrame,
     key: str,

@@ -59,17 +59,11 @@ def daily_endpoints(
     return accepted.withColumn("day", slot).groupBy(spec.key, "day").agg(*ends)
 
 
-def fill_daily(endpoints: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """The newest ``spec.days`` daily values of every key.
-
-    ``age`` counts days back from the key's last accepted day (0 is newest).
-    Days before the first observed one repeat its first value; days in a gap
-    are interpolated; ``is_observed`` tells which days were seen and
-    ``last_order`` is the arrival of the key's last accepted event.
-    """
+def linked_days(endpoints: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Every observed day of a key with the next one and what it starts with."""
     by_day = Window.partitionBy(spec.key).orderBy("day")
     whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    linked = endpoints.select(
+    return endpoints.select(
         spec.key,
         "day",
         *[f"first_{n}" for n in spec.measures],
@@ -81,6 +75,16 @@ def fill_daily(endpoints: DataFrame, spec: SeriesSpec) -> DataFrame:
         F.last("last_order").over(whole).alias("last_order"),
     )
 
+
+def fill_daily(endpoints: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """The newest ``spec.days`` daily values of every key.
+
+    ``age`` counts days back from the key's last accepted day (0 is newest).
+    Days before the first observed one repeat its first value; days in a gap
+    are interpolated; ``is_observed`` tells which days were seen and
+    ``last_order`` is the arrival of the key's last accepted event.
+    """
+    linked = linked_days(endpoints, spec)
     oldest = F.col("_last_day") - F.lit(spec.days - 1)
     start = F.when(F.col("_is_first"), oldest).otherwise(
         F.greatest(F.col("day"), oldest)
@@ -98,7 +102,7 @@ def fill_daily(endpoints: DataFrame, spec: SeriesSpec) -> DataFrame:
         (F.col("_last_day") - F.col("_slot")).alias("age"),
         (F.col("_slot") == F.col("day")).alias("is_observed"),
         "last_order",
-        *[_slot_value(n, _fraction_step(n, spec.scale)).alias(n) for n in spec.fractional],
+        *[_slot_value(n, _nth() * fraction_step(n, spec.scale)).alias(n) for n in spec.fractional],
         *[_slot_value(n, _count_step(n)).alias(n) for n in spec.integral],
     )
 
@@ -112,20 +116,20 @@ def _slot_value(name: str, gain: Column) -> Column:
     )
 
 
-def _gap(name: str) -> tuple[Column, Column, Column]:
-    nth = (F.col("_slot") - F.col("day")).cast("bigint")
-    days = (F.col("_next_day") - F.col("day")).cast("bigint")
-    return nth, days, F.col(f"_next_{name}") - F.col(f"last_{name}")
+def _nth() -> Column:
+    return (F.col("_slot") - F.col("day")).cast("bigint")
 
 
-def _fraction_step(name: str, scale: int) -> Column:
-    """Equal steps, each rounded to two decimals."""
-    nth, days, rise = _gap(name)
+def fraction_step(name: str, scale: int) -> Column:
+    """The equal step of a gap, rounded to two decimals."""
+    days = (F.col("_next_day") - F.col("day")).cast("bigint")
+    rise = F.col(f"_next_{name}") - F.col(f"last_{name}")
     cent = 10 ** max(scale - 2, 0)
-    return nth * half_up_div(rise, days * F.lit(cent).cast("bigint")) * F.lit(cent)
+    return half_up_div(rise, days * F.lit(cent).cast("bigint")) * F.lit(cent)
 
 
 def _count_step(name: str) -> Column:
     """Whole steps spread evenly: each is the floor or one more."""
-    nth, days, rise = _gap(name)
-    return floor_div(rise * nth, days)
+    days = (F.col("_next_day") - F.col("day")).cast("bigint")
+    rise = F.col(f"_next_{name}") - F.col(f"last_{name}")
+    return floor_div(rise * _nth(), days)

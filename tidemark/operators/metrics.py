@@ -16,7 +16,7 @@ LAGS = (2, 3, 4, 5, 6, 7)
 def trailing_metrics(daily: DataFrame, spec: SeriesSpec) -> DataFrame:
     """One row per key with the 16 metrics as of its last accepted day, and the
     arrival of its last accepted event (``last_order``)."""
-    _need_thirty(spec)
+    need_thirty(spec)
     age, level, price = F.col("age"), F.col(spec.level), F.col(spec.price)
     product = product_units(level, price, spec.scale)
 
@@ -35,7 +35,7 @@ def trailing_metrics(daily: DataFrame, spec: SeriesSpec) -> DataFrame:
         at(counter, 29).alias("_counter_29"),
         F.max("last_order").alias("last_order"),
     )
-    return sums.select(spec.key, "last_order", *_metric_columns(spec, lambda name: F.col(name)))
+    return sums.select(spec.key, "last_order", *metric_columns(spec, lambda name: F.col(name)))
 
 
 def metric_history(daily: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -62,13 +62,13 @@ def metric_history(daily: DataFrame, spec: SeriesSpec) -> DataFrame:
         F.lag(spec.counter, 29).over(by_day).alias("_counter_29"),
     )
     return framed.select(
-        spec.key, "day", "is_observed", *_metric_columns(spec, lambda name: F.col(name))
+        spec.key, "day", "is_observed", *metric_columns(spec, lambda name: F.col(name))
     )
 
 
 def array_metrics(level: Column, price: Column, counter: Column, spec: SeriesSpec):
     """The same 16 columns from arrays of minor units, oldest value first."""
-    _need_thirty(spec)
+    need_thirty(spec)
     kind = "bigint" if spec.scale <= 2 else "decimal(38,0)"
 
     def part(name: str) -> Column:
@@ -81,7 +81,7 @@ def array_metrics(level: Column, price: Column, counter: Column, spec: SeriesSpe
             return from_end(level, int(n))
         return from_end(counter, int(n) + 1)
 
-    return _metric_columns(spec, part)
+    return metric_columns(spec, part)
 
 
 def daily_arrays(daily: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -95,7 +95,7 @@ def daily_arrays(daily: DataFrame, spec: SeriesSpec) -> DataFrame:
     )
 
 
-def _metric_columns(spec: SeriesSpec, part) -> list[Column]:
+def metric_columns(spec: SeriesSpec, part) -> list[Column]:
     columns = {
         "new_review_number_last_30": part("_counter_0") - part("_counter_29"),
         "sold_last_1_pop": ratio6(part("_lag_1") - part("_lag_2"), part("_lag_2")),
@@ -108,6 +108,6 @@ def _metric_columns(spec: SeriesSpec, part) -> list[Column]:
     return [columns[name].alias(name) for name in METRIC_NAMES]
 
 
-def _need_thirty(spec: SeriesSpec) -> None:
+def need_thirty(spec: SeriesSpec) -> None:
     if spec.days < max(FRAMES):
         raise ValueError("the 30-day metrics need a series of at least 30 days")

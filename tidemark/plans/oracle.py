@@ -13,6 +13,7 @@ BATCH = {
     "general": "(event_id * 31) % 5 + 1",
     "monotone": "CAST(floor(epoch(ts)) AS BIGINT) // 21600",
 }
+BATCH["mixed"] = f"CASE WHEN user_id % 3 = 0 THEN {BATCH['general']} ELSE {BATCH['monotone']} END"
 FRESH = f"ts >= {SNAPSHOT} - 14 * 86400"
 SEQ = "arrival * 1000000000 + event_id"
 RECORD = ["event_id", "ts", "batch", "sold_c", "price_c", "review_number", "obs_date"]
@@ -228,6 +229,16 @@ _PART = """acc AS (
          l_orderkey AS review_number
   FROM lineitem)"""
 
+ARRAY_FUNCTIONS = """
+SELECT pid, max(sold_c) FILTER (WHERE age = 1) AS second,
+       CAST(sum(sold_c) FILTER (WHERE age < 7) AS BIGINT) AS week_sum,
+       CAST(sum(sold_c * price_c) FILTER (WHERE age < 7) AS BIGINT) AS week_product,
+       CAST(sum(sold_c) FILTER (WHERE age > 0) AS BIGINT) AS without_last,
+       CAST(sum(sold_c) FILTER (WHERE age < 7)
+            + 3 * max(sold_c) FILTER (WHERE age = 0) AS BIGINT) AS padded_sum,
+       CAST(sum(sold_c * (age + 1)) FILTER (WHERE age < 7) AS BIGINT) AS prefix_total
+FROM daily GROUP BY pid"""
+
 ORACLE = {
     "project_literal": with_(
         obs(), then='SELECT obs_date, pid, 1 AS "count" FROM obs'
@@ -360,19 +371,7 @@ SELECT event_id,
        v + 5000 AS units
 FROM (SELECT event_id, CAST(round(value * 100) AS BIGINT) - 5000 AS v,
              event_id % 9 + 2 AS d, event_id % 9 AS z FROM events)""",
-    "array_functions": with_(
-        *MONO,
-        *SERIES,
-        then="""
-SELECT pid, max(sold_c) FILTER (WHERE age = 1) AS second,
-       CAST(sum(sold_c) FILTER (WHERE age < 7) AS BIGINT) AS week_sum,
-       CAST(sum(sold_c * price_c) FILTER (WHERE age < 7) AS BIGINT) AS week_product,
-       CAST(sum(sold_c) FILTER (WHERE age > 0) AS BIGINT) AS without_last,
-       CAST(sum(sold_c) FILTER (WHERE age < 7)
-            + 3 * max(sold_c) FILTER (WHERE age = 0) AS BIGINT) AS padded_sum,
-       CAST(sum(sold_c * (age + 1)) FILTER (WHERE age < 7) AS BIGINT) AS prefix_total
-FROM daily GROUP BY pid""",
-    ),
+    "array_functions": with_(*MONO, *SERIES, then=ARRAY_FUNCTIONS),
     "named_tables": """
 SELECT user_id AS pid, count(*) AS observed, count(*) AS stored
 FROM events GROUP BY user_id""",

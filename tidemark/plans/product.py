@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clock import clock_text, epoch_seconds
 from tidemark.functions.numeric import rounded
-from tidemark.operators.admission import accepted_only, drop_stale
-from tidemark.operators.chunks import ROWS_PER_CHUNK, join_on, same
+from tidemark.operators.admission import accepted_only, fresh_rows
+from tidemark.operators.chunks import BROADCAST_ROWS, ROWS_PER_CHUNK, join_on, same
 from tidemark.operators.daily import daily_endpoints, fill_daily, in_units
+from tidemark.operators.locate import PLACE, fetch
 from tidemark.operators.metrics import trailing_metrics
 from tidemark.schema import METRIC_NAMES, OBSERVATION_SCHEMA, SeriesSpec
+from tidemark.session import pin
 
 # Columns a prepared observation table adds to the declared ones. Nine decimals
 # keep the binary value of a FLOAT, so rounding falls where its own digits say.
@@ -119,6 +121,79 @@ def latest_accepted(
     return join_on(events, last, [spec.key, spec.order], "left_semi")
 
 
+def latest_located(
+    rows: DataFrame,
+    spec: SeriesSpec,
+    as_of: Column | int | None = None,
+    mode: str = "fold",
+    rows_per_chunk: int | None = ROWS_PER_CHUNK,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """``latest_accepted`` of a table read from Parquet, ``rows`` having its ``PLACE``.
+
+    Admission carries the place instead of the record; the record is read for one
+    row a key, found by place. Of rows with one arrival the last in place counts, so
+    a key has one row whatever repeats.
+    """
+    narrow = fresh_rows(rows, spec, as_of).select(spec.key, spec.ts, spec.batch, spec.order, *PLACE)
+    accepted = accepted_only(narrow, spec, None, mode, rows_per_chunk)
+    return fetch(rows, newest_places(accepted, spec), spec.key, broadcast_rows)
+
+
+def newest_places(accepted: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """(key, ``PLACE``) of the last row of every key."""
+    newest = accepted.groupBy(spec.key).agg(
+        F.max(F.struct(spec.order, *PLACE)).alias("_newest")
+    )
+    return newest.select(spec.key, *[F.col(f"_newest.{c}").alias(c) for c in PLACE])
+
+
+def product_result_located(
+    rows: DataFrame,
+    spec: SeriesSpec,
+    as_of: Column | int | None = None,
+    mode: str = "fold",
+    on_reject: str = "null",
+    rows_per_chunk: int | None = ROWS_PER_CHUNK,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """``product_result`` of a table read from Parquet, ``rows`` having its ``PLACE``.
+
+    Admission runs once over narrow rows; what it accepts is written, as narrow as it
+    is, for the series and for the places of the records that are shown.
+    """
+    if on_reject not in ("null", "keep_last"):
+        raise ValueError("on_reject must be 'null' or 'keep_last'")
+    fresh = fresh_rows(rows, spec, as_of)
+    names = [spec.key, spec.ts, spec.batch, spec.order, *spec.measures, *PLACE]
+    accepted = pin(accepted_only(fresh.select(*names), spec, None, mode, rows_per_chunk))
+    metrics = trailing_metrics(daily_series(accepted, spec), spec)
+    newest = rows.groupBy(spec.key).agg(F.max(F.struct(spec.order, *PLACE)).alias("_last"))
+    standing = join_on(newest, metrics, [spec.key], "left")
+    places = newest_places(accepted, spec).select(spec.key, F.struct(*PLACE).alias("_place"))
+    standing = join_on(standing, places, [spec.key], "left")
+    last = F.struct(*[F.col(f"_last.{c}").alias(c) for c in PLACE])
+    standing = standing.withColumn("valid", F.col("_place").eqNullSafe(last))
+    shown = F.col("_place").isNotNull()
+    if on_reject == "null":
+        shown = F.col("valid")
+    values = F.struct(*[F.col(n) for n in METRIC_NAMES])
+    results = pin(
+        standing.select(
+            spec.key,
+            "valid",
+            F.when(shown, values).alias("metrics"),
+            F.when(shown, F.col("_place")).alias("_place"),
+        )
+    )
+    wanted = results.where(F.col("_place").isNotNull())
+    wanted = wanted.select(spec.key, *[F.col(f"_place.{c}").alias(c) for c in PLACE])
+    records = fetch(rows, wanted, spec.key, broadcast_rows)
+    whole = F.struct(*records.columns)
+    records = records.select(spec.key, whole.alias("latest"))
+    return join_on(results.drop("_place"), records, [spec.key], "left")
+
+
 def _narrow_accepted(
     events: DataFrame,
     spec: SeriesSpec,
@@ -128,7 +203,7 @@ def _narrow_accepted(
     measures: list[str] | tuple[str, ...] | None = None,
 ) -> DataFrame:
     carried = spec.measures if measures is None else measures
-    fresh = events if as_of is None else drop_stale(events, spec, as_of)
+    fresh = fresh_rows(events, spec, as_of)
     narrow = fresh.select(spec.key, spec.ts, spec.batch, spec.order, *carried)
     return accepted_only(narrow, spec, None, mode, rows_per_chunk)
 

@@ -410,7 +410,10 @@ def numeric_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def array_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each array function on the 30-day series of every key."""
     series = daily_series(_accepted(spark, sf_dir, "monotone"), EVENT_SPEC)
-    held = daily_arrays(series, EVENT_SPEC)
+    return series_functions(daily_arrays(series, EVENT_SPEC))
+
+
+def series_functions(held: DataFrame) -> DataFrame:
     sold, price = F.col("sold_c"), F.col("price_c")
     week = arrays.last_n(sold, 7)
     return held.select(

@@ -73,15 +73,20 @@ def arrival_time(ts: Column) -> Column:
     return ts + _shift() * 260
 
 
-def observations(events: DataFrame, batch: str = "general") -> DataFrame:
-    """``events`` as observations. ``batch`` is 'general' (ids return) or
-    'monotone' (one batch per six hours)."""
+def observations(
+    events: DataFrame, batch: str = "general", also: list[Column] | None = None
+) -> DataFrame:
+    """``events`` as observations. ``batch`` is 'general' (ids return), 'monotone'
+    (one batch per six hours) or 'mixed' (every third key general). ``also`` are more
+    columns to keep."""
     ts = epoch_seconds(F.col("ts"))
     cents = to_units(F.col("value"), 2)
     ids = {
         "general": F.pmod(F.col("event_id") * 31, F.lit(5)) + 1,
         "monotone": floor_div(ts, F.lit(21600)),
     }
+    third = F.col("user_id") % 3 == 0
+    ids["mixed"] = F.when(third, ids["general"]).otherwise(ids["monotone"])
     return events.select(
         F.col("user_id").alias("pid"),
         "event_id",
@@ -94,6 +99,7 @@ def observations(events: DataFrame, batch: str = "general") -> DataFrame:
         int_div(F.col("event_id"), F.lit(3)).alias("review_number"),
         iso_date(F.col("ts")).alias("obs_date"),
         "event_type",
+        *(also or []),
     )
 
 

@@ -223,3 +223,54 @@ def exit_fold(
             yield flush()
 
     return fold
+
+
+def run_summaries(key: str):
+    """One row per key and task: the summary of a key's sorted events.
+
+    The columns come as the key, order, date and count. Only the events after the
+    last change of date matter to the run at the end, so a batch costs a few array
+    operations and what is carried between batches has constant size.
+    """
+
+    def fold(batches):
+        out = []
+        current, state, shape = None, None, None
+
+        def rows_out():
+            arrays = [pa.array(c, k) for c, k in zip(zip(*out), shape)]
+            names = [key, "last_order", "first_date", "tail_date", "tail_count", "whole"]
+            out.clear()
+            return pa.RecordBatch.from_arrays(arrays, names=names)
+
+        for rows in batches:
+            if rows.num_rows == 0:
+                continue
+            if shape is None:
+                kinds = [rows.schema.field(n).type for n in (key, "_order", "_date")]
+                shape = [*kinds, kinds[2], pa.int64(), pa.bool_()]
+            counts = rows.column("_count").to_numpy(zero_copy_only=False)
+            for start, end in stretches(rows, [key]):
+                (this,) = cell(rows, [key], start)
+                part = rows.slice(start, end - start)
+                runs = list(stretches(part, ["_date"]))
+                (first,) = cell(part, ["_date"], 0)
+                (last,) = cell(part, ["_date"], end - start - 1)
+                (order,) = cell(part, ["_order"], end - start - 1)
+                tail = int(counts[start + runs[-1][0] : end].sum())
+                if state is not None and this == current:
+                    goes_on = len(runs) == 1 and first == state[2]
+                    tail += state[3] if goes_on else 0
+                    state = (order, state[1], last, tail, goes_on and state[4])
+                    continue
+                if state is not None:
+                    out.append((current, *state))
+                current, state = this, (order, first, last, tail, len(runs) == 1)
+            if len(out) >= 10_000:
+                yield rows_out()
+        if state is not None:
+            out.append((current, *state))
+        if out:
+            yield rows_out()
+
+    return fold
