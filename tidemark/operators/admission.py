@@ -155,6 +155,27 @@ def accepted_only(
     return judged.where(F.col("status") == "accepted").drop("status")
 
 
+def admit_from(
+    df: DataFrame, spec: SeriesSpec, as_of: Column | int | None, entry: DataFrame
+) -> DataFrame:
+    """``admit`` for rows that go on from a state: ``entry`` has (key, last_ts,
+    last_batch) of the keys seen before, and other keys start afresh."""
+    marked = df.withColumn("_stale", is_stale(F.col(spec.ts), as_of))
+    begun = entry.select(
+        spec.key, F.col("last_ts").alias("_in_ts"), F.col("last_batch").alias("_in_batch")
+    )
+    started = join_on(marked, begun, [spec.key], "left").withColumns(
+        {
+            "_in_ts": F.coalesce("_in_ts", F.lit(START[0]).cast("bigint")),
+            "_in_batch": F.coalesce("_in_batch", F.lit(START[1]).cast("bigint")),
+        }
+    )
+    coded = _fold_codes(started, spec, [spec.key], ("_in_ts", "_in_batch"))
+    names = F.array(*[F.lit(s) for s in STATUSES])
+    status = F.element_at(names, F.col("_code").cast("int") + 1)
+    return coded.select(*df.columns, status.alias("status"))
+
+
 def unordered_keys(
     fresh: DataFrame, spec: SeriesSpec, rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans import oracle, queries, whole_queries
+from tidemark.plans import oracle, queries, stream_queries, whole_queries
 
-QUERIES = {**queries.QUERIES, **whole_queries.QUERIES}
-ORACLE = {**oracle.ORACLE, **whole_queries.ORACLE}
+QUERIES = {**queries.QUERIES, **whole_queries.QUERIES, **stream_queries.QUERIES}
+ORACLE = {**oracle.ORACLE, **whole_queries.ORACLE, **stream_queries.ORACLE}

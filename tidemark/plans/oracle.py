@@ -175,7 +175,7 @@ def with_(*parts: str, then: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + then
 
 
-def _islands(key: str) -> str:
+def islands(key: str) -> str:
     return f"""marked AS (
   SELECT *, CASE WHEN obs_date = lag(obs_date) OVER w THEN 0 ELSE 1 END AS brk
   FROM obs WINDOW w AS (PARTITION BY {key} ORDER BY arrival, event_id)),
@@ -187,7 +187,7 @@ counted AS (
                                ORDER BY arrival, event_id) AS run_count FROM island)"""
 
 
-def _final(key: str) -> str:
+def final(key: str) -> str:
     return (
         f"SELECT {key}, arg_max(obs_date, {SEQ}) AS obs_date, "
         f"CAST(arg_max(run_count, {SEQ}) AS BIGINT) AS run_count "
@@ -214,9 +214,9 @@ _MONOTONE = with_(*MONO, then=_ADMITTED)
 _FLAGSHIP = with_(*MONO, *SERIES, METRICS, then="SELECT * FROM metrics")
 _GENERAL_METRICS = with_(*GENERAL, *SERIES, METRICS, then="SELECT * FROM metrics")
 _RUNNING = with_(
-    obs(), _islands("pid"), then="SELECT pid, event_id, obs_date, run_count FROM counted"
+    obs(), islands("pid"), then="SELECT pid, event_id, obs_date, run_count FROM counted"
 )
-_RUN_FINAL = with_(obs(), _islands("pid"), then=_final("pid"))
+_RUN_FINAL = with_(obs(), islands("pid"), then=final("pid"))
 _RESULT = (*REPLAY, *SERIES, METRICS, LAST_SEEN)
 
 _PART = """acc AS (
@@ -316,11 +316,11 @@ ORACLE = {
     "run_count_running_chunked": _RUNNING,
     "run_count_final": _RUN_FINAL,
     "run_count_by_type": with_(
-        obs(), _islands("event_type"), then=_final("event_type")
+        obs(), islands("event_type"), then=final("event_type")
     ),
     "run_count_by_type_running": with_(
         obs(),
-        _islands("event_type"),
+        islands("event_type"),
         then="SELECT event_type, event_id, run_count FROM counted",
     ),
     "quality_split": """
@@ -378,7 +378,7 @@ FROM events GROUP BY user_id""",
     "stream_run_count": _RUN_FINAL,
     "stream_run_updates": with_(
         obs(),
-        _islands("pid"),
+        islands("pid"),
         then='SELECT pid, obs_date AS "date", run_count FROM counted',
     ),
     "stream_product_metrics": with_(*_RESULT, then=_result("e.valid")),

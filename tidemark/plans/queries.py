@@ -453,7 +453,7 @@ def named_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streams -------------------------------------------------------------------
 
 
-def _drain(
+def drained(
     spark: SparkSession, updates: DataFrame, name: str
 ) -> DataFrame:
     """Runs an update stream over everything there is and reads it back."""
@@ -474,7 +474,7 @@ def _status(spark: SparkSession, path: str):
     return system.getFileStatus(found) if system.exists(found) else None
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream; a stream reads folders, so one file is
     picked from its parent."""
     stream = spark.readStream.schema(tables.EVENT_SCHEMA)
@@ -487,34 +487,34 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_run_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_literal_count(observations(_event_stream(spark, sf_dir)))
+    rows = with_literal_count(observations(event_stream(spark, sf_dir)))
     updates = run_updates(rows, "pid", "obs_date", "arrival", "count")
-    written = _drain(spark, updates, "run-count")
+    written = drained(spark, updates, "run-count")
     newest = newest_updates(written, "pid", "arrival")
     return newest.select("pid", F.col("date").alias("obs_date"), "run_count")
 
 
 def stream_run_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every update: one per event, with the run count after it."""
-    rows = with_literal_count(observations(_event_stream(spark, sf_dir)))
+    rows = with_literal_count(observations(event_stream(spark, sf_dir)))
     updates = run_updates(rows, "pid", "obs_date", "arrival", "count")
-    return _drain(spark, updates, "run-updates").select("pid", "date", "run_count")
+    return drained(spark, updates, "run-updates").select("pid", "date", "run_count")
 
 
 def stream_product_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = observations(_event_stream(spark, sf_dir))
+    rows = observations(event_stream(spark, sf_dir))
     updates = product_updates(
         rows, EVENT_SPEC, _arrived(), RECORD, coalesce_updates=True
     )
-    newest = newest_updates(_drain(spark, updates, "product"), "pid", "arrival")
+    newest = newest_updates(drained(spark, updates, "product"), "pid", "arrival")
     return flat_result(newest.drop("arrival"), RECORD)
 
 
 def stream_update_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One update per accepted event, one per turn to rejection."""
-    rows = observations(_event_stream(spark, sf_dir))
+    rows = observations(event_stream(spark, sf_dir))
     updates = product_updates(rows, EVENT_SPEC, _arrived(), ["event_id"])
-    written = _drain(spark, updates, "product-updates")
+    written = drained(spark, updates, "product-updates")
     return written.groupBy("pid", "valid").agg(F.count(F.lit(1)).alias("updates"))
 
 

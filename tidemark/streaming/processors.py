@@ -93,6 +93,11 @@ class _Keyed(StatefulProcessor):
         # Written even if unchanged: that is what keeps a busy key from expiring.
         self.state.update(tuple(state))
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """Starts a key from a state that a batch query has built."""
+        names = self.state_schema.fieldNames()
+        self.state.update(tuple(initialState[n] for n in names))
+
     def step(self, key, state, row):
         raise NotImplementedError
 
@@ -184,3 +189,148 @@ class RunProcessor(_Keyed):
         total = row["count"] + (total if row["date"] == date else 0)
         update = Row(key=key, order=row["order"], date=row["date"], run_count=total)
         return (row["date"], total), update
+
+
+class ColumnarProducts(StatefulProcessor):
+    """``ProductProcessor`` over columns: a key's share of a micro-batch comes as a few
+    arrays of numbers, and only its newest series goes back. No record, no text."""
+
+    def __init__(
+        self, days: int = 30, scale: int = 6, ttl_ms: int | None = None, keep_last: bool = False
+    ) -> None:
+        self.rules = ProductProcessor(days, scale, ttl_ms, True, keep_last)
+        self.ttl_ms, self.keep_last = ttl_ms, keep_last
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("series", SERIES_STATE, self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        import pandas as pd
+
+        frames = [f for f in rows if len(f)]
+        if not frames:
+            return
+        whole = (pd.concat(frames) if len(frames) > 1 else frames[0]).sort_values("order", kind="stable")
+        names = ("order", "ts", "batch", "day", "stale", "level", "price", "counter")
+        held = self.state.get() if self.state.exists() else (0, 0, None, None, [], [], [])
+        last_ts, last_batch, last_day, valid, *series = held
+        series, changed, shown, newest = [list(v) for v in series], False, valid, None
+        rules = self.rules
+        steps = (rules.fraction_at, rules.fraction_at, rules.count_at)
+        for order, ts, batch, day, stale, *values in zip(*(whole[n].tolist() for n in names)):
+            if stale or batch == last_batch or ts < last_ts:
+                if valid is not False and not self.keep_last:
+                    newest = order, False
+                valid = False
+                continue
+            gap = None if last_day is None else day - last_day
+            if gap == 0:
+                for own, value in zip(series, values):
+                    own[-1] = value
+            else:
+                series = [
+                    rules.grown(own, gap, value, step)
+                    for own, value, step in zip(series, values, steps)
+                ]
+            last_ts, last_batch, last_day, valid = ts, batch, day, True
+            newest = order, True
+        # Written even if unchanged: that is what keeps a busy key from expiring.
+        self.state.update((last_ts, last_batch, last_day, valid, *series))
+        if newest is not None:
+            order, good = newest
+            shown = series if good else [None, None, None]
+            yield pd.DataFrame(
+                {
+                    "key": [key[0]],
+                    "order": [order],
+                    "valid": [good],
+                    "level": [shown[0]],
+                    "price": [shown[1]],
+                    "counter": [shown[2]],
+                }
+            )
+
+    def close(self) -> None:
+        pass
+
+
+_BLOCK = T.StructType([T.StructField("run", T.IntegerType()), T.StructField("block", T.IntegerType())])
+
+
+class OrderedRunProcessor(StatefulProcessor):
+    """``RunProcessor`` for keys whose share of a micro-batch is not held in memory.
+
+    Rows are put in order by an external merge sort in the state store: every
+    ``held_rows`` of them are sorted and written as a run of blocks, and a timer of the
+    same micro-batch merges the runs, a block of each at a time, and counts. Memory
+    holds ``held_rows`` rows, or one block of each run.
+    """
+
+    def __init__(self, order_type: T.DataType, held_rows: int, block_rows: int, coalesce: bool) -> None:
+        self.held_rows, self.block_rows, self.coalesce = held_rows, block_rows, coalesce
+        row = T.StructType(
+            [
+                T.StructField("order", order_type),
+                T.StructField("date", T.StringType()),
+                T.StructField("count", T.LongType()),
+            ]
+        )
+        self.block_schema = T.StructType([T.StructField("rows", T.ArrayType(row))])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("run", RUN_STATE)
+        self.blocks = handle.getMapState("blocks", _BLOCK, self.block_schema)
+        self.runs = handle.getListState("runs", T.StructType([T.StructField("blocks", T.IntegerType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held, number = [], sum(1 for _ in self.runs.get())
+        for row in rows:
+            held.append((row["order"], row["date"], row["count"]))
+            if len(held) >= self.held_rows:
+                self.spill(held, number)
+                held, number = [], number + 1
+        if held:
+            self.spill(held, number)
+        # Due before this micro-batch began, so it fires at its end.
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() - 1)
+        yield from ()
+
+    def spill(self, held: list[tuple], number: int) -> None:
+        held.sort(key=lambda r: r[0])
+        starts = range(0, len(held), self.block_rows)
+        for block, start in enumerate(starts):
+            self.blocks.updateValue((number, block), (held[start : start + self.block_rows],))
+        self.runs.appendValue((len(starts),))
+
+    def run(self, number: int, blocks: int) -> Iterator[tuple]:
+        for block in range(blocks):
+            (rows,) = self.blocks.getValue((number, block))
+            self.blocks.removeKey((number, block))
+            yield from rows
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        import heapq
+
+        sizes = [blocks for (blocks,) in self.runs.get()]
+        self.runs.clear()
+        date, total = self.state.get() if self.state.exists() else (None, 0)
+        newest = None
+        merged = heapq.merge(*(self.run(n, b) for n, b in enumerate(sizes)), key=lambda r: r[0])
+        for order, day, count in merged:
+            total = count + (total if day == date else 0)
+            date = day
+            newest = Row(key=key[0], order=order, date=date, run_count=total)
+            if not self.coalesce:
+                yield newest
+        if self.coalesce and newest is not None:
+            yield newest
+        self.state.update((date, total))
+
+    def close(self) -> None:
+        pass
+
+
+def state_output(key_type: T.DataType, order_type: T.DataType) -> T.StructType:
+    whole = series_output(key_type, order_type)
+    return T.StructType([f for f in whole.fields if f.name != "payload"])
