@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from tidemark.operators.admission import admit
+from tidemark.operators.admission import admit, drop_stale_stored
 from tidemark.operators.chunks import assign_chunks
 from tidemark.plans import tables
 from tidemark.plans.product import product_metrics, product_result
@@ -41,6 +41,14 @@ def test_flagship_plan(spark):
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
 
 
+def test_the_staleness_bound_reaches_the_scan(spark):
+    plan = plan_of(contract.queries()["drop_stale_pushed"](spark, SF_DIR))
+    assert "GreaterThanOrEqual(ts,2024-01-17T00:00)" in plan
+    numbers = spark.range(3).selectExpr("id", "timestamp_seconds(1706659200 - 1209600 + id - 1) AS seen")
+    assert drop_stale_stored(numbers, "seen", SNAPSHOT).count() == 2
+    assert drop_stale_stored(numbers.selectExpr("unix_seconds(seen) AS s"), "s", SNAPSHOT).count() == 2
+
+
 def test_general_plan(spark):
     events = tables.observations(tables.fresh_events(spark, SF_DIR))
     plan = plan_of(product_metrics(events, EVENT_SPEC, SNAPSHOT))

@@ -7,6 +7,8 @@ events move that state, so the rule is a sequential fold per key.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +50,22 @@ def drop_stale(df: DataFrame, spec: SeriesSpec, as_of: Column | int) -> DataFram
     return df.where(F.col(spec.ts) >= as_of - F.lit(STALE_AFTER_SECONDS))
 
 
+def drop_stale_stored(df: DataFrame, clock: str, as_of: int) -> DataFrame:
+    """``drop_stale`` by a stored clock column, a timestamp or epoch seconds.
+
+    The bound is a literal of the column's own type, so the scan tests it on row
+    groups and pages; one on epoch seconds made from a timestamp stays above it.
+    """
+    bound = as_of - STALE_AFTER_SECONDS
+    kind = df.schema[clock].dataType
+    if isinstance(kind, T.TimestampNTZType | T.TimestampType):
+        moment = datetime.fromtimestamp(bound, timezone.utc)
+        if isinstance(kind, T.TimestampNTZType):
+            moment = moment.replace(tzinfo=None)
+        return df.where(F.col(clock) >= F.lit(moment).cast(kind))
+    return df.where(F.col(clock) >= F.lit(bound).cast(kind))
+
+
 def fresh_rows(df: DataFrame, spec: SeriesSpec, as_of: Column | int | None) -> DataFrame:
     """``drop_stale`` before admission: a NULL time stays, to be refused there."""
     if as_of is None:

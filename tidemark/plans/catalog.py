@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.plans import oracle, queries, stream_queries, whole_queries
+from tidemark.plans import feed_queries, oracle, queries, stream_queries, whole_queries
 
-QUERIES = {**queries.QUERIES, **whole_queries.QUERIES, **stream_queries.QUERIES}
-ORACLE = {**oracle.ORACLE, **whole_queries.ORACLE, **stream_queries.ORACLE}
+_PARTS = (whole_queries, stream_queries, feed_queries)
+
+QUERIES = dict(queries.QUERIES)
+ORACLE = dict(oracle.ORACLE)
+for _part in _PARTS:
+    QUERIES |= _part.QUERIES
+    ORACLE |= _part.ORACLE

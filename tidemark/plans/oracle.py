@@ -115,7 +115,8 @@ def _growth(v0: str, v1: str) -> str:
     )
 
 
-def _metric_list() -> str:
+def metric_list(money=_money, products=lambda total: _money(_cents(total))) -> str:
+    """The metrics; ``money`` and ``products`` show sums of measures and of products."""
     parts = {
         "new_review_number_last_30": "max(review_number) FILTER (WHERE age = 0) "
         "- max(review_number) FILTER (WHERE age = 29)",
@@ -125,16 +126,16 @@ def _metric_list() -> str:
     }
     for n in (1, 3, 7, 30):
         cut = f"FILTER (WHERE age < {n})"
-        parts[f"sold_last_{n}"] = _money(f"sum(sold_c) {cut}")
-        parts[f"gmv_last_{n}"] = _money(_cents(f"sum(sold_c * price_c) {cut}"))
+        parts[f"sold_last_{n}"] = money(f"sum(sold_c) {cut}")
+        parts[f"gmv_last_{n}"] = products(f"sum(sold_c * price_c) {cut}")
     for k in range(2, 8):
-        parts[f"sold_{k}_to_last"] = _money(
+        parts[f"sold_{k}_to_last"] = money(
             f"max(sold_c) FILTER (WHERE age = {k - 1})"
         )
     return ", ".join(f"{parts[m]} AS {m}" for m in METRIC_NAMES)
 
 
-METRICS = f"metrics AS (SELECT pid, {_metric_list()} FROM daily GROUP BY pid)"
+METRICS = f"metrics AS (SELECT pid, {metric_list()} FROM daily GROUP BY pid)"
 
 
 def _history() -> str:
