@@ -32,13 +32,19 @@ def sifted(rows: DataFrame, names: list[str], bitmaps: DataFrame, pages: int) ->
 
     ``bitmaps`` is a ``sieve`` of equally typed columns that has been written.
     """
+    return with_chance(rows, names, bitmaps, pages).where("_may").select(*rows.columns)
+
+
+def with_chance(rows: DataFrame, names: list[str], bitmaps: DataFrame, pages: int) -> DataFrame:
+    """All rows, with ``_may``: whether their ``names`` may be among the keys."""
     place = F.pmod(F.xxhash64(*names), F.lit(pages * PAGE_BITS))
     placed = rows.withColumn("_place", place)
     own = F.broadcast(bitmaps.select("_page", "_bits"))
-    met = placed.join(own, F.expr(f"_place div {PAGE_BITS}") == F.col("_page"))
+    met = placed.join(own, F.expr(f"_place div {PAGE_BITS}") == F.col("_page"), "left")
     octet = F.expr(f"conv(hex(substring(_bits, CAST(_place % {PAGE_BITS} div 8 AS INT) + 1, 1)), 16, 10)")
     bit = F.call_function("shiftright", octet.cast("int"), (F.col("_place") % 8).cast("int"))
-    return met.where(bit.bitwiseAND(F.lit(1)) == 1).select(*rows.columns)
+    may = F.coalesce(bit.bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    return met.select(*rows.columns, may.alias("_may"))
 
 
 def matching(
