@@ -6,12 +6,14 @@ import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Hashable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.sieve import sieve, with_chance
 from tidemark.session import shared_dir
 
 #: Rows of a narrow key table that may be broadcast (24 bytes a row: 12 MB).
@@ -68,6 +70,18 @@ def forget() -> None:
     release_memory()
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """Without the cycle collector: for work that makes many objects and no cycles."""
+    collects = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if collects:
+            gc.enable()
+
+
 def bound_batches(spark: SparkSession, rows: int = 1_000) -> None:
     """Sends workers at most ``rows`` texts at a time, a few MB, from now on.
 
@@ -103,17 +117,26 @@ def small_side(keys: DataFrame) -> DataFrame:
 def without_keys(docs: DataFrame, keys: DataFrame, names: dict[str, Column]) -> DataFrame:
     """``docs`` without the rows whose ``names`` expressions match a row of ``keys``.
 
-    ``keys`` is counted: few rows are broadcast, so texts are not shuffled;
-    more are joined by shuffle. NULL matches NULL. Columns of ``docs`` stay as
-    they are, whatever their names.
+    ``keys`` is counted: few rows are broadcast, so texts are not shuffled. Of more,
+    a sieve of bounded size tells which rows may match; those alone are joined by
+    shuffle, the others pass as they are. NULL matches NULL. Columns of ``docs`` stay
+    as they are, whatever their names.
     """
     columns = docs.columns
     marked = docs.select(F.struct(*[docs[f"`{c}`"] for c in columns]).alias("_row"))
     marked = marked.select("_row", *[e.alias(f"_l_{n}") for n, e in names.items()])
+    left = [f"_l_{n}" for n in names]
     right = keys.select(*[F.col(n).alias(f"_r_{n}") for n in names])
     on = [F.col(f"_l_{n}").eqNullSafe(F.col(f"_r_{n}")) for n in names]
-    kept = marked.join(small_side(right), on, "left_anti")
-    return kept.select("_row.*")
+    count = keys.count()
+    if count <= BROADCAST_KEYS:
+        return marked.join(F.broadcast(right), on, "left_anti").select("_row.*")
+    kinds = {n: marked.schema[f"_l_{n}"].dataType for n in names}
+    alike = keys.select(*[F.col(n).cast(kinds[n]).alias(f"_l_{n}") for n in names])
+    bitmaps = keep(sieve(alike, left, count))
+    chances = with_chance(marked, left, bitmaps, bitmaps.first()["_pages"])
+    kept = chances.filter("_may").join(right, on, "left_anti")
+    return chances.filter("NOT _may").unionByName(kept).select("_row.*")
 
 
 def ranked(distinct: DataFrame, keys: list[str], name: str) -> DataFrame:

@@ -25,8 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, keep, table, whole_text
-from tidemark.llm.token_ids import TextEncoder, tokenizer_path
+from tidemark.llm.common import batches, forget, keep, table, whole_text
+from tidemark.llm.token_ids import REMEMBERED, TextEncoder, tokenizer_path
 
 CAPACITY = 2048
 END_ID = 0
@@ -86,11 +86,17 @@ class OpenBins:
         return out
 
 
-def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces_of(
+    docs: DataFrame,
+    path: str,
+    capacity: int = CAPACITY,
+    remembered: int = REMEMBERED,
+    forgetful: bool = False,
+) -> DataFrame:
     """The pieces (``PIECES``) of every document: ids and the end id, cut."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = TextEncoder.of(path)
+        encoder = TextEncoder.of(path, remembered)
         end = END_ID.to_bytes(4, "little")
         step = 4 * capacity
         for frame in batches(frames):
@@ -103,6 +109,8 @@ def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
+        if forgetful:
+            forget()
 
     return docs.select("doc_id", whole_text().alias("text")).mapInPandas(cut, PIECES)
 
@@ -171,10 +179,20 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
 
 
 def pack_documents(
-    docs: DataFrame, path: str, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
+    docs: DataFrame,
+    path: str,
+    capacity: int = CAPACITY,
+    open_bins: int = OPEN_BINS,
+    remembered: int = REMEMBERED,
+    forgetful: bool = False,
 ) -> DataFrame:
-    """Every document of ``docs(doc_id, text)`` cut and packed."""
-    return pack(pieces_of(docs, path, capacity), capacity, open_bins)
+    """Every document of ``docs(doc_id, text)`` cut and packed.
+
+    ``remembered`` bounds what a worker keeps of earlier texts, and a ``forgetful`` one
+    gives it back after each task: that costs time where memory is short, and changes
+    no result.
+    """
+    return pack(pieces_of(docs, path, capacity, remembered, forgetful), capacity, open_bins)
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

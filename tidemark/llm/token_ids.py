@@ -3,10 +3,13 @@
 The word tokenizer drops white space and never joins characters across it, so
 the ids of a text are those of its space-separated pieces in order. Each worker
 keeps the ids of pieces it has met as little-endian 32-bit bytes; a text is then
-one join of byte strings, and only new pieces reach the library. Of a new piece
-that is a Latin word with closing punctuation, word and punctuation are known
-apart: the word's lower case is given to the library's model alone, which costs
-half of the way through its normaliser and splitter and gives the same ids.
+one join of byte strings, and only new pieces reach the library.
+
+The tokenizer lowers all letters, so a text of Latin-1 letters alone is lowered first
+and has fewer pieces to know. Of a new piece that is a Latin word with closing
+punctuation, word and punctuation are known apart: the word is given to the library's
+model alone, which costs half of the way through its normaliser and splitter and gives
+the same ids.
 """
 
 from __future__ import annotations
@@ -18,12 +21,12 @@ from collections.abc import Callable
 
 import numpy as np
 
-from tidemark.llm.common import worker_memory
+from tidemark.llm.common import uncollected, worker_memory
 
 TOKENIZER = "word_bpe_49k.json"
 
 #: Entries (about 200 bytes each) of a worker's memory before the older half goes.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 #: Latin-1 letters, composed, then ASCII marks that split off as one run.
 WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
@@ -63,7 +66,7 @@ class Memory(dict):
 class TextEncoder:
     """Encodes texts with one tokenizer file, remembering pieces."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -74,14 +77,13 @@ class TextEncoder:
         if kinds != NORMALISERS or splits != SPLITTERS:
             raise ValueError("the tokenizer's pieces are not independent of each other")
         self.model = self.tokenizer.model
-        self.pieces = Memory(self._piece, REMEMBERED)
-        self.words = Memory(self._word, REMEMBERED)
-        self.marks = Memory(self._whole, REMEMBERED // 10)
+        self.pieces = Memory(self._piece, remembered)
+        self.marks = Memory(self._whole, remembered // 10)
 
     @staticmethod
-    def of(path: str) -> TextEncoder:
+    def of(path: str, remembered: int = REMEMBERED) -> TextEncoder:
         """The worker's encoder of a file, made once."""
-        return worker_memory(("token ids", path), lambda: TextEncoder(path))
+        return worker_memory(("token ids", path, remembered), lambda: TextEncoder(path, remembered))
 
     def _whole(self, piece: str) -> bytes:
         ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
@@ -99,10 +101,26 @@ class TextEncoder:
         if match is None:
             return self._whole(piece)
         word, marks = match.groups()
-        ids = self.words[word.lower()]
+        lowered = word.lower()
+        if lowered == piece:
+            return self._word(piece)
+        ids = self.pieces[lowered]
         return ids + self.marks[marks] if marks else ids
 
+    def _text(self, text: str) -> bytes:
+        if text.isascii() or _latin(text):
+            text = text.lower()
+        return b"".join(map(self.pieces.__getitem__, text.replace("\n", " ").split(" ")))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit bytes."""
-        ids_of = self.pieces.__getitem__
-        return [b"".join(map(ids_of, t.replace("\n", " ").split(" "))) for t in texts]
+        with uncollected():
+            return [self._text(t) for t in texts]
+
+
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
