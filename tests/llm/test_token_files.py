@@ -5,6 +5,9 @@ import pytest
 from tokenizers import Tokenizer
 
 from tidemark.llm.token_files import (
+    _packed,
+    _unpacked,
+    offsets_of,
     pack_block,
     read_shard,
     read_token_files,
@@ -30,6 +33,24 @@ def test_blocks_round_trip():
     assert len(pack_block(np.arange(4096, dtype="<u4") % 2)) < 600
 
 
+@pytest.mark.parametrize("width", range(0, 33))
+def test_bits_of_every_width(width):
+    rng = np.random.default_rng(width)
+    for count in (1, 7, 8, 9, 4096):
+        values = rng.integers(0, 2**width, count, dtype=np.uint64).astype(np.uint32)
+        data = _packed(values, width)
+        plain = sum(int(v) << (i * width) for i, v in enumerate(values)).to_bytes((count * width + 7) // 8, "little")
+        assert data == plain
+        assert np.array_equal(_unpacked(b"x" + data, 1, len(data), count, width), values)
+
+
+def test_offsets_over_tasks_and_blocks(spark):
+    rows = [(f"{task:06d}-{number:06d}.pfor", task * 7 + number, 1, 1) for task in range(40) for number in range(task % 4)]
+    written = spark.createDataFrame(rows, "file string, ids long, docs long, bytes long").repartition(5)
+    got = {r.file: r.first for r in offsets_of(written, 8).collect()}
+    assert got == {name: sum(r[1] for r in sorted(rows) if r[0] < name) for name, *_ in rows}
+
+
 def test_shard_round_trip():
     rng = np.random.default_rng(2)
     docs = [(i - 3, rng.integers(0, 50_000, n).astype("<u4").tobytes()) for i, n in enumerate([0, 1, 9000, 4096, 0, 4095, 1])]

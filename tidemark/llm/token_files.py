@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from tidemark.llm.common import batches, keep, table, whole_text
+from tidemark.llm.common import batches, keep, small_side, table, whole_text
 from tidemark.llm.token_ids import TextEncoder, tokenizer_path
 from tidemark.session import shared_dir
 
@@ -48,29 +48,73 @@ SHARD_IDS = 4_000_000
 NAMELESS = 1 << 63
 
 
+def _packed(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bits of each value, one after another from the lowest bit."""
+    if width == 0:
+        return b""
+    if width > 16:
+        octets = values.astype("<u4").view(np.uint8).reshape(len(values), -1)
+        bits = np.unpackbits(octets, axis=1, count=width, bitorder="little")
+        return np.packbits(bits.ravel(), bitorder="little").tobytes()
+    # Four values make a word of at most 64 bits, and two such words ``width`` bytes.
+    padded = np.zeros(-(-len(values) // 8) * 8, np.uint64)
+    padded[: len(values)] = values & np.uint32((1 << width) - 1)
+    fours = padded.reshape(-1, 4)
+    words = fours[:, 0].copy()
+    for place in (1, 2, 3):
+        words |= fours[:, place] << np.uint64(place * width)
+    pairs = words.reshape(-1, 2)
+    out = pairs.copy()
+    if width < 16:
+        out[:, 0] |= pairs[:, 1] << np.uint64(4 * width)
+        out[:, 1] >>= np.uint64(64 - 4 * width)
+    packed = out.astype("<u8").view(np.uint8).reshape(-1, 16)[:, :width].tobytes()
+    return packed[: (len(values) * width + 7) // 8]
+
+
+def _unpacked(data: bytes, at: int, size: int, count: int, width: int) -> np.ndarray:
+    """``count`` values of ``width`` bits from ``size`` bytes."""
+    if width == 0:
+        return np.zeros(count, np.uint32)
+    octets = np.frombuffer(data, np.uint8, size, at)
+    if width > 16:
+        bits = np.unpackbits(octets, bitorder="little")
+        wide = np.zeros((count, 32), np.uint8)
+        wide[:, :width] = bits[: count * width].reshape(count, width)
+        return np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel().astype(np.uint32)
+    groups = -(-count // 8)
+    filled = np.zeros(groups * width, np.uint8)
+    filled[:size] = octets
+    wide = np.zeros((groups, 16), np.uint8)
+    wide[:, :width] = filled.reshape(groups, width)
+    pairs = wide.view("<u8").astype(np.uint64)
+    words = pairs.copy()
+    if width < 16:
+        words[:, 0] &= np.uint64((1 << (4 * width)) - 1)
+        words[:, 1] = (pairs[:, 0] >> np.uint64(4 * width)) | (pairs[:, 1] << np.uint64(64 - 4 * width))
+    values = np.empty((groups, 2, 4), np.uint32)
+    mask = np.uint64((1 << width) - 1)
+    for place in range(4):
+        values[:, :, place] = (words >> np.uint64(place * width)) & mask
+    return values.ravel()[:count]
+
+
 def pack_block(ids: np.ndarray) -> bytes:
     low = int(ids.min())
     values = (ids - low).astype(np.uint32)
-    width = int(np.sort(values)[(len(values) * PERCENTILE - 1) // 100]).bit_length()
+    rank = (len(values) * PERCENTILE - 1) // 100
+    width = int(np.partition(values, rank)[rank]).bit_length()
     high = values >> np.uint32(width) if width < 32 else np.zeros_like(values)
     at = np.flatnonzero(high).astype("<u2")
-    kind = "<u2" if width <= 16 else "<u4"
-    octets = values.astype(kind).view(np.uint8).reshape(len(values), -1)
-    bits = np.unpackbits(octets, axis=1, count=width, bitorder="little")
     head = struct.pack("<HBBIHH", len(ids), width, 0, low, len(at), 0)
-    packed = np.packbits(bits.ravel(), bitorder="little").tobytes()
-    return head + packed + at.tobytes() + high[at].astype("<u4").tobytes()
+    return head + _packed(values, width) + at.tobytes() + high[at].astype("<u4").tobytes()
 
 
 def unpack_block(data: bytes, at: int) -> np.ndarray:
     n, width, _, low, odd, _ = struct.unpack_from("<HBBIHH", data, at)
     at += 12
     size = (n * width + 7) // 8
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little")
-    kind = "<u2" if width <= 16 else "<u4"
-    wide = np.zeros((n, 8 * np.dtype(kind).itemsize), np.uint8)
-    wide[:, :width] = bits[: n * width].reshape(n, width)
-    values = np.packbits(wide, axis=1, bitorder="little").view(kind).ravel().astype(np.uint32)
+    values = _unpacked(data, at, size, n, width)
     where = np.frombuffer(data, "<u2", odd, at + size)
     values[where] |= np.frombuffer(data, "<u4", odd, at + size + 2 * odd) << np.uint32(width)
     return values + np.uint32(low)
@@ -99,18 +143,14 @@ def read_shard(data: bytes) -> Iterator[tuple[int | None, np.ndarray]]:
         raise ValueError("not a token file")
     docs_at = len(data) - 32 - 16 * docs
     index = np.frombuffer(data, "<u8", blocks, docs_at - 8 * blocks)
-    rows = struct.iter_unpack("<qQ", data[docs_at : docs_at + 16 * docs])
-    pending, ahead, block = [], 0, 0
-    for doc_id, n in rows:
+    parts = [unpack_block(data, int(at)) for at in index]
+    ids = np.concatenate([np.zeros(0, np.uint32), *parts]).astype("<u4")
+    start = 0
+    for doc_id, n in struct.iter_unpack("<qQ", data[docs_at : docs_at + 16 * docs]):
         if n & NAMELESS:
             doc_id, n = None, n ^ NAMELESS
-        while ahead < n:
-            pending.append(unpack_block(data, int(index[block])))
-            ahead += len(pending[-1])
-            block += 1
-        joined = pending[0] if len(pending) == 1 else np.concatenate([np.zeros(0, np.uint32), *pending])
-        yield doc_id, joined[:n]
-        pending, ahead = [joined[n:]], ahead - n
+        yield doc_id, ids[start : start + n]
+        start += n
 
 
 def _write(folder: str, name: str, data: bytes) -> None:
@@ -183,29 +223,62 @@ def write_token_files(
 def read_token_files(spark: SparkSession, folder: str, written: DataFrame) -> DataFrame:
     """Every document of the listed files: doc_id, start, n_tokens, ids_crc32.
 
-    ``start`` counts the ids of all documents before it: the ids of earlier
-    files (one row per file) and of earlier documents of its own file.
+    ``start`` counts the ids of all documents before it: those of earlier files and
+    of earlier documents of its own file. Documents carry their file's name, so that
+    it is narrow rows, and no file's content, that meet the files' offsets.
     """
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = written.select("file", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("first"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for first, content in zip(frame["first"], frame["content"], strict=True):
-                rows, start = [], int(first)
+            for name, content in zip(frame["file"], frame["content"], strict=True):
+                names, places, sizes, sums, start = [], [], [], [], 0
                 for doc_id, ids in read_shard(content):
-                    rows.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                    names.append(doc_id)
+                    places.append(start)
+                    sizes.append(len(ids))
+                    sums.append(zlib.crc32(ids))
                     start += len(ids)
-                out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"], dtype=object)
-                yield out.astype({c: "Int64" if c == "doc_id" else "int64" for c in out.columns})
+                yield pd.DataFrame(
+                    {
+                        "file": name,
+                        "doc_id": pd.array(names, dtype="Int64"),
+                        "place": places,
+                        "n_tokens": sizes,
+                        "ids_crc32": sums,
+                    }
+                )
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pfor").load(folder)
     named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    return (
-        named.join(F.broadcast(offsets), "file")
-        .select("first", "content")
-        .mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
-    )
+    docs = named.mapInPandas(run, "file string, doc_id long, place long, n_tokens long, ids_crc32 long")
+    placed = docs.join(small_side(keep(offsets_of(written))), "file")
+    start = (F.col("first") + F.col("place")).alias("start")
+    return placed.select("doc_id", start, "n_tokens", "ids_crc32")
+
+
+def offsets_of(written: DataFrame, block: int = 1024) -> DataFrame:
+    """(file, first): the ids of all files before each, by sums over tasks and blocks.
+
+    A file's name is its task and its number. Only one row for each ``block`` tasks
+    meets in one window.
+    """
+    parts = F.split(F.element_at(F.split("file", "[.]"), 1), "-")
+    files = written.select("file", "ids", parts[0].cast("long").alias("task"), parts[1].cast("long").alias("number"))
+    files = files.withColumn("block", F.expr(f"task div {block}"))
+
+    def before(sums: DataFrame, keys: list[str], order: str, name: str) -> DataFrame:
+        window = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(order)
+        earlier = F.sum("ids").over(window.rowsBetween(Window.unboundedPreceding, -1))
+        return sums.withColumn(name, F.coalesce(earlier, F.lit(0)))
+
+    tasks = files.groupBy("block", "task").agg(F.sum("ids").alias("ids"))
+    blocks = tasks.groupBy("block").agg(F.sum("ids").alias("ids"))
+    blocks = before(blocks, [], "block", "blocks_before").select("block", "blocks_before")
+    tasks = before(tasks, ["block"], "task", "tasks_before").select("task", "tasks_before")
+    files = before(files, ["task"], "number", "files_before")
+    files = files.join(small_side(keep(tasks)), "task").join(small_side(keep(blocks)), "block")
+    first = F.col("files_before") + F.col("tasks_before") + F.col("blocks_before")
+    return files.select("file", first.alias("first"))
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
