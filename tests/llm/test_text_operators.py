@@ -1,4 +1,8 @@
+import random
+import struct
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from test_near_dedup import brute
@@ -6,7 +10,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidemark.llm.quality_fm import THRESHOLD, features
-from tidemark.llm.sentence_pieces import encode_documents, model_path, tokenizer_of
+from tidemark.llm.sentence_pieces import PieceTokenizer, encode_documents, model_path, tokenizer_of
 from tidemark.llm.token_ids import tokenizer_path
 from tidemark.llm.wrappers import extract_main_text, main_texts
 
@@ -114,3 +118,51 @@ def test_pipeline_matches_plain_stages(spark, tmp_path, monkeypatch):
     for r in placed:
         lengths[r.doc_id] = lengths.get(r.doc_id, 0) + r.length
     assert lengths == expected
+
+
+def _field(number, kind, data):
+    head = bytes([number << 3 | kind]) if number < 16 else bytes([(number << 3 | kind) & 127 | 128, number >> 4])
+    if kind == 2:
+        size, out = len(data), b""
+        while size > 127:
+            out, size = out + bytes([size & 127 | 128]), size >> 7
+        return head + out + bytes([size]) + data
+    return head + data
+
+
+def unigram_model(path, byte_fallback, symbols=()):
+    """A model file written by hand: pieces with scores, nothing learnt."""
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)]
+    if byte_fallback:
+        pieces += [(f"<0x{b:02X}>", -9.0, 6) for b in range(256)]
+    pieces += [(s, 0.0, 4) for s in symbols]
+    words = ["▁", "▁the", "▁a", "e", "t", "h", "a", "b", "ab", "▁ab", "$", "$$", "▁$", "▁$$", "s", "es", ".", "the"]
+    pieces += [(w, -1.0 - i % 5, 1) for i, w in enumerate(words)]
+    data = b""
+    for piece, score, kind in pieces:
+        body = _field(1, 2, piece.encode()) + _field(2, 5, struct.pack("<f", score)) + _field(3, 0, bytes([kind]))
+        data += _field(1, 2, body)
+    trainer = _field(3, 0, b"\x01") + (_field(35, 0, b"\x01") if byte_fallback else b"") + _field(40, 0, b"\x00")
+    normalizer = _field(1, 2, b"identity") + _field(3, 0, b"\x01") + _field(4, 0, b"\x00") + _field(5, 0, b"\x01")
+    path.write_bytes(data + _field(2, 2, trainer) + _field(3, 2, normalizer))
+    return str(path)
+
+
+@pytest.mark.parametrize("byte_fallback,symbols", [(False, ()), (True, ()), (True, ("<sep>",))])
+def test_parity_of_unigram_models_is_that_of_whole_texts(spark, tmp_path, byte_fallback, symbols):
+    path = unigram_model(tmp_path / "m.model", byte_fallback, symbols)
+    reference = SentencePieceProcessor(model_file=path)
+    rng = random.Random(8)
+    parts = ["the", "ab", "$$$", "$", " ", " ", "  ", "é", "es.", "tab", "<sep>", "▁b", "z"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(150)]
+    tokenizer = PieceTokenizer(path)
+    assert not tokenizer.separable
+    agree = 0
+    for text, (ids, same) in zip(texts, tokenizer.encode(texts), strict=True):
+        equal = np.frombuffer(ids, "<u4").tolist() == reference.encode(text)
+        assert same == equal
+        agree += equal
+    assert agree > 0.6 * len(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = encode_documents(docs, path).collect()
+    assert sum(r.parity for r in rows) == agree

@@ -6,12 +6,13 @@ unigram scores or the merges that the scores of a BPE model imply, and byte
 fallback. Texts are cut where no piece of the vocabulary can cross (before a run
 of markers); a worker remembers the ids of the stretches it has met, encodes new
 ones in multithreaded batches, and compares each with the sentencepiece library.
-A text is in parity if all its stretches are. Lists of ids are decoded likewise: cut
-before pieces that begin with a marker, which no run of byte pieces crosses.
+A text is in parity if all its stretches are; unigram models, whose ties are broken
+along the whole text, encode and compare whole texts. Lists of ids are decoded whole.
 """
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, table, whole_text, worker_memory
+from tidemark.llm.common import batches, table, uncollected, whole_text, worker_memory
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -34,6 +35,10 @@ UNIGRAM, BPE = 1, 2
 
 #: Stretches a worker remembers before it starts afresh.
 REMEMBERED = 400_000
+#: Stretches encoded as one text.
+TOGETHER = 64
+#: Threads of a worker that encode a batch.
+THREADS = 2
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -135,6 +140,8 @@ class PieceTokenizer:
     """A model rebuilt for the tokenizers library."""
 
     def __init__(self, path: str):
+        # A task has a core or two; more threads would wait for each other.
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         import sentencepiece
         from tokenizers import Tokenizer, decoders, models, normalizers
 
@@ -166,13 +173,16 @@ class PieceTokenizer:
                 decoders.Fuse(),
             ]
         )
-        self.begins = np.array([p.startswith(MARK) for p, _, _ in model.pieces])
         inner = re.compile(f"[^{MARK}]{MARK}")
-        self.separable = not any(inner.search(p) for p, _, k in model.pieces if k == NORMAL)
+        # Merges of a BPE model never cross into a stretch that no piece spans. Of a
+        # unigram model's segmentations, ties are broken along the whole text, and
+        # user-defined symbols are cut out of it first: such texts stay whole.
+        parted = model.model_type == BPE and all(k != USER_DEFINED for _, _, k in model.pieces)
+        self.separable = parted and not any(inner.search(p) for p, _, k in model.pieces if k == NORMAL)
+        self.begins = np.array([p.startswith(MARK) for p, _, _ in model.pieces])
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.unequal: set[str] = set()
-        self.spelled: dict[bytes, str] = {}
 
     def normalise(self, text: str) -> str:
         """The text as the model sees it: mapped, marked."""
@@ -182,29 +192,58 @@ class PieceTokenizer:
             return ""
         return (MARK if self.model.leading_mark else "") + text.replace(" ", MARK)
 
+    def plain(self, text: str) -> str:
+        """The normalised text as decoding should give it back."""
+        if self.normaliser is None and MARK not in text:
+            return text
+        lead = 1 if self.model.leading_mark else 0
+        return self.normalise(text)[lead:].replace(MARK, " ")
+
     def stretches(self, normal: str) -> list[str]:
         """Parts of a normalised text that are encoded independently."""
         if not normal:
             return []
         return _STRETCH.findall(normal) if self.separable else [normal]
 
+    def _ids_of(self, new: list[str]) -> list[bytes]:
+        """The ids of stretches, as u32 bytes, encoded in batches.
+
+        Stretches that begin with their only marker are encoded ``TOGETHER`` and cut
+        before the pieces that begin with one; what does not come apart into as many
+        stretches, and all others, is encoded by itself.
+        """
+        out: dict[str, bytes] = {}
+        single = [s for s in new if self.separable and s.rfind(MARK) == 0]
+        groups = [single[i : i + TOGETHER] for i in range(0, len(single), TOGETHER)]
+        found = self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)
+        for group, encoding in zip(groups, found, strict=True):
+            ids = np.array(encoding.ids, dtype="<u4")
+            starts = (np.flatnonzero(self.begins[ids]) * 4).tolist()
+            if len(starts) == len(group) and starts[0] == 0:
+                data = ids.tobytes()
+                ends = [*starts[1:], len(data)]
+                out.update(zip(group, (data[a:b] for a, b in zip(starts, ends, strict=True)), strict=True))
+        rest = [s for s in new if s not in out]
+        for stretch, encoding in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            out[stretch] = np.array(encoding.ids, dtype="<u4").tobytes()
+        return [out[s] for s in new]
+
     def learn(self, new: list[str]) -> None:
-        """Encode new stretches in one batch and compare them with the library's own."""
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        """Encode new stretches in batches and compare them with the library's own."""
         lead = 1 if self.model.leading_mark else 0
         asked = [s[lead:].replace(MARK, " ") if s[:lead] == MARK[:lead] else None for s in new]
         plain = self.reference.encode([a or "" for a in asked], num_threads=1)
-        for stretch, encoding, question, own in zip(new, found, asked, plain, strict=True):
-            ids = encoding.ids
+        for stretch, ids, question, own in zip(new, self._ids_of(new), asked, plain, strict=True):
             if question == "":
-                own = [self.reference.piece_to_id(stretch)] if len(ids) == 1 else own
-            self.known[stretch] = struct.pack(f"<{len(ids)}I", *ids)
-            if question is not None and ids != own:
+                own = [self.reference.piece_to_id(stretch)] if len(ids) == 4 else own
+            self.known[stretch] = ids
+            if question is not None and ids != struct.pack(f"<{len(own)}I", *own):
                 self.unequal.add(stretch)
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         """For each text its ids as u32 bytes, and whether it is in parity."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or not self.separable:
+            # Whole texts seldom come again and are not worth their room.
             self.known, self.words, self.unequal = {}, {}, set()
         plain = self.separable and self.normaliser is None and self.model.leading_mark
         # A text of words with single spaces between needs no marks: its words are
@@ -232,18 +271,8 @@ class PieceTokenizer:
 
     def decode(self, ids: list[bytes]) -> list[str]:
         """The text of each list of ids, given as u32 bytes."""
-        if len(self.spelled) > REMEMBERED:
-            self.spelled = {}
-        cut = []
-        for data in ids:
-            starts = (np.flatnonzero(self.begins[np.frombuffer(data, "<u4")]) * 4).tolist()
-            starts = starts if starts[:1] == [0] else [0, *starts]
-            cut.append([data[a:b] for a, b in zip(starts, [*starts[1:], len(data)], strict=True)])
-        new = list(set().union(*cut) - self.spelled.keys())
-        lists = [np.frombuffer(part, "<u4").tolist() for part in new]
-        found = self.tokenizer.decode_batch(lists, skip_special_tokens=False)
-        self.spelled.update(zip(new, found, strict=True))
-        texts = ["".join(map(self.spelled.__getitem__, parts)) for parts in cut]
+        lists = [np.frombuffer(data, "<u4").tolist() for data in ids]
+        texts = self.tokenizer.decode_batch(lists, skip_special_tokens=False)
         return [t.removeprefix(" ") for t in texts] if self.model.leading_mark else texts
 
 
@@ -265,16 +294,16 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = tokenizer_of(path)
-        lead = 1 if tokenizer.model.leading_mark else 0
         for frame in batches(frames, 1_000_000):
             texts = frame["text"].tolist()
-            found = tokenizer.encode(texts)
-            decoded = tokenizer.decode([ids for ids, _ in found])
-            rows = [
-                (doc_id, len(ids) // 4, zlib.crc32(ids), same)
-                + (back == tokenizer.normalise(text)[lead:].replace(MARK, " "),)
-                for doc_id, text, (ids, same), back in zip(frame["doc_id"], texts, found, decoded, strict=True)
-            ]
+            with uncollected():
+                found = tokenizer.encode(texts)
+                decoded = tokenizer.decode([ids for ids, _ in found])
+                rows = [
+                    (doc_id, len(ids) // 4, zlib.crc32(ids), same)
+                    + (back == tokenizer.plain(text),)
+                    for doc_id, text, (ids, same), back in zip(frame["doc_id"], texts, found, decoded, strict=True)
+                ]
             out = pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_crc32", "parity", "round_trip"])
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
