@@ -14,6 +14,7 @@ deterministic. Every text gets a score, empty ones and NULL too.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -188,6 +189,11 @@ def learn_quality(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Factor
             )
 
     labelled = labelled.select("doc_id", "text", "n_chars", "quality")
+    # An id may stand for any number of rows: thinned before anything is collected.
+    rows, most = labelled.count(), 2 * sample_rows
+    if rows > most:
+        row = F.xxhash64("doc_id", F.monotonically_increasing_id())
+        labelled = labelled.filter(F.pmod(row, F.lit(1_000_000)) < int(1_000_000 * most / rows))
     shape = "doc_id long, quality int, slots array<int>, stats array<double>"
     seen = labelled.mapInPandas(extract, shape).toPandas()
     seen = seen.sort_values(["doc_id", "quality"], kind="stable").head(2 * sample_rows)
@@ -196,7 +202,39 @@ def learn_quality(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Factor
         words = len(slots) - len(STATISTICS)
         values = np.concatenate([np.full(words, 1 / np.sqrt(max(words, 1))), stats])
         rows.append((int(label), np.asarray(slots, np.int64), values))
-    return fit(rows)
+    return calibrated(rows)
+
+
+def calibrated(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> FactorisationMachine:
+    """A machine whose scores part the labels at ``THRESHOLD``.
+
+    Every fourth row is kept out of the fit. The cut that parts those best, each label
+    counting alike, is moved to the threshold by the bias, which changes no order of
+    scores. Without rows of both labels the bias stays.
+    """
+    fm = fit([r for i, r in enumerate(rows) if i % 4])
+    apart = [(y, logit(fm.score(s, v))) for y, s, v in rows[::4]]
+    good, bad = ([z for y, z in apart if y == label] for label in (1, 0))
+    if good and bad:
+        fm.bias += logit(THRESHOLD) - best_cut(good, bad)
+    return fm
+
+
+def logit(p: float) -> float:
+    p = min(max(p, 1e-12), 1 - 1e-12)
+    return math.log(p / (1 - p))
+
+
+def best_cut(good: list[float], bad: list[float]) -> float:
+    """The middle of the widest gap among the cuts with the most of both labels right."""
+    values = sorted({*good, *bad})
+    ends = [values[0] - 1, *values, values[-1] + 1]
+    found = []
+    for low, high in zip(ends, ends[1:], strict=False):
+        cut = (low + high) / 2
+        right = sum(z >= cut for z in good) / len(good) + sum(z < cut for z in bad) / len(bad)
+        found.append((right, high - low, cut))
+    return max(found)[2]
 
 
 def training_rows(
