@@ -3,8 +3,10 @@ from itertools import combinations
 
 import pytest
 
+from tidemark.llm import common
 from tidemark.llm.components import components
-from tidemark.llm.near_dedup import drop_near_copies, near_groups
+from tidemark.llm.exact_dedup import drop_copies
+from tidemark.llm.near_dedup import drop_near_copies, near_groups, op7_minhash_dedup
 
 
 def plain_set(text):
@@ -113,3 +115,20 @@ def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 101), (103, 101), (200, 200)]
     got = {tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {(i, 0) for i in range(61)} | {(100, 100), (101, 100), (103, 100)}
+
+
+def test_the_query_keeps_by_id(spark, tmp_path):
+    rows = [(9, "one text of a few words here"), (9, "one text of a few words here"), (12, "one text of a few words here"), (None, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((tuple(r) for r in op7_minhash_dedup(spark, str(tmp_path)).collect()), key=repr)
+    assert got == [(12, 3, 9, False), (9, 3, 9, True), (9, 3, 9, True), (None, 1, None, True)]
+
+
+@pytest.mark.parametrize("drop", [drop_near_copies, drop_copies])
+def test_many_dropped_keys_are_sifted(spark, odd_docs, edited, monkeypatch, drop):
+    """Beyond what is broadcast the same rows stay."""
+    for docs in (odd_docs, edited):
+        expected = sorted(map(repr, drop(docs).collect()))
+        monkeypatch.setattr(common, "BROADCAST_KEYS", 0)
+        assert sorted(map(repr, drop(docs).collect())) == expected
+        monkeypatch.undo()

@@ -22,7 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hash_pair, keep, ranked, small_side, table, whole_text, without_keys
+from tidemark.llm import common
+from tidemark.llm.common import hash_pair, keep, ranked, table, whole_text, without_keys
+from tidemark.operators.sieve import matching
 
 BLOCK_BYTES = 4096
 KEY = ["doc_id", "k1", "k2"]
@@ -46,12 +48,11 @@ def _blocks(text: Column, block_bytes: int, salt: str, with_bytes: bool) -> Colu
 
 
 def _differ(docs: DataFrame, counts: DataFrame, block_bytes: int, salt: str) -> bool:
-    """Whether two different blocks share a hash: compares bytes, by shuffle."""
-    repeated = counts.filter(F.col("n") > 1).select(F.col("h1").alias("r1"), F.col("h2").alias("r2"))
+    """Whether two different blocks share a hash: compares the bytes of those whose hash
+    repeats, others being sifted out before the shuffle."""
+    repeated = keep(counts.filter(F.col("n") > 1).select("h1", "h2"))
     blocks = docs.select(F.inline(_blocks(whole_text(), block_bytes, salt, True)))
-    matched = blocks.join(
-        small_side(repeated), [F.col("h1") == F.col("r1"), F.col("h2") == F.col("r2")]
-    )
+    matched = matching(blocks, repeated, ["h1", "h2"], common.BROADCAST_KEYS)
     sides = matched.groupBy("h1", "h2").agg(
         F.min("block").alias("low"), F.max("block").alias("high")
     )

@@ -351,4 +351,6 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
 
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(table(spark, sf_dir, "documents"))
+    """Rows of one id stand and fall together here; ``near_groups`` keeps one of them."""
+    rows = near_groups(table(spark, sf_dir, "documents"))
+    return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
