@@ -12,14 +12,18 @@ and a prediction mixes the estimates of all depths: from the deepest node of the
 context that exists up to the root, p = weight * KT + (1 - weight) * p(deeper).
 Which nodes exist does not depend on the bit, so probabilities sum to one.
 
-Counts are of all training bytes. A node is part of the tree if it holds at least
-the fraction ``LEAST_SHARE`` of them; its parent accounts for the rest as one
-more child. So a depth has at most 8 / ``LEAST_SHARE`` nodes whatever the corpus,
-and should they exceed ``MOST_NODES`` in all, the fraction is doubled: the model
-that workers receive is bounded, while the counts behind it cover everything.
-Once weighed, nodes that hardly change a prediction are left out: those to which
-the nodes above leave at most ``UNDECIDED`` of the weight, and childless ones with
-the counts of their parent.
+Every context of up to ``DEPTH`` bytes that training texts hold is a node, however
+rare: the tree grows with the corpus and nobody holds it whole. A byte's score depends
+on its gram alone, the byte and the ``DEPTH`` before it:
+
+* texts are taken in blocks of about ``BLOCK`` characters; a block asks for its distinct
+  grams and tells how often training texts have them;
+* buckets of grams, by a hash of their last ``SPLIT`` bytes, build the subtrees of
+  their contexts from the counts of all blocks and work out what the depths from
+  ``SPLIT`` on predict for each gram;
+* the depths above are one small tree of at most 256 ** (SPLIT - 1) contexts, whatever
+  the corpus; it is weighed by the driver and completes the scores of the buckets;
+* scores go back to the blocks that asked, where they meet the texts again.
 
 The base score needs the exact count of every token. Counts are summed by Spark;
 tokens of at least ``FREQUENT`` of all occurrences (so at most 1 / ``FREQUENT``)
@@ -30,7 +34,6 @@ hash. NULL texts are empty: one end token. NULL ids are not held out.
 from __future__ import annotations
 
 import math
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,21 +41,25 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, crc_of_id, keep, table, whole_text, worker_memory
+from tidemark.llm.common import batches, crc_of_id, keep, table, uncollected, whole_text
 
-DEPTH = 6
-LEAST_SHARE = 5e-7
-MOST_NODES = 2_500_000
-UNDECIDED = 0.01
+#: Bytes of context; with the byte itself a gram fills 64 bits.
+DEPTH = 7
+#: Depths from here on are worked out in buckets of their contexts, those above by the driver.
+SPLIT = 3
+#: Characters of a block of texts, and of all texts for each bucket of grams.
+BLOCK = 32 << 20
+BUCKET = 8 << 20
 FREQUENT = 5e-6
 END = b"\n"
 #: Bytes handled at once, and distinct tokens a task gathers before it passes them on.
 WINDOW = 1 << 20
 GATHERED = 1_000_000
-MEMO_BITS = 23
+ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str) -> list[bytes]:
@@ -93,7 +100,8 @@ def own_positions(ends: np.ndarray) -> np.ndarray:
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
     """log Gamma for x > 0 (shifted Stirling series)."""
-    shift, y = np.zeros_like(x), x.copy()
+    y = np.array(x, np.float64)
+    shift = np.zeros_like(y)
     for _ in range(7):
         low = y < 7
         shift[low] -= np.log(y[low])
@@ -107,18 +115,40 @@ def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1) - math.log(math.pi)
 
 
+def contexts(gram: np.ndarray, depth: int) -> np.ndarray:
+    """The last ``depth`` bytes before each byte, with room for eight bits below."""
+    if depth == 0:
+        return np.zeros(len(gram), np.uint64)
+    return (gram >> np.uint64(8 * (DEPTH - depth) + 8)) << np.uint64(8)
+
+
+def node_keys(gram: np.ndarray, depth: int, bit: int) -> np.ndarray:
+    """The node of each gram's decision ``bit`` at a depth: context bytes, bits before it."""
+    byte = gram & np.uint64(255)
+    return contexts(gram, depth) | np.uint64(1 << bit) | (byte >> np.uint64(8 - bit))
+
+
+def decided(gram: np.ndarray, bit: int) -> np.ndarray:
+    return ((gram >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
+
+
+def shorter(gram: np.ndarray, count: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The grams cut to ``depth`` context bytes, in order, and their counts."""
+    if depth < DEPTH:
+        unused = np.uint64(8 * (DEPTH - depth))
+        gram = contexts(gram, depth) << unused | (gram & np.uint64(255))
+        gram, where = np.unique(gram, return_inverse=True)
+        count = np.bincount(where, count, minlength=len(gram))
+    return gram, count
+
+
 def nodes_at(gram: np.ndarray, count: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
-    """(key, zeros, ones) of all nodes of a depth; key = context bytes, bit prefix."""
-    byte = (gram & np.uint64(255)).astype(np.int64)
-    context = (gram >> np.uint64(8 * (DEPTH - depth) + 8)) << np.uint64(8)
-    keys, ones = [], []
-    for bit in range(8):
-        keys.append(context | ((1 << bit) | (byte >> (8 - bit))).astype(np.uint64))
-        ones.append((byte >> (7 - bit)) & 1)
-    key, where = np.unique(np.concatenate(keys), return_inverse=True)
-    ones = np.concatenate(ones) * np.tile(count, 8)
-    total = np.bincount(where, np.tile(count, 8))
-    one = np.bincount(where, ones)
+    """(key, zeros, ones) of all nodes of a depth, keys in order."""
+    keys = np.concatenate([node_keys(gram, depth, bit) for bit in range(8)])
+    ones = np.concatenate([decided(gram, bit) for bit in range(8)]) * np.tile(count, 8)
+    key, where = np.unique(keys, return_inverse=True)
+    total = np.bincount(where, np.tile(count, 8), minlength=len(key))
+    one = np.bincount(where, ones, minlength=len(key))
     return key, total - one, one
 
 
@@ -127,184 +157,167 @@ def parents(key: np.ndarray) -> np.ndarray:
     return ((key >> np.uint64(16)) << np.uint64(8)) | (key & np.uint64(255))
 
 
-def weigh(
-    key: np.ndarray, a: np.ndarray, b: np.ndarray, children: tuple[np.ndarray, ...] | None
-) -> tuple[np.ndarray, np.ndarray]:
-    """(weight, log P_w) of nodes, given their kept ``children`` (key, a, b, log P_w)."""
-    own = log_kt(a, b)
-    if children is None:
-        return np.ones(len(key)), own
+def below(key: np.ndarray, children: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The sum of log P_w over each node's children, given as (key, log P_w)."""
     at = np.searchsorted(key, parents(children[0]))
-    ca, cb, below = (np.bincount(at, x, minlength=len(key)) for x in children[1:])
-    below = below + log_kt(np.maximum(a - ca, 0), np.maximum(b - cb, 0))
-    weight = 1 / (1 + np.exp(np.clip(below - own, -700, 700)))
-    return weight, np.logaddexp(own, below) - math.log(2)
+    return np.bincount(at, children[1], minlength=len(key))
 
 
-NODES = "depth int, key long, zeros double, ones double, weight double, log_w double"
-SPLIT = 3  # contexts that share this many bytes are weighed together
-GROUP = 100_000  # grams weighed at once, or one such context's
+def weigh(a: np.ndarray, b: np.ndarray, lower: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """(weight, log P_w) of nodes; ``lower`` is the sum of log P_w of their children."""
+    own = log_kt(a, b)
+    if lower is None:
+        return np.ones(len(a)), own
+    weight = 1 / (1 + np.exp(np.clip(lower - own, -700, 700)))
+    return weight, np.logaddexp(own, lower) - math.log(2)
 
 
-def shorter(gram: np.ndarray, count: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The grams cut to ``depth`` context bytes, in order, and their counts."""
-    unused = np.uint64(8 * (DEPTH - depth) + 8)
-    cut = ((gram >> unused) << unused) | (gram & np.uint64(255))
-    cut, where = np.unique(cut, return_inverse=True)
-    return cut, np.bincount(where, count)
-
-
-def in_contexts_of(gram: np.ndarray, count: np.ndarray, depth: int, least: float) -> np.ndarray:
-    """Marks of the ordered grams whose context holds at least ``least``."""
-    if not len(gram):
-        return np.zeros(0, bool)
-    context = gram >> np.uint64(8 * (DEPTH - depth) + 8)
-    starts = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-    sizes = np.diff(np.append(starts, len(gram)))
-    return np.repeat(np.add.reduceat(count, starts) >= least, sizes)
-
-
-def thinned(levels: list[tuple[np.ndarray, ...]]) -> list[tuple[np.ndarray, ...]]:
-    """Levels (key, a, b, weight, log P_w) from ``SPLIT`` down, without idle nodes."""
-    levels = list(levels)
-    rest = 1 - levels[0][3]
-    for i in range(1, len(levels)):
-        above, key = levels[i - 1], levels[i][0]
-        if not len(above[0]):
-            levels[i] = tuple(x[:0] for x in levels[i])
-            rest = levels[i][3]
-            continue
-        at = np.minimum(np.searchsorted(above[0], parents(key)), len(above[0]) - 1)
-        used = (above[0][at] == parents(key)) & (rest[at] > UNDECIDED)
-        levels[i] = tuple(x[used] for x in levels[i])
-        rest = rest[at[used]] * (1 - levels[i][3])
-    for i in range(len(levels) - 1, 0, -1):
-        above, (key, a, b, *_) = levels[i - 1], levels[i]
-        at = np.searchsorted(above[0], parents(key))
-        idle = (above[1][at] == a) & (above[2][at] == b)
-        if i + 1 < len(levels):
-            idle &= ~np.isin(key, parents(levels[i + 1][0]))
-        levels[i] = tuple(x[~idle] for x in levels[i])
-    return levels
-
-
-def _subtrees(least: float):
-    """The nodes of whole subtrees from ``DEPTH`` up to ``SPLIT``, and partial counts above."""
-
-    def build(frame: pd.DataFrame) -> pd.DataFrame:
-        gram = frame["gram"].to_numpy().view(np.uint64)
-        count = frame["n"].to_numpy().astype(np.float64)
-        levels, children = {}, None
-        for depth in range(DEPTH, -1, -1):
-            gram, count = shorter(gram, count, depth)
-            if depth >= SPLIT:
-                large = in_contexts_of(gram, count, depth, least)
-                key, a, b = nodes_at(gram[large], count[large], depth)
-                kept = a + b >= least
-                key, a, b = key[kept], a[kept], b[kept]
-                weight, log_w = weigh(key, a, b, children)
-                children = key, a, b, log_w
-            else:
-                key, a, b = nodes_at(gram, count, depth)
-                weight = log_w = np.zeros(len(key))
-            levels[depth] = key, a, b, weight, log_w
-        deep = range(SPLIT, DEPTH + 1)
-        levels |= dict(zip(deep, thinned([levels[d] for d in deep]), strict=True))
-        out = [
-            pd.DataFrame(
-                {"depth": depth, "key": key.view(np.int64), "zeros": a, "ones": b}
-                | {"weight": weight, "log_w": log_w}
-            )
-            for depth, (key, a, b, weight, log_w) in levels.items()
-        ]
-        return pd.concat(out)
-
-    return build
+@dataclass
+class Level:
+    """The nodes of a depth: keys in order, the chances of a zero and of a one, weights.
 
+    Both chances are kept, as one less a chance close to one is nothing.
+    """
 
-@dataclass
-class ContextTree:
-    """For each depth: sorted keys, and log10 of the mixed chances of a zero and of a one.
+    key: np.ndarray
+    chance: np.ndarray
+    weight: np.ndarray
 
-    Both are kept, as one less a chance close to one is nothing. The mix of a node and all above it, itself the deepest of its context, depends
-    on the node alone: it is worked out once, and a lookup needs one node.
+    @staticmethod
+    def of(key: np.ndarray, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> Level:
+        both = a + b + 1
+        return Level(key, np.stack([(a + 0.5) / both, (b + 0.5) / both], axis=1), weight)
+
+
+class Mix:
+    """The mixed chance of one decision of many grams, depth by depth from above.
+
+    ``chance`` is the mix if the last depth that had a node is the deepest; ``before``
+    is what that depth and those above it add, ``rest`` what they leave to deeper ones.
     """
 
-    keys: list[np.ndarray]
-    logs: list[np.ndarray]
-
-    def log10(self, gram: np.ndarray) -> np.ndarray:
-        """log10 of each byte's probability in its context."""
-        byte = (gram & np.uint64(255)).astype(np.int64)
-        total = np.zeros(len(gram))
-        for bit in range(8):
-            prefix = ((1 << bit) | (byte >> (8 - bit))).astype(np.uint64)
-            value = np.full(len(gram), math.log10(0.5))
-            one = (byte >> (7 - bit)) & 1
-            left, own, mine = np.arange(len(gram)), gram, prefix
-            for depth in range(DEPTH, -1, -1):
-                keys = self.keys[depth]
-                if not len(keys) or not len(left):
-                    continue
-                key = ((own >> np.uint64(8 * (DEPTH - depth) + 8)) << np.uint64(8)) | mine
-                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                hit = keys[at] == key
-                value[left[hit]] = self.logs[depth][at[hit], one[left[hit]]]
-                left, own, mine = left[~hit], own[~hit], mine[~hit]
-            total += value
-        return total
+    def __init__(self, count: int):
+        self.chance = np.full(count, np.nan)
+        self.before, self.rest = np.zeros(count), np.ones(count)
+
+    def add(self, level: Level, key: np.ndarray, one: np.ndarray) -> None:
+        if not len(level.key):
+            return
+        at = np.minimum(np.searchsorted(level.key, key), len(level.key) - 1)
+        hit = np.flatnonzero(level.key[at] == key)
+        at = at[hit]
+        chance, weight = level.chance[at, one[hit]], level.weight[at]
+        rest = self.rest[hit]
+        self.chance[hit] = self.before[hit] + rest * chance
+        self.before[hit] += rest * weight * chance
+        self.rest[hit] = rest * (1 - weight)
 
 
-def mixed(levels: list[tuple[np.ndarray, ...]]) -> ContextTree:
-    """The tree of (key, chances, weight) of depths 0 to ``DEPTH``, keys in order.
+def subtrees(gram: np.ndarray, count: np.ndarray) -> tuple[list[Level], tuple[np.ndarray, ...]]:
+    """The levels ``SPLIT`` to ``DEPTH`` of trained grams, and the depth above them.
 
-    ``chances`` has a row for each key, of a zero and of a one.
+    That is (key, zeros, ones, sum of the children's log P_w): the part of these grams.
     """
-    tree = ContextTree([], [])
-    for key, chances, weight in levels:
-        weight = weight[:, None]
-        if not tree.keys:
-            before, rest = np.zeros((len(key), 2)), np.ones((len(key), 1))
-        else:
-            at = np.searchsorted(tree.keys[-1], parents(key))
-            before, rest = before[at], rest[at]
-        tree.keys.append(key)
-        tree.logs.append(np.log10(before + rest * chances).astype(np.float32))
-        before, rest = before + rest * weight * chances, rest * (1 - weight)
-    return tree
-
-
-class Scorer:
-    """Scores byte streams, remembering contexts in a direct-mapped table."""
-
-    def __init__(self, tree: ContextTree):
-        self.tree = tree
-        self.known = np.full(1 << MEMO_BITS, np.iinfo(np.uint64).max, np.uint64)
-        self.value = np.zeros(1 << MEMO_BITS, np.float32)
-
-    def _slots(self, gram: np.ndarray) -> np.ndarray:
-        mixed = gram * np.uint64(0x9E3779B97F4A7C15)
-        return (mixed >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
-
-    def log10(self, gram: np.ndarray) -> np.ndarray:
-        slots = self._slots(gram)
-        out = self.value[slots].astype(np.float64)
-        new = self.known[slots] != gram
-        if new.any():
-            distinct, where = np.unique(gram[new], return_inverse=True)
-            found = self.tree.log10(distinct)
-            out[new] = found[where]
-            slots = self._slots(distinct)
-            self.known[slots], self.value[slots] = distinct, found
-        return out
+    levels, children = [], None
+    for depth in range(DEPTH, SPLIT - 1, -1):
+        gram, count = shorter(gram, count, depth)
+        key, a, b = nodes_at(gram, count, depth)
+        weight, log_w = weigh(a, b, None if children is None else below(key, children))
+        children = key, log_w
+        levels.append(Level.of(key, a, b, weight))
+    gram, count = shorter(gram, count, SPLIT - 1)
+    key, a, b = nodes_at(gram, count, SPLIT - 1)
+    return levels[::-1], (key, a, b, below(key, children))
+
+
+def deep_chances(levels: list[Level], gram: np.ndarray) -> np.ndarray:
+    """(gram, decision) chances by the depths from ``SPLIT`` on, NaN where they have no node."""
+    out = np.empty((len(gram), 8))
+    for bit in range(8):
+        mix, one = Mix(len(gram)), decided(gram, bit)
+        for depth, level in enumerate(levels, SPLIT):
+            mix.add(level, node_keys(gram, depth, bit), one)
+        out[:, bit] = mix.chance
+    return out
+
+
+def top_levels(key: np.ndarray, a: np.ndarray, b: np.ndarray, lower: np.ndarray) -> list[Level]:
+    """The levels above ``SPLIT`` from the sums of all buckets, keys in order."""
+    levels = []
+    for _ in range(SPLIT):
+        weight, log_w = weigh(a, b, lower)
+        levels.append(Level.of(key, a, b, weight))
+        up, where = np.unique(parents(key), return_inverse=True)
+        a, b, lower = (np.bincount(where, x, minlength=len(up)) for x in (a, b, log_w))
+        key = up
+    return levels[::-1]
+
+
+def gram_scores(top: list[Level], gram: np.ndarray, deep: np.ndarray) -> np.ndarray:
+    """log10 of each gram's byte in its context."""
+    total = np.zeros(len(gram))
+    for bit in range(8):
+        mix, one = Mix(len(gram)), decided(gram, bit)
+        for depth, level in enumerate(top):
+            mix.add(level, node_keys(gram, depth, bit), one)
+        own = deep[:, bit]
+        chance = np.where(np.isnan(own), mix.chance, mix.before + mix.rest * own)
+        total += np.log10(np.where(np.isnan(chance), 0.5, chance))
+    return total
+
+
+def scores_of(trained: np.ndarray, count: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """log10 of the bytes of ``asked`` grams by the tree of ``trained`` ones (in order).
+
+    What buckets and driver do, in one piece.
+    """
+    levels, sums = subtrees(trained, count.astype(np.float64))
+    return gram_scores(top_levels(*sums), asked, deep_chances(levels, asked))
+
+
+def squeezed(gram: np.ndarray) -> bytes:
+    """Ordered grams as the bytes of their differences, highest bytes together."""
+    steps = np.diff(gram, prepend=np.uint64(0)).astype("<u8")
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unsqueezed(data: bytes) -> np.ndarray:
+    octets = np.frombuffer(data, np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(octets).view("<u8").ravel().astype(np.uint64), dtype=np.uint64)
+
+
+class GramTable:
+    """The scores of a block's grams, found by the high bits of a hash."""
+
+    def __init__(self, gram: np.ndarray, score: np.ndarray):
+        mixed = gram * ODD
+        order = np.argsort(mixed)
+        self.mixed, self.score = mixed[order], score[order]
+        self.shift = np.uint64(64 - max(1, (2 * len(gram)).bit_length()))
+        places = np.arange((1 << int(64 - self.shift)) + 1, dtype=np.uint64)
+        self.starts = np.searchsorted(self.mixed >> self.shift, places).astype(np.int64)
+
+    def __getitem__(self, gram: np.ndarray) -> np.ndarray:
+        mixed = gram * ODD
+        at = self.starts[(mixed >> self.shift).astype(np.int64)]
+        at = np.minimum(at, len(self.mixed) - 1)
+        lost = np.flatnonzero(self.mixed[at] != mixed)
+        while len(lost):
+            at[lost] += 1
+            if at[lost].max() >= len(self.mixed):
+                raise ValueError("a block holds a gram that it has not asked for")
+            lost = lost[self.mixed[at[lost]] != mixed[lost]]
+        return self.score[at]
 
     def texts(self, docs: list[list[bytes]]) -> np.ndarray:
         """log10 probability of each text."""
         data, ends = streams(docs)
         values = np.zeros(len(data) + 1)
+        own = own_positions(ends)
         for start in range(0, max(len(data) - DEPTH, 0), WINDOW):
             part = data[start : start + WINDOW + DEPTH]
-            values[start + DEPTH : start + len(part)] = self.log10(grams(part))
+            mine = own[start : start + WINDOW]
+            values[start + DEPTH : start + len(part)][mine] = self[grams(part)[mine]]
         # Each text by itself, padding left out: a text has one byte at least.
         bounds = np.stack([ends[:-1] + DEPTH, ends[1:]], axis=1).ravel()
         return np.add.reduceat(values, bounds)[::2]
@@ -338,133 +351,252 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """(gram, n) of all bytes of ``docs(text)`` in their full contexts."""
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    gram, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return gram, np.bincount(where, np.concatenate([p[1] for p in parts]), minlength=len(gram)).astype(np.int64)
 
-    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        gram, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        return gram, np.bincount(where, np.concatenate([p[1] for p in parts])).astype(np.int64)
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
-        for frame in batches(frames, WINDOW):
-            data, ends = streams([words_of(t) for t in frame["text"]])
+def in_blocks(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame]]:
+    """Slices of frames with their block: the part and its characters before, by ``BLOCK``.
+
+    A block depends on the rows of a part alone, not on how they come in batches.
+    """
+    before = 0
+    for frame in batches(frames, WINDOW):
+        first = int(frame["part"].iloc[0]) << 24
+        sizes = frame["text"].str.len().to_numpy()
+        ends = before + np.cumsum(sizes)
+        numbers = (ends - sizes) // BLOCK
+        for number in np.unique(numbers):
+            yield first + int(number), frame[numbers == number]
+        before = int(ends[-1])
+
+
+def block_grams(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(block, distinct grams in order, their count in training texts)."""
+    current, parts = None, []
+    for block, frame in in_blocks(frames):
+        if block != current and parts:
+            yield current, *_merged(parts)
+            parts = []
+        current = block
+        held = frame["held_out"].to_numpy(dtype=bool)
+        for mine, times in ((~held, 1), (held, 0)):
+            data, ends = streams([words_of(t) for t in frame["text"][mine]])
             own = own_positions(ends)
             for start in range(0, max(len(data) - DEPTH, 0), WINDOW):
                 found = grams(data[start : start + WINDOW + DEPTH])
-                found = found[own[start : start + WINDOW]]
-                parts.append(np.unique(found, return_counts=True))
-            if len(parts) >= 12:
-                parts = [merged(parts)]
-                if len(parts[0][0]) > 4 * GATHERED:
-                    yield pd.DataFrame({"gram": parts[0][0].view(np.int64), "n": parts[0][1]})
-                    parts = []
-        if parts:
-            gram, n = merged(parts)
-            yield pd.DataFrame({"gram": gram.view(np.int64), "n": n})
-
-    counted = docs.select(whole_text().alias("text")).mapInPandas(count, "gram long, n long")
-    return counted.groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def learn_tree(docs: DataFrame, least_share: float = LEAST_SHARE) -> ContextTree:
-    """The weighted context tree of ``docs(text)``."""
-    counts = keep(gram_counts(docs))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    shared = F.shiftrightunsigned(F.col("gram"), 8 * (DEPTH - SPLIT) + 8)
-    groups = counts.count() // GROUP + 1
-    group = F.pmod(F.xxhash64(shared), F.lit(groups)).alias("group")
-    while True:
-        build = _subtrees(least_share * total)
-        nodes = keep(counts.groupBy(group).applyInPandas(build, NODES))
-        if nodes.filter(f"depth >= {SPLIT}").count() <= MOST_NODES:
-            break
-        least_share *= 2
-    top = nodes.filter(f"depth < {SPLIT}").groupBy("depth", "key")
-    top = top.agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
-    top = top.select("depth", "key", "zeros", "ones", F.lit(0.0).alias("weight"), F.lit(0.0).alias("log_w"))
-    levels = []
-    both = F.col("zeros") + F.col("ones") + 1
-    chances = {f"chance_{c}": (F.col(c) + 0.5) / both for c in ("zeros", "ones")}
-    children = None
-    for depth in range(DEPTH, -1, -1):
-        own = (nodes if depth >= SPLIT else top).filter(F.col("depth") == depth)
-        own = own.withColumns(chances | {"weight": F.col("weight").cast("float")})
-        columns = ["key", *chances, "weight"] + (["zeros", "ones", "log_w"] if depth <= SPLIT else [])
-        rows = own.select(columns).toPandas()
-        key = rows["key"].to_numpy().view(np.uint64)
-        order = np.argsort(key)
-        rows = {c: rows[c].to_numpy()[order] for c in columns}
-        key, weight = key[order], rows["weight"]
-        if depth <= SPLIT:
-            a, b, log_w = rows["zeros"], rows["ones"], rows["log_w"]
-            if depth < SPLIT:
-                weight, log_w = weigh(key, a, b, children)
-            children = key, a, b, log_w
-        levels.append((key, np.stack([rows[c] for c in chances], axis=1), weight))
-    return mixed(levels[::-1])
-
-
-def score_texts(docs: DataFrame, training: DataFrame) -> DataFrame:
+                gram, count = np.unique(found[own[start : start + WINDOW]], return_counts=True)
+                parts.append((gram, count * times))
+        if len(parts) >= 12:
+            parts = [_merged(parts)]
+    if parts:
+        yield current, *_merged(parts)
+
+
+def bucket_of(gram: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = (contexts(gram, SPLIT) >> np.uint64(8)) * ODD
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
+def asked_grams(docs: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, block, grams, counts): what each block asks and tells each bucket."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block, gram, count in block_grams(frames):
+            bucket = bucket_of(gram, buckets)
+            order = np.argsort(bucket, kind="stable")
+            numbers, starts = np.unique(bucket[order], return_index=True)
+            rows = []
+            for number, own in zip(numbers, np.split(order, starts[1:]), strict=True):
+                rows.append((number, block, squeezed(gram[own]), count[own].astype("<u4").tobytes()))
+            yield pd.DataFrame(rows, columns=["bucket", "block", "grams", "counts"])
+
+    rows = docs.select(F.spark_partition_id().alias("part"), "held_out", "text")
+    return rows.mapInPandas(run, "bucket int, block long, grams binary, counts binary")
+
+
+DEEP = (
+    "grams binary, deep binary, blocks array<long>, places array<binary>, "
+    "top_keys binary, top_zeros binary, top_ones binary, top_below binary"
+)
+
+
+def _bucket(frame: pd.DataFrame) -> pd.DataFrame:
+    """One bucket: the chances of its grams, who asked for which, and the depth above."""
+    asked = [unsqueezed(g) for g in frame["grams"]]
+    counts = np.concatenate([np.frombuffer(c, "<u4") for c in frame["counts"]])
+    gram, where = np.unique(np.concatenate(asked), return_inverse=True)
+    count = np.bincount(where, counts, minlength=len(gram))
+    known = count > 0
+    levels, sums = subtrees(gram[known], count[known])
+    deep = deep_chances(levels, gram).astype("<f4")
+    ends = np.cumsum([len(g) for g in asked])
+    places = [p.astype("<u4").tobytes() for p in np.split(where, ends[:-1])]
+    top = [sums[0].astype("<u8").tobytes(), *(x.astype("<f8").tobytes() for x in sums[1:])]
+    row = [squeezed(gram), deep.tobytes(), frame["block"].to_numpy(), places, *top]
+    return pd.DataFrame([row], columns=[c.split(" ")[0] for c in DEEP.split(", ")])
+
+
+def _top(buckets: DataFrame) -> list[Level]:
+    """The tree above ``SPLIT``: at most 256 ** (SPLIT - 1) contexts of 255 nodes."""
+
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for key, *sums in zip(*[frame[c] for c in names], strict=True):
+                columns = {"key": np.frombuffer(key, "<i8")}
+                yield pd.DataFrame(columns | {n: np.frombuffer(x, "<f8") for n, x in zip("abc", sums, strict=True)})
+
+    names = ["top_keys", "top_zeros", "top_ones", "top_below"]
+    found = buckets.select(*names).mapInPandas(rows, "key long, a double, b double, c double")
+    summed = found.groupBy("key").agg(*[F.sum(n).alias(n) for n in "abc"]).toArrow()
+    key = summed.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    return top_levels(key[order], *(summed.column(n).to_numpy()[order] for n in "abc"))
+
+
+TEXTS = "ids array<long>, nameless array<boolean>, held array<boolean>, sizes array<int>, words binary"
+PARTS = f"block long, kind int, grams binary, scores binary, {TEXTS}"
+
+
+def _answers(buckets: DataFrame, top: list[Level]) -> DataFrame:
+    """(block, 0, grams, scores) for every block that asked, from every bucket."""
+    sent = buckets.sparkSession.sparkContext.broadcast(top)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for grams_, deep, blocks, places in zip(
+                frame["grams"], frame["deep"], frame["blocks"], frame["places"], strict=True
+            ):
+                gram = unsqueezed(grams_)
+                chances = np.frombuffer(deep, "<f4").reshape(-1, 8).astype(np.float64)
+                score = gram_scores(sent.value, gram, chances).astype("<f4")
+                own = [np.frombuffer(p, "<u4") for p in places]
+                yield pd.DataFrame(
+                    {
+                        "block": blocks,
+                        "grams": [squeezed(gram[p]) for p in own],
+                        "scores": [score[p].tobytes() for p in own],
+                    }
+                )
+
+    found = buckets.select("grams", "deep", "blocks", "places").mapInPandas(run, "block long, grams binary, scores binary")
+    return found.withColumn("kind", F.lit(0))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """(block, 1, ``TEXTS``): texts on their way to the scores."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        press = zstandard.ZstdCompressor(level=1)
+        for block, frame in in_blocks(frames):
+            texts = [b" ".join(words_of(t)) for t in frame["text"]]
+            columns = [frame[c].tolist() for c in ("doc_id", "nameless", "held_out")]
+            row = (block, *columns, [len(t) for t in texts], press.compress(b"".join(texts)))
+            yield pd.DataFrame([row], columns=["block", "ids", "nameless", "held", "sizes", "words"])
+
+    # A NULL would turn a batch's ids into floats.
+    nameless = F.col("doc_id").isNull().alias("nameless")
+    part = F.spark_partition_id().alias("part")
+    rows = docs.select(part, F.coalesce("doc_id", F.lit(0)).alias("doc_id"), nameless, "held_out", "text")
+    return rows.mapInPandas(run, f"block long, {TEXTS}").withColumn("kind", F.lit(1))
+
+
+def _unpacked(row) -> tuple[list, list, list[list[bytes]]]:
+    data = zstandard.ZstdDecompressor().decompress(row.words)
+    ends = np.cumsum(row.sizes)
+    ids = [None if n else int(i) for i, n in zip(row.ids, row.nameless, strict=True)]
+    return ids, row.held, [data[e - n : e].split() for e, n in zip(ends, row.sizes, strict=True)]
+
+
+def score_texts(docs: DataFrame, training: DataFrame | None = None) -> DataFrame:
     """Scores of every row of ``docs(doc_id, held_out, text)``.
 
+    Learns from the rows of ``docs`` that are not held out, or else from ``training``.
+    Both are read several times and must give a task the same rows each time, as
+    tables in files do; a block that finds other texts than it asked for fails.
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
     """
     spark = docs.sparkSession
-    counts = keep(token_counts(training))
+    docs = docs.select(F.col("doc_id").cast("long"), "held_out", whole_text().alias("text"))
+    learned = docs.filter("NOT held_out") if training is None else training.select(whole_text().alias("text"))
+    counts = keep(token_counts(learned))
     facts = counts.agg(F.sum("n"), F.count("*")).first()
     total, distinct = facts[0] or 0, facts[1]
     space = total + 0.5 * (distinct + 1)
     limit = max(total * FREQUENT, 1)
     often = counts.filter(F.col("n") >= limit).toPandas()
     often = dict(zip(often["token"].tolist(), often["n"].tolist(), strict=True))
-    sent = spark.sparkContext.broadcast((learn_tree(training), often))
-    owner = f"context tree {uuid.uuid4().hex}"
+    sent = spark.sparkContext.broadcast(often)
+
+    size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = int(size // BUCKET) + 16
+    if training is None:
+        asked = asked_grams(docs, buckets)
+    else:
+        # Blocks of the training texts are told apart from those that are scored.
+        asked = asked_grams(docs.withColumn("held_out", F.lit(True)), buckets)
+        told = asked_grams(learned.withColumn("held_out", F.lit(False)), buckets)
+        asked = asked.unionByName(told.withColumn("block", -1 - F.col("block")))
+    worked = keep(asked.groupBy("bucket").applyInPandas(_bucket, DEEP))
+    parts = _answers(worked, _top(worked)).unionByName(_texts(docs), allowMissingColumns=True)
+    parts = parts.filter("block >= 0").select(*[c.split(" ")[0] for c in PARTS.split(", ")])
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        tree, frequent = sent.value
-        scorer = worker_memory(owner, lambda: Scorer(tree))
+        frequent = sent.value
         number = TaskContext.get().partitionId() << 40
         remembered: dict[bytes, tuple[int, int | None]] = {}
-        for frame in batches(frames, WINDOW):
-            words = [words_of(t) for t in frame["text"]]
-            scores = scorer.texts(words)
-            rows = []
-            for doc_id, held_out, own, value in zip(
-                frame["doc_id"], frame["held_out"], words, scores, strict=True
-            ):
-                found = Counter(own)
-                found[END] = 1
-                known, base, tokens, times = 0, 0.0, [], []
-                for word, f in found.items():
-                    seen = remembered.get(word)
-                    if seen is None:
-                        key = token_hash(word)
-                        seen = remembered[word] = (key, frequent.get(key))
-                    if seen[1] is None:
-                        tokens.append(seen[0])
-                        times.append(f)
-                    else:
-                        known += f
-                        base += f * math.log10((seen[1] + 0.5) / space)
-                rows.append((number, doc_id, held_out, len(own) + 1, known, base, value, tokens, times))
-                number += 1
-            if len(remembered) > GATHERED // 4:
-                remembered.clear()
-            names = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "tokens", "times"]
-            out = pd.DataFrame(rows, columns=names)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+        block, answers, known_grams = None, [], None
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                if row.block != block:
+                    block, answers, known_grams = row.block, [], None
+                if row.kind == 0:
+                    answers.append((unsqueezed(row.grams), np.frombuffer(row.scores, "<f4")))
+                    continue
+                if known_grams is None:
+                    known_grams = GramTable(*(np.concatenate(x) for x in zip(*answers, strict=True)))
+                    answers = []
+                ids, held, words = _unpacked(row)
+                with uncollected():
+                    yield scored(ids, held, words, known_grams.texts(words), number, remembered, frequent)
+                number += len(words)
+                if len(remembered) > GATHERED // 4:
+                    remembered.clear()
+
+    def scored(ids, held, words, scores, number, remembered, frequent) -> pd.DataFrame:
+        rows = []
+        for doc_id, held_out, own, value in zip(ids, held, words, scores, strict=True):
+            found = Counter(own)
+            found[END] = 1
+            known, base, tokens, times = 0, 0.0, [], []
+            for word, f in found.items():
+                seen = remembered.get(word)
+                if seen is None:
+                    key = token_hash(word)
+                    seen = remembered[word] = (key, frequent.get(key))
+                if seen[1] is None:
+                    tokens.append(seen[0])
+                    times.append(f)
+                else:
+                    known += f
+                    base += f * math.log10((seen[1] + 0.5) / space)
+            rows.append((number, doc_id, bool(held_out), len(own) + 1, known, base, value, tokens, times))
+            number += 1
+        names = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "tokens", "times"]
+        out = pd.DataFrame(rows, columns=names)
+        out["doc_id"] = out["doc_id"].astype("Int64")
+        return out
 
     shape = (
         "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, "
         "score double, tokens array<long>, times array<int>"
     )
-    texts = docs.select("doc_id", "held_out", whole_text().alias("text"))
-    scored = keep(texts.mapInPandas(score, shape))
-    rare = scored.select("row", F.inline(F.arrays_zip("tokens", "times")))
+    ordered = parts.repartition("block").sortWithinPartitions("block", "kind")
+    scored_rows = keep(ordered.mapInPandas(score, shape))
+    rare = scored_rows.select("row", F.inline(F.arrays_zip("tokens", "times")))
     rare = rare.withColumnRenamed("tokens", "token")
     joined = rare.join(counts.filter(F.col("n") < limit), "token", "left")
     chance = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(float(space)))
@@ -472,7 +604,7 @@ def score_texts(docs: DataFrame, training: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("more_known"),
         F.sum(F.col("times") * chance).alias("more_base"),
     )
-    return scored.drop("tokens", "times").join(sums, "row", "left").select(
+    return scored_rows.drop("tokens", "times").join(sums, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
@@ -486,5 +618,4 @@ def score_texts(docs: DataFrame, training: DataFrame) -> DataFrame:
 def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = F.coalesce(crc_of_id(5) == 1, F.lit(False))
-    docs = documents.select("doc_id", held_out.alias("held_out"), "text")
-    return score_texts(docs, docs.filter("NOT held_out"))
+    return score_texts(documents.select("doc_id", held_out.alias("held_out"), "text"))
