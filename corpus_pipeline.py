@@ -23,6 +23,10 @@ from tidemark.llm.quality_fm import training_rows as quality_rows
 from tidemark.llm.token_ids import tokenizer_path
 from tidemark.session import shared_dir
 
+#: Pieces of text a packing worker remembers (30 MB). It shares an executor with a heap
+#: that the stages before have grown, and has time to spare.
+REMEMBERED = 150_000
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts of no determined language."""
@@ -52,7 +56,7 @@ def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
     bound_batches(spark)
-    return pack_documents(docs, tokenizer_path())
+    return pack_documents(docs, tokenizer_path(), remembered=REMEMBERED, forgetful=True)
 
 
 STAGES = [
