@@ -189,7 +189,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // RANGE_CHARS))
     dealt = _dealt(docs, parts)
-    ordered = dealt.repartition(parts, "part").sortWithinPartitions(
+    ordered = dealt.repartitionById(parts, F.col("part").cast("int")).sortWithinPartitions(
         "part", "extra", F.col("place").desc(), "text"
     )
 
