@@ -64,6 +64,31 @@ def test_text_of_every_page_is_template():
     assert all(t.startswith("one text") for t in main_texts([copies.format(i) for i in range(6)]))
 
 
+@pytest.mark.parametrize("count", [1, 4, 6, 60])
+def test_an_articles_own_heading_stays_however_many_pages(count):
+    page = "<body><div class='x1'>Shop Home</div><article><h1>Title {0}</h1><h2>Summary</h2><p>text {0}</p></article></body>"
+    got = main_texts([page.format(i) for i in range(count)])
+    assert got == [f"Title {i}\n\nSummary\n\ntext {i}" for i in range(count)]
+
+
+def test_unnamed_boxes_are_told_apart_without_word_lists(monkeypatch):
+    """Neither tags nor words name the article: slots and template do."""
+    import tidemark.llm.wrappers as module
+
+    page = (
+        "<body><div class='c1'>Home page {0} of 90</div><div class='c2'><div><span>Our shop</span><div>Open daily</div></div>"
+        "<h1>Title {0}</h1><div class='t'>{1}</div><p>last {0}</p></div><div class='c3'>Posted by user{0}, 3 likes</div></body>"
+    )
+    pages = [page.format(i, f"long text number {i} " * 20) for i in range(8)]
+    expected = [f"Title {i}\n\n{(f'long text number {i} ' * 20).strip()}\n\nlast {i}" for i in range(8)]
+    for name in ("_aside_tags", "_aside_words", "_main_tags", "_main_words"):
+        monkeypatch.setattr(module, name, set())
+    assert module.main_texts(pages) == expected
+    # Without the wrapper the template stays in.
+    monkeypatch.setattr(module.Wrapper, "matches", lambda self, page: False)
+    assert all("Open daily" in text for text in module.main_texts(pages))
+
+
 def test_odd_pages(spark):
     rows = [(1, "http://a.b/x", None, 1), (2, None, "", 1), (None, "http://a.b/y", "plain < text", 1)]
     rows += [(3, "http://a.b/z", "<article><p>cut &amp; of", 1), (3, "http://a.b/z", "<article><p>cut &amp; of", 1)]

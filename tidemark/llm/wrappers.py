@@ -9,18 +9,20 @@ lacks). The result is a regular expression without unions over tags, slots,
 matches, every element of the group's main opening token is a main region, and the
 texts they cover are the article.
 
-Texts are compared by value over the whole group: one that stands on every page,
-whatever surrounds it, is template and no part of an article. That needs
-``LEAST_PAGES`` different pages, and is not done where pages are copies: if such
-texts are more than half of a page's text, no text is template.
+Texts are aligned by value where the wrapper matches: a container (a box, a list, a
+table; no heading and no paragraph) that stands at one place with the same texts on
+all pages of a group is template, its text no slot, and no part of an article. An
+article's own "Summary" heading stays. Agreement counts from ``AGREEING`` different
+pages on, two being alike by chance; where pages are copies, so that such texts are
+more than half of a page's text, nothing is template.
 
 The main region is the element that names itself the article (``article``,
-``main`` or a telling class), else the innermost element that holds most of the
+``main`` or a telling class), else the innermost place that holds most of the slots'
 text outside menus, headers, footers, sidebars, notices, adverts, forms and
 comments. What such an element holds is left out wherever it stands.
 
 A host's pages are dealt into groups of about ``GROUP_BYTES`` by a hash of the
-page id, so a host with any number of pages is many small tasks. A page that its
+row, so a host with any number of pages is many small tasks. A page that its
 group's wrapper does not match is read by the same rules without it. NULL html
 is empty; broken markup is closed at its end; markup cut off in the middle of a
 tag ends there.
@@ -32,6 +34,7 @@ import html
 import re
 from collections import Counter
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import BROADCAST_KEYS, keep, table
 
 GROUP_BYTES = 1 << 20
-LEAST_PAGES = 5
+AGREEING = 3
 
 #: Fixed values of HTML: elements whose content is no text, that are empty, or
 #: that stand within a line; and elements that a following one closes.
@@ -54,6 +57,10 @@ INLINE += ["strike", "strong", "sub", "sup", "time", "tt", "u", "var", "br", "wb
 INLINE += ["meta", "base", "input"]
 SELF_CLOSING = ["p", "li", "dt", "dd", "tr", "td", "th", "thead", "tbody", "tfoot", "option"]
 
+#: Elements that are a text of their own, not a box of texts.
+TEXTUAL = ["p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "tr", "pre"]
+TEXTUAL += ["blockquote", "figcaption", "caption", "summary", "address", "option"]
+
 #: Elements, and words of a class, id or role, that are not part of an article.
 ASIDE_TAGS = ["nav", "footer", "aside", "form", "button", "dialog", "menu", "head", "fieldset"]
 ASIDE_WORDS = ["nav", "navigation", "navbar", "menu", "header", "masthead", "footer", "sidebar"]
@@ -85,17 +92,20 @@ TEXT = "#"
 _inline, _void, _closing = set(INLINE), set(VOID), set(SELF_CLOSING)
 _aside_tags, _aside_words = set(ASIDE_TAGS), set(ASIDE_WORDS)
 _main_tags, _main_words = set(MAIN_TAGS), set(MAIN_WORDS)
+_textual = set(TEXTUAL)
 
 
 @dataclass
 class Page:
     """A page's structural tokens and the text of each (empty for tags).
 
-    A token is TEXT, "<name words" or ">" + the opening token it closes.
+    A token is TEXT, "<name words" or ">" + the opening token it closes. ``names`` has
+    all words of an opening token's class and id (empty for others).
     """
 
     tokens: list[str]
     texts: list[str]
+    names: list[str]
 
 
 def _signature(name: str, attributes: str) -> str:
@@ -113,6 +123,7 @@ def read_page(source: str | None) -> Page:
     """The balanced structural token stream of a page."""
     tokens: list[str] = []
     texts: list[str] = []
+    names: list[str] = []
     stack: list[tuple[str, str]] = []
     pending: list[str] = []
 
@@ -123,10 +134,12 @@ def read_page(source: str | None) -> Page:
             if text:
                 tokens.append(TEXT)
                 texts.append(text)
+                names.append("")
 
     def close() -> None:
         tokens.append(">" + stack.pop()[1][1:])
         texts.append("")
+        names.append("")
 
     for match in _TOKEN.finditer(source or ""):
         silent, slash, name, attributes, text = match.groups()
@@ -157,10 +170,43 @@ def read_page(source: str | None) -> Page:
         stack.append((name, token))
         tokens.append(token)
         texts.append("")
+        names.append(" ".join("".join(n) for n in _NAMES.findall(attributes)) if "=" in attributes else "")
     flush()
     while stack:
         close()
-    return Page(tokens, texts)
+    return Page(tokens, texts, names)
+
+
+@dataclass
+class Element:
+    """An element's tokens ``start`` to ``end`` and its place: names from the root down."""
+
+    place: tuple
+    start: int
+    end: int
+
+
+def elements_of(page: Page) -> list[Element]:
+    """All elements of a page, inner ones first."""
+    out, stack = [], []
+    for at, token in enumerate(page.tokens):
+        if token == TEXT:
+            continue
+        if token[0] == "<":
+            above = stack[-1].place if stack else ()
+            stack.append(Element((*above, (token, page.names[at])), at, at))
+        else:
+            stack[-1].end = at + 1
+            out.append(stack.pop())
+    return out
+
+
+def _is_textual(element: Element) -> bool:
+    return element.place[-1][0][1:].split(" ")[0] in _textual
+
+
+def _texts_in(page: Page, element: Element) -> tuple[str, ...]:
+    return tuple(t for t in page.texts[element.start : element.end] if t)
 
 
 def _is_aside(token: str, in_article: bool = False) -> bool:
@@ -288,16 +334,30 @@ def _expression(nodes, symbols: dict[str, str]) -> str:
     return "".join(parts)
 
 
-def template_texts(pages: list[Page]) -> set[str]:
-    """The texts that stand on every page of a group of different pages."""
-    distinct = {tuple(p.texts): p for p in pages if any(p.texts)}
-    if len(distinct) < LEAST_PAGES:
+def template_parts(pages: list[Page]) -> set[tuple]:
+    """(place, texts) of the containers that all different pages of a group share."""
+    distinct = list({tuple(p.texts): p for p in pages if any(p.texts)}.values())
+    if len(distinct) < AGREEING:
         return set()
-    found = set.intersection(*[set(texts) for texts in distinct]) - {""}
-    for texts in distinct if found else ():
-        if 2 * sum(len(t) for t in texts if t in found) > sum(map(len, texts)):
+    shared: set[tuple] | None = None
+    for page in distinct:
+        own = {(e.place, _texts_in(page, e)) for e in elements_of(page) if not _is_textual(e)}
+        shared = own if shared is None else shared & own
+    shared = {part for part in shared or () if part[1]}
+    for page in distinct if shared else ():
+        constant = sum(len(page.texts[at]) for at in template_places(page, shared))
+        if 2 * constant > sum(map(len, page.texts)):
             return set()
-    return found
+    return shared
+
+
+def template_places(page: Page, parts: set[tuple]) -> set[int]:
+    """Places of the tokens within a page's template."""
+    places: set[int] = set()
+    for element in elements_of(page) if parts else ():
+        if not _is_textual(element) and (element.place, _texts_in(page, element)) in parts:
+            places.update(range(element.start, element.end))
+    return places
 
 
 class Wrapper:
@@ -318,23 +378,51 @@ class Wrapper:
         for page in pages:
             for token in page.tokens:
                 self.symbols.setdefault(token, chr(0xE000 + len(self.symbols)))
+        self.template = template_parts(pages)
         self.main = main_token(pages)
+        self.place = None if self.main else main_place(pages, self.template)
         self.pattern = None
-        if self.nodes and self.main and len(self.symbols) < 6000:
+        if self.nodes and (self.main or self.place) and len(self.symbols) < 6000:
             try:
                 self.pattern = re.compile(_expression(self.nodes, self.symbols))
             except (re.error, RecursionError):
                 self.pattern = None
 
+    def matches(self, page: Page) -> bool:
+        if self.pattern is None:
+            return False
+        return self.pattern.fullmatch("".join(map(self.symbols.__getitem__, page.tokens))) is not None
+
     def regions(self, page: Page) -> list[tuple[int, int]]:
         """The main regions' tokens in a page that the expression matches."""
-        if self.pattern is None:
-            return []
-        match = self.pattern.fullmatch("".join(map(self.symbols.__getitem__, page.tokens)))
-        return [] if match is None else elements(page, self.main)
+        if self.main:
+            return elements(page, self.main)
+        return sorted((e.start, e.end) for e in elements_of(page) if e.place == self.place)
 
 
-def main_token(pages: list[Page]) -> str | None:
+def main_place(pages: list[Page], template: set[tuple]) -> tuple | None:
+    """The innermost place that holds most of what varies between the pages."""
+    holding: Counter = Counter()
+    total = 0
+    for page in pages:
+        constant = template_places(page, template)
+        aside: set[int] = set()
+        found = elements_of(page)
+        for element in found:
+            if _is_aside(element.place[-1][0]):
+                aside.update(range(element.start, element.end))
+        sizes = [0 if at in constant or at in aside else len(t) for at, t in enumerate(page.texts)]
+        sums = [0, *accumulate(sizes)]
+        total += sums[-1]
+        for element in found:
+            if not _is_textual(element):
+                holding[element.place] += sums[element.end] - sums[element.start]
+    # A box in the same place several times over holds a part of the article each.
+    full = [p for p, size in holding.items() if total and size * 10 >= total * 9]
+    return max(full, key=lambda p: (len(p), holding[p], p), default=None)
+
+
+def main_token(pages: list[Page], named_only: bool = True) -> str | None:
     """The opening token of the main region of a group of pages."""
     named: Counter = Counter()
     holding: Counter = Counter()
@@ -363,13 +451,15 @@ def main_token(pages: list[Page]) -> str | None:
     if named:
         # The largest; of nested ones with the same text the outermost.
         return max(named, key=lambda t: (named[t], -depth_of[t], t))
+    if named_only:
+        return None
     full = [t for t, size in holding.items() if size * 10 >= total * 9 and t not in repeated]
     return max(full, key=lambda t: (depth_of[t], t), default=None)
 
 
 def regions_without_wrapper(page: Page) -> list[tuple[int, int]]:
     """The main regions by the page's own names, else the whole page."""
-    return elements(page, main_token([page])) or [(0, len(page.tokens))]
+    return elements(page, main_token([page], named_only=False)) or [(0, len(page.tokens))]
 
 
 def elements(page: Page, main: str | None) -> list[tuple[int, int]]:
@@ -388,14 +478,15 @@ def elements(page: Page, main: str | None) -> list[tuple[int, int]]:
     return spans
 
 
-def blocks(page: Page, span: tuple[int, int], template: set[str] = frozenset()) -> list[str]:
+def blocks(page: Page, span: tuple[int, int], template: set[int] = frozenset()) -> list[str]:
     """The texts of a region, without ``template`` and those of elements that stand aside."""
     out, aside = [], 0
     in_article = span[0] < len(page.tokens) and _is_main(page.tokens[span[0]])
-    for token, text in zip(page.tokens[span[0] : span[1]], page.texts[span[0] : span[1]], strict=True):
+    for at in range(*span):
+        token = page.tokens[at]
         if token == TEXT:
-            if not aside and text not in template:
-                out.append(text)
+            if not aside and at not in template:
+                out.append(page.texts[at])
         elif _is_aside(token, in_article):
             aside += 1 if token[0] == "<" else -1
     return out
@@ -404,10 +495,12 @@ def blocks(page: Page, span: tuple[int, int], template: set[str] = frozenset())
 def main_texts(sources: list[str | None]) -> list[str]:
     """The main text of each page of one group."""
     pages = [read_page(s) for s in sources]
-    wrapper, template = Wrapper(pages), template_texts(pages)
+    wrapper = Wrapper(pages)
     out = []
     for page in pages:
-        spans = wrapper.regions(page) or regions_without_wrapper(page)
+        matched = wrapper.matches(page)
+        template = template_places(page, wrapper.template) if matched else set()
+        spans = (wrapper.regions(page) if matched else []) or regions_without_wrapper(page)
         out.append("\n\n".join(b for s in spans for b in blocks(page, s, template)))
     return out
 
@@ -420,7 +513,8 @@ def extract_main_text(pages: DataFrame, group_bytes: int = GROUP_BYTES) -> DataF
     sizes = keep(sizes.select("host", (F.ceil(F.col("bytes") / group_bytes) + 1).alias("groups")))
     if sizes.count() <= BROADCAST_KEYS:
         sizes = F.broadcast(sizes)
-    place = F.xxhash64("page_id", "url")
+    # Rows of one id and address are dealt apart too.
+    place = F.xxhash64("page_id", "url", F.monotonically_increasing_id())
     groups = F.greatest(F.coalesce("groups", F.lit(1)), F.lit(1))
     dealt = rows.join(sizes, "host", "left").withColumn("part", F.pmod(place, groups))
 
