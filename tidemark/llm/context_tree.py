@@ -45,10 +45,10 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, crc_of_id, keep, table, uncollected, whole_text
+from tidemark.llm.common import batches, crc_of_id, keep, release_memory, table, uncollected, whole_text
 
-#: Bytes of context; with the byte itself a gram fills 64 bits.
-DEPTH = 7
+#: Bytes of context; with the byte itself a gram has to fit 64 bits.
+DEPTH = 6
 #: Depths from here on are worked out in buckets of their contexts, those above by the driver.
 SPLIT = 3
 #: Characters of a block of texts, and of all texts for each bucket of grams.
@@ -110,11 +110,24 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return shift + (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series
 
 
-def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """log of the Krichevsky-Trofimov probability of a zeros and b ones."""
+def _log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1) - math.log(math.pi)
 
 
+#: Nearly all nodes are seen a few times; their values are looked up.
+FEW = 64
+_FEW = _log_kt(*np.indices((FEW, FEW)).astype(np.float64))
+
+
+def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """log of the Krichevsky-Trofimov probability of a zeros and b ones (whole numbers)."""
+    few = (a < FEW) & (b < FEW)
+    out = np.empty(len(few))
+    out[few] = _FEW[a[few].astype(np.int64), b[few].astype(np.int64)]
+    out[~few] = _log_kt(a[~few], b[~few])
+    return out
+
+
 def contexts(gram: np.ndarray, depth: int) -> np.ndarray:
     """The last ``depth`` bytes before each byte, with room for eight bits below."""
     if depth == 0:
@@ -275,15 +288,24 @@ def scores_of(trained: np.ndarray, count: np.ndarray, asked: np.ndarray) -> np.n
     return gram_scores(top_levels(*sums), asked, deep_chances(levels, asked))
 
 
-def squeezed(gram: np.ndarray) -> bytes:
-    """Ordered grams as the bytes of their differences, highest bytes together."""
-    steps = np.diff(gram, prepend=np.uint64(0)).astype("<u8")
-    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+def planes(values: np.ndarray) -> bytes:
+    """Numbers with their lowest bytes together, then the next: most are small."""
+    octets = values.astype("<u8").view(np.uint8).reshape(-1, 8)
+    return octets.T.tobytes()
 
 
-def unsqueezed(data: bytes) -> np.ndarray:
+def from_planes(data: bytes) -> np.ndarray:
     octets = np.frombuffer(data, np.uint8).reshape(8, -1).T
-    return np.cumsum(np.ascontiguousarray(octets).view("<u8").ravel().astype(np.uint64), dtype=np.uint64)
+    return np.ascontiguousarray(octets).view("<u8").ravel().astype(np.uint64)
+
+
+def squeezed(ordered: np.ndarray) -> bytes:
+    """Ordered numbers by their differences."""
+    return planes(np.diff(ordered.astype(np.uint64), prepend=np.uint64(0)))
+
+
+def unsqueezed(data: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(data), dtype=np.uint64)
 
 
 class GramTable:
@@ -409,8 +431,9 @@ def asked_grams(docs: DataFrame, buckets: int) -> DataFrame:
             numbers, starts = np.unique(bucket[order], return_index=True)
             rows = []
             for number, own in zip(numbers, np.split(order, starts[1:]), strict=True):
-                rows.append((number, block, squeezed(gram[own]), count[own].astype("<u4").tobytes()))
+                rows.append((number, block, squeezed(gram[own]), planes(count[own])))
             yield pd.DataFrame(rows, columns=["bucket", "block", "grams", "counts"])
+        release_memory()
 
     rows = docs.select(F.spark_partition_id().alias("part"), "held_out", "text")
     return rows.mapInPandas(run, "bucket int, block long, grams binary, counts binary")
@@ -425,16 +448,17 @@ DEEP = (
 def _bucket(frame: pd.DataFrame) -> pd.DataFrame:
     """One bucket: the chances of its grams, who asked for which, and the depth above."""
     asked = [unsqueezed(g) for g in frame["grams"]]
-    counts = np.concatenate([np.frombuffer(c, "<u4") for c in frame["counts"]])
+    counts = np.concatenate([from_planes(c) for c in frame["counts"]]).astype(np.int64)
     gram, where = np.unique(np.concatenate(asked), return_inverse=True)
     count = np.bincount(where, counts, minlength=len(gram))
     known = count > 0
     levels, sums = subtrees(gram[known], count[known])
     deep = deep_chances(levels, gram).astype("<f4")
     ends = np.cumsum([len(g) for g in asked])
-    places = [p.astype("<u4").tobytes() for p in np.split(where, ends[:-1])]
+    places = [squeezed(p) for p in np.split(where, ends[:-1])]
     top = [sums[0].astype("<u8").tobytes(), *(x.astype("<f8").tobytes() for x in sums[1:])]
     row = [squeezed(gram), deep.tobytes(), frame["block"].to_numpy(), places, *top]
+    release_memory()
     return pd.DataFrame([row], columns=[c.split(" ")[0] for c in DEEP.split(", ")])
 
 
@@ -471,7 +495,7 @@ def _answers(buckets: DataFrame, top: list[Level]) -> DataFrame:
                 gram = unsqueezed(grams_)
                 chances = np.frombuffer(deep, "<f4").reshape(-1, 8).astype(np.float64)
                 score = gram_scores(sent.value, gram, chances).astype("<f4")
-                own = [np.frombuffer(p, "<u4") for p in places]
+                own = [unsqueezed(p).astype(np.int64) for p in places]
                 yield pd.DataFrame(
                     {
                         "block": blocks,
@@ -479,6 +503,7 @@ def _answers(buckets: DataFrame, top: list[Level]) -> DataFrame:
                         "scores": [score[p].tobytes() for p in own],
                     }
                 )
+        release_memory()
 
     found = buckets.select("grams", "deep", "blocks", "places").mapInPandas(run, "block long, grams binary, scores binary")
     return found.withColumn("kind", F.lit(0))
@@ -561,10 +586,13 @@ def score_texts(docs: DataFrame, training: DataFrame | None = None) -> DataFrame
                     answers = []
                 ids, held, words = _unpacked(row)
                 with uncollected():
-                    yield scored(ids, held, words, known_grams.texts(words), number, remembered, frequent)
+                    out = scored(ids, held, words, known_grams.texts(words), number, remembered, frequent)
+                yield out
                 number += len(words)
                 if len(remembered) > GATHERED // 4:
                     remembered.clear()
+        known_grams = None
+        release_memory()
 
     def scored(ids, held, words, scores, number, remembered, frequent) -> pd.DataFrame:
         rows = []
