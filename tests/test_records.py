@@ -17,7 +17,7 @@ from tidemark.operators.sieve import matching, sieve, sifted
 from tidemark.operators.summaries import SUMMARY, merge_summaries, run_summary, summarised_count
 from tidemark.plans import tables
 from tidemark.plans.catalog import QUERIES
-from tidemark.plans.product import latest_located, product_result_located
+from tidemark.plans.product import latest_accepted, latest_located, product_result, product_result_located
 from tidemark.plans.tables import EVENT_SPEC
 from tidemark.plans.whole_queries import _placed
 
@@ -82,6 +82,14 @@ def test_repeated_arrivals_give_one_row_a_key(spark, tmp_path):
         assert all(r["latest"]["pid"] == r["pid"] for r in result)
 
 
+def test_shared_arrivals_multiply_no_result(spark):
+    rows = [(1, 100, 1000, 1, 5, 5, 5), (1, 100, 1001, 2, 5, 5, 5), (1, 100, 1002, 3, 5, 5, 5), (2, 7, 1000, 1, 5, 5, 5)]
+    df = spark.createDataFrame(rows, "pid long, arrival long, ts long, batch long, sold long, price long, reviews long")
+    for on_reject in ("null", "keep_last"):
+        assert sorted(r["pid"] for r in product_result(df, SPEC, on_reject=on_reject).collect()) == [1, 2]
+    assert sorted(r["pid"] for r in latest_accepted(df, SPEC).collect()) == [1, 2]
+
+
 def test_order_is_made_unique_or_refused(spark):
     rows = [(0, 5, 100, 5), (0, 5, 200, 3), (0, 5, 300, 4), (1, 5, 1, 1)]
     df = spark.createDataFrame(rows, "pid long, arrival long, ts long, batch long")

@@ -112,9 +112,10 @@ def final_count(
 ) -> DataFrame:
     """The open run of every key: its date and ``run_count``.
 
-    Only partial aggregates: rows are reduced to one per (key, date) before
-    anything is brought together per key, so hot keys cost no more than others.
-    The run is what arrived on the last date after the last other date.
+    Rows are reduced to one per (key, date) to find the last date and what arrived
+    before it; the run is what arrived on the last date after that. For this the
+    narrow rows of each key's last date are met once more, by (key, date), so a hot
+    key's last day is one task: ``summaries.summarised_count`` splits it.
     """
     per_date = df.groupBy(key, date).agg(F.max(order).alias("_seen"))
     by_key = Window.partitionBy(key).orderBy(F.col("_seen").desc())

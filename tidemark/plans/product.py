@@ -10,6 +10,7 @@ from tidemark.functions.numeric import rounded
 from tidemark.operators.admission import accepted_only, fresh_rows
 from tidemark.operators.chunks import BROADCAST_ROWS, ROWS_PER_CHUNK, join_on, same
 from tidemark.operators.daily import daily_endpoints, fill_daily, in_units
+from tidemark.operators.latest import latest_record
 from tidemark.operators.locate import PLACE, fetch
 from tidemark.operators.metrics import trailing_metrics
 from tidemark.schema import METRIC_NAMES, OBSERVATION_SCHEMA, SeriesSpec
@@ -74,8 +75,9 @@ def product_result(
     state of the last accepted event.
 
     Only narrow columns go through admission. A key's last event was accepted
-    when no later arrival exists, and its record is fetched by (key, arrival),
-    a join whose key is unique and therefore not skewed.
+    when no later arrival exists, and its record is fetched by (key, arrival).
+    Should several rows share an arrival, one of them is shown (which one, only
+    ``product_result_located`` fixes).
     """
     if on_reject not in ("null", "keep_last"):
         raise ValueError("on_reject must be 'null' or 'keep_last'")
@@ -103,9 +105,8 @@ def product_result(
     found = same(F.col(spec.key), F.col("_key")) & (
         F.col(spec.order) == F.col("_order")
     )
-    return wanted.join(records, found, "left").select(
-        spec.key, "valid", "metrics", "latest"
-    )
+    shown = wanted.join(records, found, "left").groupBy(spec.key)
+    return shown.agg(*[F.first(n).alias(n) for n in ("valid", "metrics", "latest")])
 
 
 def latest_accepted(
@@ -118,7 +119,8 @@ def latest_accepted(
     """The last accepted row of every key, whole; admission sees narrow rows."""
     accepted = _narrow_accepted(events, spec, as_of, mode, rows_per_chunk, ())
     last = accepted.groupBy(spec.key).agg(F.max(spec.order).alias(spec.order))
-    return join_on(events, last, [spec.key, spec.order], "left_semi")
+    # One row a key, should several share the arrival.
+    return latest_record(join_on(events, last, [spec.key, spec.order], "left_semi"), spec)
 
 
 def latest_located(
