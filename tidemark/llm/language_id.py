@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, crc_of_id, table, whole_text, worker_memory
+from tidemark.llm.common import batches, crc_of_id, forget, table, whole_text, worker_memory
 
 SIZES = (3, 4)
 HASHES = 3
@@ -181,8 +181,11 @@ def learn_languages(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lang
     return LanguageModel(languages, filters)
 
 
-def predictor(spark: SparkSession, model: LanguageModel):
-    """A column function: text -> struct(lang_pred, score)."""
+def predictor(spark: SparkSession, model: LanguageModel, forgetful: bool = False):
+    """A column function: text -> struct(lang_pred, score).
+
+    ``forgetful`` workers give back what they hold after each task.
+    """
     sent = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -195,6 +198,8 @@ def predictor(spark: SparkSession, model: LanguageModel):
                 langs += found
                 scores.append(score)
             yield pd.DataFrame({"lang_pred": langs, "score": np.concatenate([np.zeros(0), *scores])})
+        if forgetful:
+            forget()
 
     return predict
 
@@ -209,13 +214,13 @@ def training_rows(documents: DataFrame) -> DataFrame:
     return documents.filter(F.coalesce(crc_of_id(4) != 2, F.lit(False)))
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
+def keep_identified(docs: DataFrame, model: LanguageModel, forgetful: bool = False) -> DataFrame:
     """``docs`` without texts of no determined language.
 
     A score says how far a language leads, not whether a text is clean: it is low
     for any short text and falls with the number of languages.
     """
-    predict = predictor(docs.sparkSession, model)
+    predict = predictor(docs.sparkSession, model, forgetful)
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
     marked = rows.withColumn("_language", predict(F.col("_row.text")))
     return marked.filter(F.col("_language.lang_pred") != UNDETERMINED).select("_row.*")

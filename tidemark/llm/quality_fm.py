@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_of_id, table, worker_memory
+from tidemark.llm.common import crc_of_id, forget, table, worker_memory
 
 WORD_SLOTS = 1 << 15
 RANK = 8
@@ -256,8 +256,11 @@ def training_rows(
     return documents.select("doc_id", "text", "n_chars").join(F.broadcast(known), "doc_id")
 
 
-def scorer(spark: SparkSession, model: FactorisationMachine):
-    """A column function: (text, n_chars) -> score."""
+def scorer(spark: SparkSession, model: FactorisationMachine, forgetful: bool = False):
+    """A column function: (text, n_chars) -> score.
+
+    ``forgetful`` workers give back what they hold after each task.
+    """
     sent = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -267,13 +270,17 @@ def scorer(spark: SparkSession, model: FactorisationMachine):
             yield pd.Series(
                 [fm.score(*features(t, c)) for t, c in zip(texts, lengths, strict=True)], dtype="float64"
             )
+        if forgetful:
+            forget()
 
     return score
 
 
-def keep_good(docs: DataFrame, model: FactorisationMachine, threshold: float = THRESHOLD) -> DataFrame:
+def keep_good(
+    docs: DataFrame, model: FactorisationMachine, threshold: float = THRESHOLD, forgetful: bool = False
+) -> DataFrame:
     """``docs`` without texts scored below the threshold."""
-    score = scorer(docs.sparkSession, model)
+    score = scorer(docs.sparkSession, model, forgetful)
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
     marked = rows.withColumn("_score", score(F.col("_row.text"), F.col("_row.n_chars").cast("double")))
     return marked.filter(F.col("_score") >= threshold).select("_row.*")
