@@ -23,6 +23,8 @@ from tidemark.llm.quality_fm import training_rows as quality_rows
 from tidemark.llm.token_ids import tokenizer_path
 from tidemark.session import shared_dir
 
+#: Texts that are sent to a worker at once.
+BATCH_ROWS = 400
 #: Pieces of text a packing worker remembers (30 MB). It shares an executor with a heap
 #: that the stages before have grown, and has time to spare.
 REMEMBERED = 150_000
@@ -30,16 +32,16 @@ REMEMBERED = 150_000
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts of no determined language."""
-    bound_batches(spark)
+    bound_batches(spark, BATCH_ROWS)
     model = learn_languages(language_rows(table(spark, sf_dir, "documents")))
-    return keep_identified(docs, model)
+    return keep_identified(docs, model, forgetful=True)
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts scored below the threshold."""
-    bound_batches(spark)
+    bound_batches(spark, BATCH_ROWS)
     known = quality_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return keep_good(docs, learn_quality(known))
+    return keep_good(docs, learn_quality(known), forgetful=True)
 
 
 def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,13 +51,13 @@ def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the least id of each component of near copies."""
-    bound_batches(spark)
+    bound_batches(spark, BATCH_ROWS)
     return drop_near_copies(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
-    bound_batches(spark)
+    bound_batches(spark, BATCH_ROWS)
     return pack_documents(docs, tokenizer_path(), remembered=REMEMBERED, forgetful=True)
 
 
