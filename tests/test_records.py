@@ -56,9 +56,8 @@ def test_wide_rows_are_sifted_before_they_are_shuffled(spark):
         got = {r["pid"]: r["event_id"] for r in latest.collect()}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    # The wide side of the last join: scan, place, bitmap lookup, filter, and only then an exchange.
-    wide = plan[: plan.rindex("FileScan parquet")]
-    wide = wide[wide.rindex("Exchange hashpartitioning") :]
+    # The wide side of the join: scan, place, bitmap lookup, filter, and only then an exchange.
+    wide = plan[plan.index("Exchange hashpartitioning") : plan.index("FileScan parquet")]
     assert "BroadcastHashJoin" in wide and "Filter" in wide and "_bits" in wide
     expected = {r["pid"]: r["event_id"] for r in QUERIES["latest_record_whole"](spark, SF_DIR).collect()}
     assert got == expected
