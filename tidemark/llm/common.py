@@ -93,6 +93,21 @@ def bound_batches(spark: SparkSession, rows: int = 1_000) -> None:
         spark.conf.set(name, rows)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs started inside send workers at most ``rows`` rows at a time.
+
+    For rows of some MB each, of which the usual batch would be a whole task's.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def whole_text(column: str | Column = "text") -> Column:
     """The text, a NULL counting as empty."""
     column = F.col(column) if isinstance(column, str) else column

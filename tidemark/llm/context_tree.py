@@ -45,7 +45,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, crc_of_id, keep, release_memory, table, uncollected, whole_text
+from tidemark.llm.common import batch_rows, batches, crc_of_id, keep, release_memory, table, uncollected, whole_text
 
 #: Bytes of context; with the byte itself a gram has to fit 64 bits.
 DEPTH = 6
@@ -56,6 +56,8 @@ BLOCK = 32 << 20
 BUCKET = 8 << 20
 FREQUENT = 5e-6
 END = b"\n"
+#: Rows of blobs (of some MB) that a worker is sent at once.
+BLOBS = 8
 #: Bytes handled at once, and distinct tokens a task gathers before it passes them on.
 WINDOW = 1 << 20
 GATHERED = 1_000_000
@@ -564,7 +566,7 @@ def score_texts(docs: DataFrame, training: DataFrame | None = None) -> DataFrame
         told = asked_grams(learned.withColumn("held_out", F.lit(False)), buckets)
         asked = asked.unionByName(told.withColumn("block", -1 - F.col("block")))
     worked = keep(asked.groupBy("bucket").applyInPandas(_bucket, DEEP))
-    parts = _answers(worked, _top(worked)).unionByName(_texts(docs), allowMissingColumns=True)
+    parts = _answers(worked, _top(worked)).unionByName(keep(_texts(docs)), allowMissingColumns=True)
     parts = parts.filter("block >= 0").select(*[c.split(" ")[0] for c in PARTS.split(", ")])
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -623,7 +625,8 @@ def score_texts(docs: DataFrame, training: DataFrame | None = None) -> DataFrame
         "score double, tokens array<long>, times array<int>"
     )
     ordered = parts.repartition("block").sortWithinPartitions("block", "kind")
-    scored_rows = keep(ordered.mapInPandas(score, shape))
+    with batch_rows(spark, BLOBS):
+        scored_rows = keep(ordered.mapInPandas(score, shape))
     rare = scored_rows.select("row", F.inline(F.arrays_zip("tokens", "times")))
     rare = rare.withColumnRenamed("tokens", "token")
     joined = rare.join(counts.filter(F.col("n") < limit), "token", "left")
