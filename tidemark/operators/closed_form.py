@@ -45,8 +45,15 @@ class _Segment:
         return F.col(f"last_{name}") + nth * self.step(name)
 
     def step(self, name: str) -> Column:
-        # A key's newest day has no gap and so no step.
-        return F.coalesce(fraction_step(name, self.spec.scale), F.lit(0).cast("bigint"))
+        return F.col(f"_step_{name}")
+
+    def steps(self) -> dict[str, Column]:
+        """Worked out once for all frames; a key's newest day has no gap and so no step."""
+        none = F.lit(0).cast("bigint")
+        return {
+            f"_step_{n}": F.coalesce(fraction_step(n, self.spec.scale), none)
+            for n in self.spec.fractional
+        }
 
     def total(self, name: str, days: int) -> Column:
         """The sum of a measure over the part of the segment that a frame holds."""
@@ -95,7 +102,8 @@ def closed_form_metrics(endpoints: DataFrame, spec: SeriesSpec) -> DataFrame:
     level, price, counter = spec.level, spec.price, spec.counter
     oldest = F.col("_last_day") - F.lit(spec.days - 1)
     reaching = F.col("_is_first") | (part.day + part.gap - 1 >= oldest)
-    parts = linked_days(endpoints, spec).where(reaching).select(
+    segments = linked_days(endpoints, spec).where(reaching).withColumns(part.steps())
+    parts = segments.select(
         spec.key,
         "last_order",
         *[part.total(level, n).alias(f"_level_{n}") for n in FRAMES],
