@@ -56,8 +56,10 @@ BLOCK = 32 << 20
 BUCKET = 8 << 20
 FREQUENT = 5e-6
 END = b"\n"
-#: Rows of blobs (of some MB) that a worker is sent at once.
-BLOBS = 8
+#: Windows' grams that are gathered before they are merged.
+MERGED = 5
+#: Texts, and rows of blobs (of some MB) that a worker is sent at once.
+TEXTS_AT_ONCE, BLOBS = 1_000, 8
 #: Bytes handled at once, and distinct tokens a task gathers before it passes them on.
 WINDOW = 1 << 20
 GATHERED = 1_000_000
@@ -370,6 +372,8 @@ def token_counts(docs: DataFrame) -> DataFrame:
                 found = Counter()
         if found:
             yield _counted(found)
+        found = Counter()
+        release_memory()
 
     counted = docs.select(whole_text().alias("text")).mapInPandas(count, "token long, n long")
     return counted.groupBy("token").agg(F.sum("n").alias("n"))
@@ -412,7 +416,7 @@ def block_grams(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarra
                 found = grams(data[start : start + WINDOW + DEPTH])
                 gram, count = np.unique(found[own[start : start + WINDOW]], return_counts=True)
                 parts.append((gram, count * times))
-        if len(parts) >= 12:
+        if len(parts) >= MERGED:
             parts = [_merged(parts)]
     if parts:
         yield current, *_merged(parts)
@@ -547,7 +551,8 @@ def score_texts(docs: DataFrame, training: DataFrame | None = None) -> DataFrame
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "held_out", whole_text().alias("text"))
     learned = docs.filter("NOT held_out") if training is None else training.select(whole_text().alias("text"))
-    counts = keep(token_counts(learned))
+    with batch_rows(spark, TEXTS_AT_ONCE):
+        counts = keep(token_counts(learned))
     facts = counts.agg(F.sum("n"), F.count("*")).first()
     total, distinct = facts[0] or 0, facts[1]
     space = total + 0.5 * (distinct + 1)
@@ -565,8 +570,10 @@ def score_texts(docs: DataFrame, training: DataFrame | None = None) -> DataFrame
         asked = asked_grams(docs.withColumn("held_out", F.lit(True)), buckets)
         told = asked_grams(learned.withColumn("held_out", F.lit(False)), buckets)
         asked = asked.unionByName(told.withColumn("block", -1 - F.col("block")))
-    worked = keep(asked.groupBy("bucket").applyInPandas(_bucket, DEEP))
-    parts = _answers(worked, _top(worked)).unionByName(keep(_texts(docs)), allowMissingColumns=True)
+    with batch_rows(spark, TEXTS_AT_ONCE):
+        worked = keep(asked.groupBy("bucket").applyInPandas(_bucket, DEEP))
+        texts = keep(_texts(docs))
+    parts = _answers(worked, _top(worked)).unionByName(texts, allowMissingColumns=True)
     parts = parts.filter("block >= 0").select(*[c.split(" ")[0] for c in PARTS.split(", ")])
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
