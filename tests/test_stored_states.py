@@ -1,11 +1,14 @@
 """States in files and in streams: increments, retries, bootstraps, ordering."""
 
+import heapq
 import random
 import time
 
 import model
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.incremental import (
     advance_series,
@@ -20,6 +23,7 @@ from tidemark.schema import METRIC_NAMES, SeriesSpec
 from tidemark.sources.results import write_updates
 from tidemark.streaming import fanout
 from tidemark.streaming.fanout import RunSpec, both_results, newest_results
+from tidemark.streaming.processors import OrderedRunProcessor
 from tidemark.streaming.updates import newest_updates, ordered_run_updates, product_states, product_updates
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -138,3 +142,84 @@ def test_columnar_states_equal_row_states(spark, on_reject):
     updates = product_updates(rows, EVENT_SPEC, F.col("arrival_time"), ["event_id"], on_reject, True)
     expected = {r["pid"]: (r["arrival"], r["valid"]) for r in newest_updates(updates, "pid", "arrival").collect()}
     assert {r["pid"]: (r["arrival"], r["valid"]) for r in states} == expected
+
+
+def test_no_more_runs_are_merged_at_once_than_allowed(monkeypatch):
+    """375 runs of a key, with orders that repeat: a block of each is never held."""
+    seen, merge = [], heapq.merge
+    monkeypatch.setattr(heapq, "merge", lambda *runs, key: seen.append(len(runs)) or merge(*runs, key=key))
+    rng = random.Random(8)
+    rows = [{"order": i // 2, "date": f"d{i // 700 % 3}" if i % 900 else None, "count": 1} for i in range(6000)]
+    rng.shuffle(rows)
+    ordered = sorted(rows, key=lambda r: r["order"])
+    for most in (256, 7):
+        seen.clear()
+        processor = OrderedRunProcessor(T.LongType(), 16, 4, False)
+        processor.merged_runs = most
+        processor.init(FakeStore())
+        frames = (pd.DataFrame(rows[i : i + 1000]) for i in range(0, 6000, 1000))
+        list(processor.handleInputRows(("hot",), frames, FakeStore()))
+        frames = list(processor.handleExpiredTimer(("hot",), None, None))
+        assert max(seen) <= most
+        # No frame has more updates than rows that are held.
+        assert max(map(len, frames)) <= 16
+        got = pd.concat(frames)
+        assert got["order"].tolist() == [r["order"] for r in ordered]
+        assert got["run_count"].tolist() == model.runs([r["date"] for r in ordered])
+        assert not processor.blocks.held and not processor.runs.held
+
+
+class FakeStore:
+    """A handle, its map, list and value states and the clock, held in memory."""
+
+    def __init__(self):
+        self.held, self.value = {}, None
+
+    def getMapState(self, *_):
+        return FakeStore()
+
+    getListState = getValueState = getMapState
+
+    def getValue(self, key):
+        return self.held[key]
+
+    def updateValue(self, key, value):
+        self.held[key] = value
+
+    def removeKey(self, key):
+        del self.held[key]
+
+    def appendValue(self, value):
+        self.held[len(self.held)] = value
+
+    def get(self):
+        return list(self.held.values())
+
+    def clear(self):
+        self.held.clear()
+
+    def exists(self):
+        return self.value is not None
+
+    def update(self, value):
+        self.value = value
+
+    def getCurrentProcessingTimeInMs(self):
+        return 0
+
+    def registerTimer(self, _):
+        pass
+
+
+def test_ordered_updates_of_null_keys_are_one_key(spark, tmp_path):
+    rows = [(key, i, f"d{i // 40}", 1) for i, key in enumerate([None, 7, 2**60 + 1] * 100)]
+    shape = "shop long, arrival long, date string, n int"
+    spark.createDataFrame(rows, shape).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(shape).parquet(str(tmp_path / "in"))
+    updates = ordered_run_updates(stream, "shop", "date", "arrival", "n", held_rows=20, block_rows=8)
+    got = {(r["shop"], r["arrival"]): r["run_count"] for r in drained(spark, updates, str(tmp_path)).collect()}
+    expected = {}
+    for key in (None, 7, 2**60 + 1):
+        own = [r for r in rows if r[0] == key]
+        expected |= dict(zip([(key, r[1]) for r in own], model.runs([r[2] for r in own]), strict=True))
+    assert got == expected

@@ -262,20 +262,31 @@ class OrderedRunProcessor(StatefulProcessor):
 
     Rows are put in order by an external merge sort in the state store: every
     ``held_rows`` of them are sorted and written as a run of blocks, and a timer of the
-    same micro-batch merges the runs, a block of each at a time, and counts. Memory
-    holds ``held_rows`` rows, or one block of each run.
+    same micro-batch merges the runs, a block of each at a time, and counts. Of more
+    than ``merged_runs`` runs, so many at a time are first merged into longer ones.
+    Memory holds one frame of rows and ``held_rows`` of them, or one block of each of
+    ``merged_runs`` runs. Rows come and updates go as frames: of rows, Spark would hold
+    all updates of a partition before it writes the first.
     """
 
-    def __init__(self, order_type: T.DataType, held_rows: int, block_rows: int, coalesce: bool) -> None:
+    def __init__(
+        self,
+        order_type: T.DataType,
+        held_rows: int,
+        block_rows: int,
+        coalesce: bool,
+        merged_runs: int = 256,
+    ) -> None:
         self.held_rows, self.block_rows, self.coalesce = held_rows, block_rows, coalesce
-        row = T.StructType(
+        # Fewer than two would never leave one run.
+        self.merged_runs = max(2, merged_runs)
+        self.block_schema = T.StructType(
             [
-                T.StructField("order", order_type),
-                T.StructField("date", T.StringType()),
-                T.StructField("count", T.LongType()),
+                T.StructField("order", T.ArrayType(order_type)),
+                T.StructField("date", T.ArrayType(T.StringType())),
+                T.StructField("count", _LONGS),
             ]
         )
-        self.block_schema = T.StructType([T.StructField("rows", T.ArrayType(row))])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -283,13 +294,18 @@ class OrderedRunProcessor(StatefulProcessor):
         self.blocks = handle.getMapState("blocks", _BLOCK, self.block_schema)
         self.runs = handle.getListState("runs", T.StructType([T.StructField("blocks", T.IntegerType())]))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues):
         held, number = [], sum(1 for _ in self.runs.get())
-        for row in rows:
-            held.append((row["order"], row["date"], row["count"]))
-            if len(held) >= self.held_rows:
-                self.spill(held, number)
-                held, number = [], number + 1
+        for frame in rows:
+            if frame["order"].hasnans or frame["count"].hasnans:
+                raise ValueError("a row has a NULL order or count")
+            dates = [None if d != d else d for d in frame["date"].tolist()]
+            held.extend(zip(frame["order"].tolist(), dates, frame["count"].tolist()))
+            full = len(held) - len(held) % self.held_rows
+            for start in range(0, full, self.held_rows):
+                self.spill(held[start : start + self.held_rows], number)
+                number += 1
+            del held[:full]
         if held:
             self.spill(held, number)
         # Due before this micro-batch began, so it fires at its end.
@@ -298,35 +314,63 @@ class OrderedRunProcessor(StatefulProcessor):
 
     def spill(self, held: list[tuple], number: int) -> None:
         held.sort(key=lambda r: r[0])
-        starts = range(0, len(held), self.block_rows)
-        for block, start in enumerate(starts):
-            self.blocks.updateValue((number, block), (held[start : start + self.block_rows],))
-        self.runs.appendValue((len(starts),))
+        self.runs.appendValue((self.write(iter(held), number),))
+
+    def write(self, rows: Iterator[tuple], number: int) -> int:
+        """Writes sorted rows as the blocks of a run; returns how many there are."""
+        import itertools
+
+        blocks = 0
+        while block := list(itertools.islice(rows, self.block_rows)):
+            self.blocks.updateValue((number, blocks), tuple(map(list, zip(*block))))
+            blocks += 1
+        return blocks
 
     def run(self, number: int, blocks: int) -> Iterator[tuple]:
         for block in range(blocks):
-            (rows,) = self.blocks.getValue((number, block))
+            columns = self.blocks.getValue((number, block))
             self.blocks.removeKey((number, block))
-            yield from rows
+            yield from zip(*columns)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def merged(self, runs: list[tuple[int, int]]) -> Iterator[tuple]:
         import heapq
 
-        sizes = [blocks for (blocks,) in self.runs.get()]
+        return heapq.merge(*(self.run(*r) for r in runs), key=lambda r: r[0])
+
+    def fewer(self, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """The same rows in runs that are each merged from ``merged_runs`` neighbours."""
+        longer, number = [], runs[-1][0]
+        for start in range(0, len(runs), self.merged_runs):
+            number += 1
+            rows = self.merged(runs[start : start + self.merged_runs])
+            longer.append((number, self.write(rows, number)))
+        return longer
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        runs = [(number, blocks) for number, (blocks,) in enumerate(self.runs.get())]
         self.runs.clear()
+        while len(runs) > self.merged_runs:
+            runs = self.fewer(runs)
         date, total = self.state.get() if self.state.exists() else (None, 0)
-        newest = None
-        merged = heapq.merge(*(self.run(n, b) for n, b in enumerate(sizes)), key=lambda r: r[0])
-        for order, day, count in merged:
+        updates = []
+        for order, day, count in self.merged(runs):
             total = count + (total if day == date else 0)
             date = day
-            newest = Row(key=key[0], order=order, date=date, run_count=total)
-            if not self.coalesce:
-                yield newest
-        if self.coalesce and newest is not None:
-            yield newest
+            if self.coalesce:
+                updates.clear()
+            updates.append((key[0], order, date, total))
+            if len(updates) >= self.held_rows and not self.coalesce:
+                yield self.frame(updates)
+                updates.clear()
+        if updates:
+            yield self.frame(updates)
         self.state.update((date, total))
 
+    def frame(self, updates: list[tuple]):
+        import pandas as pd
+
+        return pd.DataFrame(updates, columns=["key", "order", "date", "run_count"])
+
     def close(self) -> None:
         pass
 

@@ -143,14 +143,20 @@ def ordered_run_updates(
     kind = rows.schema["order"].dataType
     processor = OrderedRunProcessor(kind, held_rows, block_rows, coalesce_updates)
     use_rocksdb_state(rows.sparkSession)
-    states = rows.groupBy("key").transformWithState(
+    # As a text a key is never NULL, which frames would make a number that is not equal
+    # to itself.
+    named = T.StructType([rows.schema["key"]])
+    states = rows.withColumn("key", to_document(F.struct("key"))).groupBy("key").transformWithStateInPandas(
         statefulProcessor=processor,
-        outputStructType=run_output(rows.schema["key"].dataType, kind),
+        outputStructType=run_output(T.StringType(), kind),
         outputMode="Update",
         timeMode="ProcessingTime",
     )
     return states.select(
-        F.col("key").alias(key), F.col("order").alias(order), "date", "run_count"
+        from_document(F.col("key"), named)["key"].alias(key),
+        F.col("order").alias(order),
+        "date",
+        "run_count",
     )
 
 
