@@ -3,6 +3,7 @@
 import heapq
 import random
 import time
+from pathlib import Path
 
 import model
 import pandas as pd
@@ -18,8 +19,10 @@ from tidemark.operators.incremental import (
 )
 from tidemark.plans import tables
 from tidemark.plans.product import product_result
+from tidemark.plans.stream_queries import QUERIES
 from tidemark.plans.tables import EVENT_SPEC
 from tidemark.schema import METRIC_NAMES, SeriesSpec
+from tidemark.session import shared_dir
 from tidemark.sources.results import write_updates
 from tidemark.streaming import fanout
 from tidemark.streaming.fanout import RunSpec, both_results, newest_results
@@ -223,3 +226,19 @@ def test_ordered_updates_of_null_keys_are_one_key(spark, tmp_path):
         own = [r for r in rows if r[0] == key]
         expected |= dict(zip([(key, r[1]) for r in own], model.runs([r[2] for r in own]), strict=True))
     assert got == expected
+
+
+def test_slices_come_in_as_many_files_as_there_are_cores(spark, tmp_path):
+    """A slice is one micro-batch, however many files it has."""
+    expected = sorted(map(repr, QUERIES["stream_fan_out"](spark, SF_DIR).collect()))
+    assert expected
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(shared.glob("fan-out-*"))
+    assert sorted(map(repr, QUERIES["stream_fan_out"](spark, str(tmp_path)).collect())) == expected
+    [root] = set(shared.glob("fan-out-*")) - before
+    cores = spark.sparkContext.defaultParallelism
+    for number in range(3):
+        assert len(list(root.glob(f"in/slice={number}/part-*"))) == cores > 1
+    assert len(list(root.glob("product/batch_id=*"))) == 3

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,24 +79,27 @@ def daily_series_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state_series(state, EVENT_SPEC)
 
 
-def _slice_stream(spark: SparkSession, sf_dir: str, folder: str, count: int) -> DataFrame:
-    """The events as a stream of ``count`` micro-batches in order of arrival."""
+def _slice_streams(spark: SparkSession, sf_dir: str, folder: str, count: int) -> Iterator[DataFrame]:
+    """The events as a stream of ``count`` micro-batches in order of arrival.
+
+    A stream is to be drained before the next is asked for: it finds one slice more, of
+    as many files as there are cores, all of which are one micro-batch.
+    """
     rows = observations(tables.read_events(spark, sf_dir))
+    files = spark.sparkContext.defaultParallelism
     for number, test in enumerate(_slices(rows, count)):
-        path = f"{folder}/in/slice={number}"
-        rows.where(test).coalesce(1).write.parquet(path)
-        time.sleep(0.05)  # files are taken in order of their times
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1")
-    return stream.parquet(f"{folder}/in/slice=*")
+        rows.where(test).repartition(files, "event_id", "arrival_time").write.parquet(f"{folder}/in/slice={number}")
+        yield spark.readStream.schema(rows.schema).parquet(f"{folder}/in/slice=*")
 
 
 def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product metrics and run counts from one read of the source."""
     root = _folder(spark, "fan-out")
-    rows = with_literal_count(_slice_stream(spark, sf_dir, root, 3))
-    query = fan_out(rows, root, EVENT_SPEC, _RUNS, _arrived(), interval=None)
-    query.awaitTermination()
-    read = sum(p.numInputRows for p in query.recentProgress)
+    read = 0
+    for stream in _slice_streams(spark, sf_dir, root, 3):
+        query = fan_out(with_literal_count(stream), root, EVENT_SPEC, _RUNS, _arrived(), interval=None)
+        query.awaitTermination()
+        read += sum(p.numInputRows for p in query.recentProgress)
     products = _flat(newest_results(spark, f"{root}/product", "pid"))
     runs = newest_results(spark, f"{root}/run", "pid")
     return products.join(runs, "pid").withColumn("input_rows", F.lit(read).cast("bigint"))
