@@ -13,6 +13,7 @@ from sample import (
     write_lines,
 )
 
+from tidemark.plans.feed_queries import QUERIES as FEED
 from tidemark.plans.product import (
     OBSERVATION_SPEC,
     prepare,
@@ -234,3 +235,37 @@ def test_every_fault_has_a_reason(spark):
         None, "null_order", "null_clock", "null_time", "bad_time", "null_measure",
         "bad_measure", "bad_measure",
     ]
+
+
+def test_a_text_is_parsed_once_whatever_is_tested(spark):
+    df = spark.createDataFrame([(message(1),), ("{broken",), (None,)], "value string")
+    valid, rejects = split_valid(decode_json(df, keep=["value"]))
+    for rows in (valid, rejects):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1
+    assert [r["pid"] for r in valid.collect()] == [SAMPLE["pid"]]
+    assert sorted(r["reason"] for r in rejects.collect()) == ["malformed", "null_time"]
+
+
+@pytest.mark.parametrize("sift_rows", [0, 100])
+@pytest.mark.parametrize("on_reject", ["null", "keep_last"])
+def test_sifted_records_are_those_of_the_whole_join(spark, sift_rows, on_reject):
+    start = SAMPLE["timestamp"]
+    shape = "pid string, arrival long, timestamp long, batch long, sold_units long, price_units long, reviews long, title string"
+    rows = [(p, i, start + i * 3000 * (1 if i % 7 else -1), i % 3, i, 2 * i, i, f"{p}{i}")
+            for i in range(60) for p in ("a", "b", None)[: 1 + i % 3]]
+    df = spark.createDataFrame(rows + rows[-1:], shape)
+
+    def read(**how):
+        result = product_result(df, OBSERVATION_SPEC, None, "checked", on_reject, **how)
+        return sorted(map(repr, result.collect()))
+
+    assert read(sift_rows=sift_rows) == read()
+    assert len(read()) == 3
+
+
+def test_the_feed_is_decoded_once(spark, tmp_path):
+    """Results and records are read from the rows that one pass has decoded."""
+    result = FEED["feed_product_document"](spark, "/root/testdata/sf0.001")
+    assert "events.parquet" not in " ".join(result.inputFiles())
+    assert any("/stored-" in f for f in result.inputFiles())

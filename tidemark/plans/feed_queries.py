@@ -13,12 +13,14 @@ from pyspark.sql import types as T
 
 from tidemark.functions import clock, documents
 from tidemark.operators.admission import drop_stale_stored
+from tidemark.operators.chunks import BROADCAST_ROWS
 from tidemark.plans import oracle as sql
 from tidemark.plans import tables
 from tidemark.plans.product import OBSERVATION_SPEC, prepare, product_result, result_document
 from tidemark.plans.shop import RUN_KEY, shop_runs
 from tidemark.plans.tables import SNAPSHOT
 from tidemark.schema import METRIC_NAMES, METRIC_SCHEMA, OBSERVATION_SCHEMA
+from tidemark.session import stored
 from tidemark.sources.decode import decode_json
 from tidemark.sources.observations import ENVELOPE
 from tidemark.sources.quality import REASON, RUN_TIMES, split_valid, with_reason
@@ -107,7 +109,11 @@ def quality_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feed_product_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``infos`` of every product, decoded again: 16 metrics and 28 columns."""
     valid, _ = split_valid(_decoded(spark, sf_dir))
-    result = product_result(prepare(valid), OBSERVATION_SPEC, F.col("arrival_time"), "checked")
+    # Admission and the records take several passes: messages are decoded in one.
+    rows = stored(prepare(valid))
+    result = product_result(
+        rows, OBSERVATION_SPEC, F.col("arrival_time"), "checked", sift_rows=BROADCAST_ROWS
+    )
     document = result_document(F.col("metrics"), F.col("latest"))
     sent = result.select("pid", "valid", encode_product(document).alias("infos"))
     shown = {"review_score": "double", "price": "double", "sold": "double", "shipping_price": "double"}

@@ -13,6 +13,7 @@ from tidemark.operators.daily import daily_endpoints, fill_daily, in_units
 from tidemark.operators.latest import latest_record
 from tidemark.operators.locate import PLACE, fetch
 from tidemark.operators.metrics import trailing_metrics
+from tidemark.operators.sieve import sieve, sifted
 from tidemark.schema import METRIC_NAMES, OBSERVATION_SCHEMA, SeriesSpec
 from tidemark.session import pin
 
@@ -67,6 +68,7 @@ def product_result(
     mode: str = "fold",
     on_reject: str = "null",
     rows_per_chunk: int | None = ROWS_PER_CHUNK,
+    sift_rows: int | None = None,
 ) -> DataFrame:
     """Per key: ``valid``, the metrics and the latest accepted record.
 
@@ -78,6 +80,9 @@ def product_result(
     when no later arrival exists, and its record is fetched by (key, arrival).
     Should several rows share an arrival, one of them is shown (which one, only
     ``product_result_located`` fixes).
+
+    With ``sift_rows`` the results are written first, and of the records only those
+    that may be shown are shuffled: up to so many keys are broadcast, more are sifted.
     """
     if on_reject not in ("null", "keep_last"):
         raise ValueError("on_reject must be 'null' or 'keep_last'")
@@ -97,6 +102,9 @@ def product_result(
         "valid",
         F.when(shown, values).alias("metrics"),
     )
+    if sift_rows is not None:
+        wanted = pin(wanted)
+        events = _maybe_shown(events, wanted, [spec.key, spec.order], sift_rows)
     records = events.select(
         F.col(spec.key).alias("_key"),
         F.col(spec.order).alias("_order"),
@@ -109,6 +117,18 @@ def product_result(
     return shown.agg(*[F.first(n).alias(n) for n in ("valid", "metrics", "latest")])
 
 
+def _maybe_shown(
+    events: DataFrame, wanted: DataFrame, names: list[str], broadcast_rows: int
+) -> DataFrame:
+    """The events that may match a row of ``wanted`` in (key, order), the key NULL-safe."""
+    keys = wanted.select(*names).where(F.col(names[1]).isNotNull())
+    count = keys.count()
+    if count <= broadcast_rows:
+        return join_on(events, F.broadcast(keys), names, "left_semi")
+    bitmaps = pin(sieve(keys, names, count))
+    return sifted(events, names, bitmaps, bitmaps.first()["_pages"])
+
+
 def latest_accepted(
     events: DataFrame,
     spec: SeriesSpec,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,6 +58,14 @@ def shared_dir(spark: SparkSession) -> str:
     return named or current
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write a wide intermediate to the shared folder as Parquet, so that what was
+    costly to make is made once and its columns are read alone."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write a small intermediate to the shared folder and cut its lineage."""
     shared_dir(df.sparkSession)

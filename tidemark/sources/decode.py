@@ -56,9 +56,12 @@ def decode_json(
     kept = keep or []
     parsed = df.select(
         *kept,
-        F.from_json(text, parsed_as, options).alias("_row"),
         text.alias("_text"),
     )
+    # Exploded, so that a text is parsed once: the optimizer would put the parse into
+    # every test that a filter makes on a field.
+    row = F.from_json(F.col("_text"), parsed_as, options)
+    parsed = parsed.select(*kept, "_text", F.explode(F.array(row)).alias("_row"))
     columns = []
     for field in schema.fields:
         member = F.col("_row").getField(field.name)
