@@ -37,15 +37,16 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batch_rows, batches, crc_of_id, keep, release_memory, table, uncollected, whole_text
+from tidemark.llm.common import batch_rows, batches, crc_of_id, keep, release_memory, table, whole_text
 
 #: Bytes of context; with the byte itself a gram has to fit 64 bits.
 DEPTH = 6
@@ -56,13 +57,13 @@ BLOCK = 32 << 20
 BUCKET = 8 << 20
 FREQUENT = 5e-6
 END = b"\n"
-#: Windows' grams that are gathered before they are merged.
-MERGED = 5
+#: Grams of texts that are gathered before they are counted.
+TALLIED = 2 << 20
 #: Texts, and rows of blobs (of some MB) that a worker is sent at once.
 TEXTS_AT_ONCE, BLOBS = 1_000, 8
 #: Bytes handled at once, and distinct tokens a task gathers before it passes them on.
 WINDOW = 1 << 20
-GATHERED = 1_000_000
+GATHERED = 500_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,9 +71,8 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def token_hash(token: bytes) -> int:
-    value = xxhash.xxh64_intdigest(token)
-    return value - (1 << 64) if value >> 63 else value
+def token_hashes(tokens: list[bytes] | np.ndarray) -> np.ndarray:
+    return pd.util.hash_array(np.array(tokens, object), categorize=False).view(np.int64)
 
 
 def streams(docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
@@ -80,11 +80,28 @@ def streams(docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
 
     ``DEPTH`` end bytes stand before every text as the context of its start.
     """
-    parts = [END * DEPTH + b" ".join(words) + END for words in docs]
+    return stream([b" ".join(words) for words in docs])
+
+
+def stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``streams`` of texts whose words are joined already."""
+    parts = [END * DEPTH + text + END for text in texts]
     ends = np.cumsum([0] + [len(p) for p in parts])
     return np.frombuffer(b"".join(parts), np.uint8), ends
 
 
+def coded_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of a stream start, their codes, and the token hash of each code."""
+    gap = (data == ord(" ")) | (data == ord(END))
+    starts = np.flatnonzero(gap[:-1] & ~gap[1:]) + 1
+    lengths = np.flatnonzero(gap[1:] & ~gap[:-1]) + 1 - starts
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[~gap])]
+    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+    hashes = token_hashes(coded.dictionary.to_numpy(zero_copy_only=False))
+    return starts, coded.indices.to_numpy(), hashes
+
+
 def grams(data: np.ndarray) -> np.ndarray:
     """Context and byte at each position from ``DEPTH`` on: latest byte first, then the byte."""
     n = len(data) - DEPTH
@@ -159,14 +176,18 @@ def shorter(gram: np.ndarray, count: np.ndarray, depth: int) -> tuple[np.ndarray
     return gram, count
 
 
-def nodes_at(gram: np.ndarray, count: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
-    """(key, zeros, ones) of all nodes of a depth, keys in order."""
-    keys = np.concatenate([node_keys(gram, depth, bit) for bit in range(8)])
-    ones = np.concatenate([decided(gram, bit) for bit in range(8)]) * np.tile(count, 8)
-    key, where = np.unique(keys, return_inverse=True)
-    total = np.bincount(where, np.tile(count, 8), minlength=len(key))
-    one = np.bincount(where, ones, minlength=len(key))
-    return key, total - one, one
+def firsts(ordered: np.ndarray) -> np.ndarray:
+    """Where each value of ordered ones stands first."""
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+
+
+def nodes_at(gram: np.ndarray, count: np.ndarray, depth: int, bit: int) -> tuple[np.ndarray, ...]:
+    """(key, zeros, ones) of a depth's nodes of decision ``bit``, keys in order as the grams are."""
+    key = node_keys(gram, depth, bit)
+    first = firsts(key)
+    total = np.add.reduceat(count, first) if len(first) else np.zeros(0)
+    one = np.add.reduceat(count * decided(gram, bit), first) if len(first) else np.zeros(0)
+    return key[first], total - one, one
 
 
 def parents(key: np.ndarray) -> np.ndarray:
@@ -230,32 +251,42 @@ class Mix:
         self.rest[hit] = rest * (1 - weight)
 
 
-def subtrees(gram: np.ndarray, count: np.ndarray) -> tuple[list[Level], tuple[np.ndarray, ...]]:
-    """The levels ``SPLIT`` to ``DEPTH`` of trained grams, and the depth above them.
+def subtrees(cuts: list[tuple[np.ndarray, np.ndarray]], bit: int) -> tuple[list[Level], tuple[np.ndarray, ...]]:
+    """The levels ``SPLIT`` to ``DEPTH`` of a decision, and the depth above them.
 
     That is (key, zeros, ones, sum of the children's log P_w): the part of these grams.
+    ``cuts`` are the trained grams and counts cut to ``DEPTH`` bytes and fewer.
     """
     levels, children = [], None
-    for depth in range(DEPTH, SPLIT - 1, -1):
-        gram, count = shorter(gram, count, depth)
-        key, a, b = nodes_at(gram, count, depth)
+    for depth, (gram, count) in zip(range(DEPTH, SPLIT - 1, -1), cuts, strict=False):
+        key, a, b = nodes_at(gram, count, depth, bit)
         weight, log_w = weigh(a, b, None if children is None else below(key, children))
         children = key, log_w
         levels.append(Level.of(key, a, b, weight))
-    gram, count = shorter(gram, count, SPLIT - 1)
-    key, a, b = nodes_at(gram, count, SPLIT - 1)
+    key, a, b = nodes_at(*cuts[-1], SPLIT - 1, bit)
     return levels[::-1], (key, a, b, below(key, children))
 
 
-def deep_chances(levels: list[Level], gram: np.ndarray) -> np.ndarray:
-    """(gram, decision) chances by the depths from ``SPLIT`` on, NaN where they have no node."""
-    out = np.empty((len(gram), 8))
+def deep_chances(trained: np.ndarray, count: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """What the depths from ``SPLIT`` on predict, and the depth above them, keys in order.
+
+    (gram, decision) chances of the ``asked`` grams by the tree of the ``trained``, NaN where
+    it has no node. No decision shares a node with another: they are taken one at a time.
+    """
+    cuts = [(trained, count.astype(np.float64))]
+    for depth in range(DEPTH - 1, SPLIT - 2, -1):
+        cuts.append(shorter(*cuts[-1], depth))
+    out, sums = np.empty((len(asked), 8)), []
     for bit in range(8):
-        mix, one = Mix(len(gram)), decided(gram, bit)
+        levels, above = subtrees(cuts, bit)
+        sums.append(above)
+        mix, one = Mix(len(asked)), decided(asked, bit)
         for depth, level in enumerate(levels, SPLIT):
-            mix.add(level, node_keys(gram, depth, bit), one)
+            mix.add(level, node_keys(asked, depth, bit), one)
         out[:, bit] = mix.chance
-    return out
+    above = [np.concatenate(x) for x in zip(*sums, strict=True)]
+    order = np.argsort(above[0])
+    return out, tuple(x[order] for x in above)
 
 
 def top_levels(key: np.ndarray, a: np.ndarray, b: np.ndarray, lower: np.ndarray) -> list[Level]:
@@ -273,12 +304,16 @@ def top_levels(key: np.ndarray, a: np.ndarray, b: np.ndarray, lower: np.ndarray)
 def gram_scores(top: list[Level], gram: np.ndarray, deep: np.ndarray) -> np.ndarray:
     """log10 of each gram's byte in its context."""
     total = np.zeros(len(gram))
+    # The depths above see the latest bytes only: few grams differ in them.
+    seen = contexts(gram, SPLIT - 1) | (gram & np.uint64(255))
+    _, first, where = np.unique(seen, return_index=True, return_inverse=True)
+    few = gram[first]
     for bit in range(8):
-        mix, one = Mix(len(gram)), decided(gram, bit)
+        mix, one = Mix(len(few)), decided(few, bit)
         for depth, level in enumerate(top):
-            mix.add(level, node_keys(gram, depth, bit), one)
-        own = deep[:, bit]
-        chance = np.where(np.isnan(own), mix.chance, mix.before + mix.rest * own)
+            mix.add(level, node_keys(few, depth, bit), one)
+        own = deep[:, bit].astype(np.float64)
+        chance = np.where(np.isnan(own), mix.chance[where], mix.before[where] + mix.rest[where] * own)
         total += np.log10(np.where(np.isnan(chance), 0.5, chance))
     return total
 
@@ -288,19 +323,29 @@ def scores_of(trained: np.ndarray, count: np.ndarray, asked: np.ndarray) -> np.n
 
     What buckets and driver do, in one piece.
     """
-    levels, sums = subtrees(trained, count.astype(np.float64))
-    return gram_scores(top_levels(*sums), asked, deep_chances(levels, asked))
+    deep, sums = deep_chances(trained, count, asked)
+    return gram_scores(top_levels(*sums), asked, deep)
 
 
-def planes(values: np.ndarray) -> bytes:
-    """Numbers with their lowest bytes together, then the next: most are small."""
-    octets = values.astype("<u8").view(np.uint8).reshape(-1, 8)
-    return octets.T.tobytes()
+@cache
+def _press() -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=1)
 
 
-def from_planes(data: bytes) -> np.ndarray:
-    octets = np.frombuffer(data, np.uint8).reshape(8, -1).T
-    return np.ascontiguousarray(octets).view("<u8").ravel().astype(np.uint64)
+@cache
+def _unpress() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
+
+
+def planes(values: np.ndarray, kind: str = "<u8") -> bytes:
+    """Numbers with their lowest bytes together, then the next, pressed: most are alike."""
+    octets = np.ascontiguousarray(values, kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize)
+    return _press().compress(octets.T.tobytes())
+
+
+def from_planes(data: bytes, kind: str = "<u8") -> np.ndarray:
+    octets = np.frombuffer(_unpress().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1).T
+    return np.ascontiguousarray(octets).view(kind).ravel()
 
 
 def squeezed(ordered: np.ndarray) -> bytes:
@@ -316,16 +361,21 @@ class GramTable:
     """The scores of a block's grams, found by the high bits of a hash."""
 
     def __init__(self, gram: np.ndarray, score: np.ndarray):
-        mixed = gram * ODD
-        order = np.argsort(mixed)
-        self.mixed, self.score = mixed[order], score[order]
-        self.shift = np.uint64(64 - max(1, (2 * len(gram)).bit_length()))
-        places = np.arange((1 << int(64 - self.shift)) + 1, dtype=np.uint64)
-        self.starts = np.searchsorted(self.mixed >> self.shift, places).astype(np.int64)
+        self.mixed = gram * ODD
+        order = np.argsort(self.mixed)
+        self.mixed, self.score = self.mixed[order], score[order]
+        del order
+        bits = max(1, len(gram).bit_length())
+        self.shift = np.uint64(64 - bits)
+        high = self.mixed >> self.shift
+        self.starts = np.empty((1 << bits) + 1, np.uint32 if len(gram) < 1 << 32 else np.int64)
+        for start in range(0, len(self.starts), WINDOW):
+            part = self.starts[start : start + WINDOW]
+            part[:] = np.searchsorted(high, np.arange(start, start + len(part), dtype=np.uint64))
 
     def __getitem__(self, gram: np.ndarray) -> np.ndarray:
         mixed = gram * ODD
-        at = self.starts[(mixed >> self.shift).astype(np.int64)]
+        at = self.starts[(mixed >> self.shift).astype(np.int64)].astype(np.int64)
         at = np.minimum(at, len(self.mixed) - 1)
         lost = np.flatnonzero(self.mixed[at] != mixed)
         while len(lost):
@@ -335,9 +385,8 @@ class GramTable:
             lost = lost[self.mixed[at[lost]] != mixed[lost]]
         return self.score[at]
 
-    def texts(self, docs: list[list[bytes]]) -> np.ndarray:
-        """log10 probability of each text."""
-        data, ends = streams(docs)
+    def texts(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """log10 probability of each text of a stream."""
         values = np.zeros(len(data) + 1)
         own = own_positions(ends)
         for start in range(0, max(len(data) - DEPTH, 0), WINDOW):
@@ -350,12 +399,7 @@ class GramTable:
 
 
 def _counted(found: Counter) -> pd.DataFrame:
-    return pd.DataFrame(
-        {
-            "token": np.fromiter(map(token_hash, found), np.int64, len(found)),
-            "n": np.fromiter(found.values(), np.int64, len(found)),
-        }
-    )
+    return pd.DataFrame({"token": token_hashes(list(found)), "n": np.fromiter(found.values(), np.int64, len(found))})
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
@@ -379,11 +423,6 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    gram, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return gram, np.bincount(where, np.concatenate([p[1] for p in parts]), minlength=len(gram)).astype(np.int64)
-
-
 def in_blocks(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame]]:
     """Slices of frames with their block: the part and its characters before, by ``BLOCK``.
 
@@ -400,26 +439,66 @@ def in_blocks(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFram
         before = int(ends[-1])
 
 
+class Tally:
+    """Distinct grams in order and their counts in training texts, kept as such while texts come."""
+
+    def __init__(self):
+        self.gram, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.waiting, self.size = [], 0
+
+    def add(self, data: np.ndarray, ends: np.ndarray, trained: bool) -> None:
+        """The grams of a stream, each with the mark of training in its lowest bit."""
+        own = own_positions(ends)
+        for start in range(0, max(len(data) - DEPTH, 0), WINDOW):
+            found = grams(data[start : start + WINDOW + DEPTH])[own[start : start + WINDOW]]
+            found <<= np.uint64(1)
+            found |= np.uint64(trained)
+            self.waiting.append(found)
+            self.size += len(found)
+            if self.size >= TALLIED:
+                self.settle()
+
+    def settle(self) -> None:
+        if not self.size:
+            return
+        found = np.concatenate(self.waiting)
+        self.waiting, self.size = [], 0
+        found.sort()
+        times = (found & np.uint64(1)).astype(np.int8)
+        found >>= np.uint64(1)
+        first = firsts(found)
+        found, times = found[first], np.add.reduceat(times, first, dtype=np.int64)
+        at = np.searchsorted(self.gram, found)
+        new = np.ones(len(found), bool)
+        inside = at < len(self.gram)
+        new[inside] = self.gram[at[inside]] != found[inside]
+        self.count[at[~new]] += times[~new]
+        place = at[new] + np.arange(np.count_nonzero(new))
+        old = np.ones(len(self.gram) + len(place), bool)
+        old[place] = False
+        for name, more in (("gram", found), ("count", times)):
+            both = np.empty(len(old), more.dtype)
+            both[old], both[place] = getattr(self, name), more[new]
+            setattr(self, name, both)
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        self.settle()
+        return self.gram, self.count
+
+
 def block_grams(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(block, distinct grams in order, their count in training texts)."""
-    current, parts = None, []
+    current, tally = None, None
     for block, frame in in_blocks(frames):
-        if block != current and parts:
-            yield current, *_merged(parts)
-            parts = []
-        current = block
+        if block != current:
+            if tally is not None:
+                yield current, *tally.all()
+            current, tally = block, Tally()
         held = frame["held_out"].to_numpy(dtype=bool)
-        for mine, times in ((~held, 1), (held, 0)):
-            data, ends = streams([words_of(t) for t in frame["text"][mine]])
-            own = own_positions(ends)
-            for start in range(0, max(len(data) - DEPTH, 0), WINDOW):
-                found = grams(data[start : start + WINDOW + DEPTH])
-                gram, count = np.unique(found[own[start : start + WINDOW]], return_counts=True)
-                parts.append((gram, count * times))
-        if len(parts) >= MERGED:
-            parts = [_merged(parts)]
-    if parts:
-        yield current, *_merged(parts)
+        for mine, trained in ((~held, True), (held, False)):
+            tally.add(*streams([words_of(t) for t in frame["text"][mine]]), trained)
+    if tally is not None:
+        yield current, *tally.all()
 
 
 def bucket_of(gram: np.ndarray, buckets: int) -> np.ndarray:
@@ -432,13 +511,18 @@ def asked_grams(docs: DataFrame, buckets: int) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block, gram, count in block_grams(frames):
-            bucket = bucket_of(gram, buckets)
+            # Grams of a context stand together, and go to a bucket together.
+            first = firsts(contexts(gram, SPLIT))
+            bucket = bucket_of(gram[first], buckets)
+            bucket = np.repeat(bucket, np.diff(first, append=len(gram)))
             order = np.argsort(bucket, kind="stable")
-            numbers, starts = np.unique(bucket[order], return_index=True)
+            starts = firsts(bucket[order])
             rows = []
-            for number, own in zip(numbers, np.split(order, starts[1:]), strict=True):
+            for number, own in zip(bucket[order[starts]], np.split(order, starts[1:]), strict=True):
                 rows.append((number, block, squeezed(gram[own]), planes(count[own])))
+            del gram, count, bucket, order
             yield pd.DataFrame(rows, columns=["bucket", "block", "grams", "counts"])
+            rows = []
         release_memory()
 
     rows = docs.select(F.spark_partition_id().alias("part"), "held_out", "text")
@@ -454,16 +538,18 @@ DEEP = (
 def _bucket(frame: pd.DataFrame) -> pd.DataFrame:
     """One bucket: the chances of its grams, who asked for which, and the depth above."""
     asked = [unsqueezed(g) for g in frame["grams"]]
-    counts = np.concatenate([from_planes(c) for c in frame["counts"]]).astype(np.int64)
     gram, where = np.unique(np.concatenate(asked), return_inverse=True)
-    count = np.bincount(where, counts, minlength=len(gram))
-    known = count > 0
-    levels, sums = subtrees(gram[known], count[known])
-    deep = deep_chances(levels, gram).astype("<f4")
     ends = np.cumsum([len(g) for g in asked])
+    del asked
+    counts = np.concatenate([from_planes(c) for c in frame["counts"]])
+    count = np.bincount(where, counts, minlength=len(gram))
     places = [squeezed(p) for p in np.split(where, ends[:-1])]
+    del where, counts
+    known = count > 0
+    deep, sums = deep_chances(gram[known], count[known], gram)
     top = [sums[0].astype("<u8").tobytes(), *(x.astype("<f8").tobytes() for x in sums[1:])]
-    row = [squeezed(gram), deep.tobytes(), frame["block"].to_numpy(), places, *top]
+    row = [squeezed(gram), planes(deep.ravel(), "<f4"), frame["block"].to_numpy(), places, *top]
+    del gram, deep, sums
     release_memory()
     return pd.DataFrame([row], columns=[c.split(" ")[0] for c in DEEP.split(", ")])
 
@@ -486,6 +572,7 @@ def _top(buckets: DataFrame) -> list[Level]:
 
 
 TEXTS = "ids array<long>, nameless array<boolean>, held array<boolean>, sizes array<int>, words binary"
+TEXTS_OF = ("ids", "nameless", "held", "sizes")
 PARTS = f"block long, kind int, grams binary, scores binary, {TEXTS}"
 
 
@@ -499,16 +586,14 @@ def _answers(buckets: DataFrame, top: list[Level]) -> DataFrame:
                 frame["grams"], frame["deep"], frame["blocks"], frame["places"], strict=True
             ):
                 gram = unsqueezed(grams_)
-                chances = np.frombuffer(deep, "<f4").reshape(-1, 8).astype(np.float64)
+                chances = from_planes(deep, "<f4").reshape(-1, 8)
                 score = gram_scores(sent.value, gram, chances).astype("<f4")
-                own = [unsqueezed(p).astype(np.int64) for p in places]
-                yield pd.DataFrame(
-                    {
-                        "block": blocks,
-                        "grams": [squeezed(gram[p]) for p in own],
-                        "scores": [score[p].tobytes() for p in own],
-                    }
-                )
+                rows = []
+                for place in places:
+                    own = unsqueezed(place).astype(np.int64)
+                    rows.append((squeezed(gram[own]), score[own].tobytes()))
+                yield pd.DataFrame(rows, columns=["grams", "scores"]).assign(block=blocks)
+                rows = []
         release_memory()
 
     found = buckets.select("grams", "deep", "blocks", "places").mapInPandas(run, "block long, grams binary, scores binary")
@@ -519,12 +604,12 @@ def _texts(docs: DataFrame) -> DataFrame:
     """(block, 1, ``TEXTS``): texts on their way to the scores."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        press = zstandard.ZstdCompressor(level=1)
         for block, frame in in_blocks(frames):
             texts = [b" ".join(words_of(t)) for t in frame["text"]]
             columns = [frame[c].tolist() for c in ("doc_id", "nameless", "held_out")]
-            row = (block, *columns, [len(t) for t in texts], press.compress(b"".join(texts)))
+            row = (block, *columns, [len(t) for t in texts], _press().compress(b"".join(texts)))
             yield pd.DataFrame([row], columns=["block", "ids", "nameless", "held", "sizes", "words"])
+        release_memory()
 
     # A NULL would turn a batch's ids into floats.
     nameless = F.col("doc_id").isNull().alias("nameless")
@@ -533,11 +618,32 @@ def _texts(docs: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, f"block long, {TEXTS}").withColumn("kind", F.lit(1))
 
 
-def _unpacked(row) -> tuple[list, list, list[list[bytes]]]:
-    data = zstandard.ZstdDecompressor().decompress(row.words)
-    ends = np.cumsum(row.sizes)
-    ids = [None if n else int(i) for i, n in zip(row.ids, row.nameless, strict=True)]
-    return ids, row.held, [data[e - n : e].split() for e, n in zip(ends, row.sizes, strict=True)]
+def _words(data: np.ndarray, ends: np.ndarray, often: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Of the texts of a stream: tokens, known ones and base score by ``often``, and the others.
+
+    ``often`` is (hash, chance) and n for each, hashes in order. The others are where each
+    text's begin, their hashes and how often the text has them.
+    """
+    starts, codes, hashes = coded_words(data)
+    # The end is the last code, once a text.
+    hashes = np.concatenate([hashes, token_hashes([END])])
+    texts, kinds = len(ends) - 1, len(hashes)
+    text = np.searchsorted(ends, starts, side="right") - 1
+    pairs = np.concatenate([text * kinds + codes, np.arange(1, texts + 1) * kinds - 1])
+    n_tokens = np.bincount(text, minlength=texts) + 1
+    pairs, times = np.unique(pairs, return_counts=True)
+    text, codes = np.divmod(pairs, kinds)
+    key, chance = often
+    at = np.searchsorted(key, hashes)
+    known = np.zeros(kinds, bool)
+    known[at < len(key)] = key[at[at < len(key)]] == hashes[at < len(key)]
+    gain = np.zeros(kinds)
+    gain[known] = chance[at[known]]
+    mine = known[codes]
+    base = np.bincount(text, times * gain[codes], minlength=texts)
+    n_known = np.bincount(text[mine], times[mine], minlength=texts).astype(np.int64)
+    begins = np.concatenate([[0], np.cumsum(np.bincount(text[~mine], minlength=texts))])
+    return n_tokens, n_known, base, begins, hashes[codes[~mine]], times[~mine]
 
 
 def score_texts(docs: DataFrame, training: DataFrame | None = None) -> DataFrame:
@@ -557,9 +663,9 @@ def score_texts(docs: DataFrame, training: DataFrame | None = None) -> DataFrame
     total, distinct = facts[0] or 0, facts[1]
     space = total + 0.5 * (distinct + 1)
     limit = max(total * FREQUENT, 1)
-    often = counts.filter(F.col("n") >= limit).toPandas()
-    often = dict(zip(often["token"].tolist(), often["n"].tolist(), strict=True))
-    sent = spark.sparkContext.broadcast(often)
+    often = counts.filter(F.col("n") >= limit).toPandas().sort_values("token")
+    chances = np.log10((often["n"].to_numpy(np.float64) + 0.5) / space)
+    sent = spark.sparkContext.broadcast((often["token"].to_numpy(np.int64), chances))
 
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = int(size // BUCKET) + 16
@@ -576,56 +682,41 @@ def score_texts(docs: DataFrame, training: DataFrame | None = None) -> DataFrame
     parts = _answers(worked, _top(worked)).unionByName(texts, allowMissingColumns=True)
     parts = parts.filter("block >= 0").select(*[c.split(" ")[0] for c in PARTS.split(", ")])
 
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        frequent = sent.value
         number = TaskContext.get().partitionId() << 40
-        remembered: dict[bytes, tuple[int, int | None]] = {}
         block, answers, known_grams = None, [], None
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                if row.block != block:
-                    block, answers, known_grams = row.block, [], None
-                if row.kind == 0:
-                    answers.append((unsqueezed(row.grams), np.frombuffer(row.scores, "<f4")))
+        for batch in found:
+            for i in range(batch.num_rows):
+                row = {name: column[i] for name, column in zip(batch.schema.names, batch.columns, strict=True)}
+                if row["block"].as_py() != block:
+                    block, answers, known_grams = row["block"].as_py(), [], None
+                if row["kind"].as_py() == 0:
+                    # A copy, as a view would hold the whole batch.
+                    scores = np.frombuffer(row["scores"].as_buffer(), "<f4").copy()
+                    answers.append((unsqueezed(row["grams"].as_buffer()), scores))
                     continue
                 if known_grams is None:
-                    known_grams = GramTable(*(np.concatenate(x) for x in zip(*answers, strict=True)))
+                    both = [np.concatenate(x) for x in zip(*answers, strict=True)]
                     answers = []
-                ids, held, words = _unpacked(row)
-                with uncollected():
-                    out = scored(ids, held, words, known_grams.texts(words), number, remembered, frequent)
+                    known_grams = GramTable(*both)
+                    both = []
+                out = scored(row, known_grams, number)
                 yield out
-                number += len(words)
-                if len(remembered) > GATHERED // 4:
-                    remembered.clear()
+                number += len(out)
         known_grams = None
         release_memory()
 
-    def scored(ids, held, words, scores, number, remembered, frequent) -> pd.DataFrame:
-        rows = []
-        for doc_id, held_out, own, value in zip(ids, held, words, scores, strict=True):
-            found = Counter(own)
-            found[END] = 1
-            known, base, tokens, times = 0, 0.0, [], []
-            for word, f in found.items():
-                seen = remembered.get(word)
-                if seen is None:
-                    key = token_hash(word)
-                    seen = remembered[word] = (key, frequent.get(key))
-                if seen[1] is None:
-                    tokens.append(seen[0])
-                    times.append(f)
-                else:
-                    known += f
-                    base += f * math.log10((seen[1] + 0.5) / space)
-            rows.append((number, doc_id, bool(held_out), len(own) + 1, known, base, value, tokens, times))
-            number += 1
-        names = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "tokens", "times"]
-        out = pd.DataFrame(rows, columns=names)
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        return out
+    def scored(row: dict, known_grams: GramTable, number: int) -> pa.RecordBatch:
+        ids, nameless, held, sizes = (row[n].values.to_numpy(zero_copy_only=False) for n in TEXTS_OF)
+        words = _unpress().decompress(row["words"].as_buffer())
+        data, ends = stream([words[e - n : e] for e, n in zip(np.cumsum(sizes), sizes, strict=True)])
+        tokens, known, base, begins, rare, times = _words(data, ends, sent.value)
+        lists = [pa.ListArray.from_arrays(begins.astype(np.int32), x) for x in (rare, pa.array(times, pa.int32()))]
+        columns = [np.arange(number, number + len(ids)), pa.array(ids, mask=nameless), held, tokens, known]
+        columns += [base, known_grams.texts(data, ends), *lists]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split(" ")[0] for c in shape.split(", ")])
 
     shape = (
         "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, "
@@ -633,7 +724,7 @@ def score_texts(docs: DataFrame, training: DataFrame | None = None) -> DataFrame
     )
     ordered = parts.repartition("block").sortWithinPartitions("block", "kind")
     with batch_rows(spark, BLOBS):
-        scored_rows = keep(ordered.mapInPandas(score, shape))
+        scored_rows = keep(ordered.mapInArrow(score, shape))
     rare = scored_rows.select("row", F.inline(F.arrays_zip("tokens", "times")))
     rare = rare.withColumnRenamed("tokens", "token")
     joined = rare.join(counts.filter(F.col("n") < limit), "token", "left")
