@@ -714,7 +714,7 @@ def score_texts(docs: DataFrame, training: DataFrame | None = None) -> DataFrame
         data, ends = stream([words[e - n : e] for e, n in zip(np.cumsum(sizes), sizes, strict=True)])
         tokens, known, base, begins, rare, times = _words(data, ends, sent.value)
         lists = [pa.ListArray.from_arrays(begins.astype(np.int32), x) for x in (rare, pa.array(times, pa.int32()))]
-        columns = [np.arange(number, number + len(ids)), pa.array(ids, mask=nameless), held, tokens, known]
+        columns = [np.arange(number, number + len(ids)), pa.array(ids, mask=nameless), held.astype(bool), tokens, known]
         columns += [base, known_grams.texts(data, ends), *lists]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split(" ")[0] for c in shape.split(", ")])
 
